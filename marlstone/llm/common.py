@@ -29,7 +29,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     executor costs a re-read, not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/marlstone/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

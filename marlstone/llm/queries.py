@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, toxicity
+from . import language, lm, packing, quality, toxicity
 from .common import held
 
 
@@ -37,6 +37,21 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text", held("doc_id", 5, 0).alias("held_out")), found, keep=("held_out",))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held("doc_id", 7, 2).alias("held_out"))
+    return lm.score(docs, "held_out")
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
