@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lm, packing, quality, toxicity
+from . import jaccard, language, lm, packing, quality, toxicity
 from .common import held
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def _labelled(spark: SparkSession, sf_dir: str, label: str, modulus: int, remainder: int) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", label)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
