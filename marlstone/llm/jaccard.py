@@ -50,10 +50,10 @@ def gram_sets(data: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarra
     full = pos <= n[w.row] - width
     gram, row = [h[full]], [w.row[full]]
     for i in np.flatnonzero((n > 0) & (n < width)):
-        own = np.uint64(n[i])
-        for x in w.hash[w.first[i] : w.first[i + 1]]:
-            own = mix(np.array([own * _A + x * _B], np.uint64))[0]
-        gram.append(np.array([own], np.uint64))
+        own = np.array([n[i]], np.uint64)
+        for x in range(w.first[i], w.first[i + 1]):
+            own = mix(own * _A + w.hash[x : x + 1] * _B)
+        gram.append(own)
         row.append(np.array([i]))
     gram, row = np.concatenate(gram), np.concatenate(row)
     order = np.lexsort((gram, row))

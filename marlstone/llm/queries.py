@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, lm, packing, quality, toxicity
+from . import jaccard, language, lm, packing, quality, toxicity, vectors
 from .common import held
 
 
@@ -56,9 +56,30 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, "held_out")
 
 
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
+def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
+_OP9 = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_threshold_topk": _OP9}
