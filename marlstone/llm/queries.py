@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, lm, packing, quality, toxicity, vectors
+from . import chat, jaccard, language, lm, packing, pieces, quality, toxicity, vectors
 from .common import held
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,14 @@ def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: number of pieces, crc32 of the ids as text, and whether decoding gives the text."""
+    file = tokenizer_file("piece_bpe_32k.model")
+    done = pieces.encode(table(spark, sf_dir, "documents"), file)
+    back = pieces.decoded("ids", file)
+    return done.select("doc_id", F.size("ids").alias("n_pieces"), F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), (back == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
@@ -82,4 +94,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_threshold_topk": _OP9}
+    return {"op1_chat_rotation": chat.ORACLE, "op9_threshold_topk": _OP9}
