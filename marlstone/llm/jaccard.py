@@ -4,7 +4,8 @@ The join is a blocked sparse product of the document by n-gram incidence matrix.
 equal n-gram sets are one row of the matrix. Its columns, the n-grams, fall into column groups by
 hash, more groups than the n-grams in which two sets of a linked pair can differ: with similarity
 of at least NUM / DEN, sets whose smaller has n members differ in at most (DEN - NUM) * n / NUM of
-them, so a linked pair agrees on whole groups. Rows that agree on a whole group meet in a block;
+them, so a linked pair agrees on whole groups. Rows that agree on a whole group meet in a block
+(or, where that is less to send, with all rows that hang together by such agreements);
 pairs whose sizes lie beyond the bound never meet, because groups are drawn up per size class.
 In a block the overlap counts of all its pairs are accumulated column block by column block as
 products of incidence matrices, and pairs below ceil(NUM * (|x| + |y|) / (NUM + DEN)) are dropped.
@@ -24,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import Words, blocks, durable, lists, mix
 
@@ -180,20 +180,46 @@ def contract(edges: DataFrame) -> DataFrame:
         mark = got
 
 
+def cut(rows: DataFrame, id_col: str) -> DataFrame:
+    """block, a: rows (id, size, a) of an id in one block, or in blocks of two halves of BLOCK each,
+    a block for every pair of halves, where there are more than BLOCK of them."""
+    half = BLOCK // 2
+    dealt = rows.withColumn("parts", F.when(F.col("size") > BLOCK, F.ceil(F.col("size") / half)).otherwise(1)).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
+    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: (x != F.col("part")) | (F.col("parts") == 1)))
+    return dealt.withColumn("other", other).select(F.struct(F.col(id_col).alias("id"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("block"), "a")
+
+
+def copies(size, total):
+    """Set members that go to the blocks of cut()."""
+    return total * F.when(F.col(size) > BLOCK, F.ceil(F.col(size) / (BLOCK // 2)) - 1).otherwise(1)
+
+
+def meetings(told: DataFrame) -> DataFrame:
+    """block, a: who meets whom. Rows that agree on a column group meet; where that sends fewer set
+    members about, all rows that hang together by such agreements meet in one block instead."""
+    filed = told.select("a", "n", F.explode("keys").alias("key")).repartition("key").distinct()
+    sizes = filed.groupBy("key").agg(F.count("*").alias("size"), F.min("a").alias("low")).where("size > 1")
+    met = durable(filed.join(sizes, "key"), "met")
+    hang = contract(met.select(F.col("a").alias("u"), F.col("low").alias("v")))
+    rows = met.select("a", "n").distinct().join(hang.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+    rows = durable(rows, "rows")
+    whole = rows.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    # Column groups with the same rows are one block; two 64-bit sums stand for a block's rows.
+    alike = met.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("a").alias("a"), F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("y"))
+    alike = alike.groupBy("a", "x", "y", "size", "total").agg(F.min("key").alias("key")).join(rows.select("a", "root"), "a").select("root", "key", "size", "total")
+    alike = durable(alike, "alike")
+    cost = alike.groupBy("root").agg(F.sum(copies("size", F.col("total"))).alias("cost"))
+    whole = durable(whole.join(cost, "root").withColumn("as_one", copies("size", F.col("total")) <= F.col("cost")), "whole")
+    one = rows.join(whole.where("as_one").select("root", "size"), "root")
+    apart = alike.join(whole.where("not as_one").select("root"), "root", "left_semi").select("key")
+    return cut(one, "root").unionByName(cut(met.join(apart, "key"), "key"))
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     told = durable(describe(df, id_col, text_col, width, num, den), "sets")
     same = told.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"))
-    # Block keys of distinct sets; a set stands by its signature, then by its smallest document.
-    filed = told.select("a", F.explode("keys").alias("key")).repartition("key").distinct()
-    by_key = Window.partitionBy("key")
-    met = filed.withColumn("size", F.count("*").over(by_key)).where("size > 1")
-    few = met.where(F.col("size") <= BLOCK).groupBy("key").agg(F.sort_array(F.collect_list("a")).alias("rows")).groupBy("rows").agg(F.min("key").alias("block"))
-    few = few.select(F.struct("block", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("block"), F.explode("rows").alias("a"))
-    half = BLOCK // 2
-    cut = met.where(F.col("size") > BLOCK).withColumn("part", F.floor((F.row_number().over(by_key.orderBy("a")) - 1) / half)).withColumn("parts", F.ceil(F.col("size") / half))
-    many = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).where("part <> other").select(F.struct(F.col("key").alias("block"), F.least("part", "other").cast("int").alias("i"), F.greatest("part", "other").cast("int").alias("j")).alias("block"), "a")
-    rows = durable(few.unionByName(many), "blocks")
+    rows = durable(meetings(told), "blocks")
     chosen = rows.select("a").distinct().join(same.select("a", "rep"), "a")
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(chosen, "rep").dropDuplicates(["rep"])
     sets = sets_of(texts, "rep", "text", width)
