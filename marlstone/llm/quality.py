@@ -60,8 +60,8 @@ def encode(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x[:, 5] = mean / 10
     x[:, 6] = np.sqrt(np.maximum(0, np.bincount(of, length**2, len(x)) / m - mean**2)) / 10
     # Distinct words, and distinct pairs of neighbours, of a passage.
-    for col, h in ((7, w.hash), (8, w.hash[:-1] * np.uint64(31) + w.hash[1:])):
-        p = of[: len(h)]
+    within = of[1:] == of[:-1]
+    for col, p, h in ((7, of, w.hash), (8, of[1:][within], (w.hash[:-1] * np.uint64(31) + w.hash[1:])[within])):
         key = np.sort((p.astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24)))
         fresh = np.ones(len(key), bool)
         fresh[1:] = key[1:] != key[:-1]
