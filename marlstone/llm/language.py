@@ -93,12 +93,13 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        # Where a state has no edge the phrase ends there and the next one begins with the symbol.
-        table = np.full((len(nxt), width), -1, np.int32)
+        # Where a state has no edge the phrase ends there and the next one begins with the symbol. A
+        # symbol that the sample lacks is a phrase of its own: it leads to a state without edges.
+        table = np.full((len(nxt) + 1, width), -1, np.int32)
         for s, edges in enumerate(nxt):
             for c, to in edges.items():
                 table[s, c] = to * width
-        root = np.where(table[0] < 0, 0, table[0])
+        root = np.where(table[0] < 0, len(nxt) * width, table[0])
         self.table = np.where(table < 0, root[None, :] | _BREAK, table).ravel()
 
 
