@@ -21,7 +21,7 @@ from .common import durable
 
 # ---- cross-polytope hashing ------------------------------------------------------------------
 
-TABLES, PROBES = 8, 10
+TABLES, PROBES = 8, 14
 BLOCK = 512  # vectors of a bucket in one block
 
 
