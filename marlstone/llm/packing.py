@@ -16,6 +16,7 @@ equal pieces under their own ids, repeated ids repeat; an empty table gives no p
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -26,63 +27,102 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import blocks, durable
+from .common import _LOWER, _SPACE, Words, blocks, durable
 
 CAPACITY, TAIL, END_ID = 4096, 32, 2
 #: Spellings that a worker keeps with their ids, at most; beyond that it starts anew.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 500_000
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file whose tokens never hold white space: each spelling
-    between blanks is encoded once and its ids are reused."""
+    """Ids of whole texts by a tokenizers file that lower-cases, whose tokens never hold white space,
+    and that cuts a run of letters from a mark after it: each spelling between blanks, without such
+    a mark, is encoded once and its ids are reused. Spellings are known by 64-bit hashes."""
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer's own would each keep memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            enc = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, enc, strict=True):
-                ids, n = e.ids, len(self.index)
-                need = self.used + len(ids)
-                if need > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-                if n + 1 >= len(self.ends):
-                    self.ends = np.concatenate([self.ends, np.zeros(len(self.ends), np.int64)])
-                self.flat[self.used : need] = ids
-                self.used = need
-                self.ends[n + 1] = need
-                self.index[w] = n
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.ends = np.zeros(1, np.int64)
+
+    def _encode(self, words: list[bytes], plain: np.ndarray) -> list[np.ndarray]:
+        """Ids of each word. plain: words of letters only, which are one token run each and end
+        where an id ends a word; so many of them go to the tokenizer as one text."""
+        out: list = [None] * len(words)
+        some = np.flatnonzero(plain)
+        texts = [some[i : i + 2000] for i in range(0, len(some), 2000)]
+        for part in texts:  # one by one: an encoding takes far more memory than its text
+            ids = np.array(self.tok.encode_batch_fast([b" ".join(words[i] for i in part).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer doesn't end every word with an end-of-word id")
+            for i, x in zip(part.tolist(), np.split(ids, ends[:-1]), strict=True):
+                out[i] = x
+        rest = np.flatnonzero(~plain)
+        for lo in range(0, len(rest), 1024):
+            part = rest[lo : lo + 1024].tolist()
+            for i, e in zip(part, self.tok.encode_batch_fast([words[i].decode("utf-8", "replace") for i in part], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, np.uint32)
+        return out
+
+    def _learn(self, words: list[bytes], plain: np.ndarray) -> np.ndarray:
+        """Entry numbers of new words."""
+        ids = self._encode(words, plain)
+        first = len(self.ends) - 1
+        ends = self.used + np.cumsum([len(x) for x in ids], dtype=np.int64)
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(int(ends[-1]), len(self.flat)), np.uint32)])
+        self.flat[self.used : ends[-1]] = np.concatenate(ids)
+        self.used = int(ends[-1])
+        self.ends = np.concatenate([self.ends, ends])
+        return np.arange(first, first + len(words))
 
     def documents(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the rows, each with the end id after it, and the n + 1 bounds."""
-        raw = data.tobytes()
-        if len(self.index) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS:
             self._clear()
-        # Separators U+001C..1F are blanks to split() of str but text to the tokenizer; bytes.split
-        # knows only the ASCII blanks, which every pattern of the tokenizer stops at.
-        words = [raw[offs[i] : offs[i + 1]].split() for i in range(len(offs) - 1)]
-        index = self.index
-        new = [w for w in dict.fromkeys(w for ws in words for w in ws) if w not in index]
-        self._learn(new)
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((index[w] for ws in words for w in ws), np.int64, int(counts.sum()))
-        size = self.ends[at + 1] - self.ends[at]
+        low = _LOWER[data]
+        # A full stop or comma between a letter and a blank is a word of its own.
+        letter = (low >= 97) & (low <= 122)
+        latin = np.zeros(len(low), bool)
+        latin[1:] = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] != 0x97) & (low[1:] != 0xB7)
+        mark = (low == 46) | (low == 44)
+        mark[1:] &= (letter | latin)[:-1]
+        mark[:-1] &= _SPACE[low[1:]] | np.isin(np.arange(1, len(low)), offs)
+        mark[offs[:-1][offs[:-1] < len(low)]] = False
+        at = np.flatnonzero(mark)
+        offs = offs + np.searchsorted(at, offs)
+        low = np.insert(low, at, 32)
+        w = Words(low, offs)
+        uniq, one, inv = np.unique(w.hash, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, uniq)
+        known = np.zeros(len(uniq), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == uniq[inside]
+        if not known.all():
+            new = one[~known]
+            head = (low == 0xC3) & np.append(low[1:] >= 0x80, False) & np.append((low[1:] != 0x97) & (low[1:] != 0xB7), False)
+            tail = np.append(False, head[:-1])
+            odd = np.concatenate([[0], np.cumsum(~(((low >= 97) & (low <= 122)) | head | tail))])
+            start, end, raw = w.start[new], w.end[new], low.tobytes()
+            entry = self._learn([raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], odd[end] == odd[start])
+            self.keys = np.insert(self.keys, place[~known], uniq[~known])
+            self.entry = np.insert(self.entry, place[~known], entry)
+        of = self.entry[np.searchsorted(self.keys, uniq)][inv] if len(uniq) else np.zeros(0, np.int64)
+        size = self.ends[of + 1] - self.ends[of]
         first = np.concatenate([[0], np.cumsum(size)])
-        src = np.repeat(self.ends[at] - first[:-1], size) + np.arange(first[-1])
-        of = np.concatenate([[0], np.cumsum(counts)])
-        bound = first[of] + np.arange(len(of))
+        src = np.repeat(self.ends[of] - first[:-1], size) + np.arange(first[-1])
+        bound = first[w.first] + np.arange(len(w.first))
         out = np.full(bound[-1], END_ID, np.uint32)
         keep = np.ones(len(out), bool)
         keep[bound[1:] - 1] = False
@@ -115,7 +155,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFra
         seen: dict[int, int] = {}
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            for a, _, data, offs in blocks(b.column("text"), 1 << 20):
+            for a, _, data, offs in blocks(b.column("text"), 1 << 19):
                 flat, bound = enc.documents(data, offs)
                 rows = []
                 for i in range(len(bound) - 1):
