@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import Words, blocks, durable, lists, mix
 
 WIDTH, NUM, DEN = 3, 90, 100
-#: Group agreements that a linked pair has beyond the one it needs; a set with more empty groups
-#: than that also files its empty groups.
+#: Group agreements that a linked pair has at least beyond the one it needs; a set with more empty
+#: groups than its class allows for also files its empty groups.
 SPARE = 2
 #: Rows of a block that are multiplied at once; larger blocks are cut in halves of this that meet in pairs.
 BLOCK = 1024
@@ -72,6 +72,16 @@ def size_classes(largest: int, num: int, den: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def column_groups(end: int, num: int, den: int) -> tuple[int, int]:
+    """Number of column groups of the size class that ends with end, and how many of them a set may
+    leave empty and still agree on a filled one with every set it links to: about as many as sets of
+    the class leave empty by chance."""
+    least = (den - num) * end // num + 1
+    empty = least * float(np.exp(-end * num / den / least))
+    spare = SPARE + int(np.ceil(empty + 2 * np.sqrt(empty)))
+    return least + spare, spare
+
+
 def group_keys(gram: np.ndarray, num: int, den: int) -> np.ndarray:
     """Block keys of one set: for its own size class and the one below, a key per column group."""
     n = len(gram)
@@ -79,14 +89,13 @@ def group_keys(gram: np.ndarray, num: int, den: int) -> np.ndarray:
     own = int(np.searchsorted(ends, n))
     out = []
     for level in {own, max(0, own - 1)}:
-        groups = (den - num) * int(ends[level]) // num + 1 + SPARE
-        of = (gram >> np.uint64(17)) % np.uint64(groups)
-        # gram is sorted, so equal sets sum in one order; sums of mixed values are order-free anyway.
+        groups, spare = column_groups(int(ends[level]), num, den)
+        of = ((gram >> np.uint64(17)) % np.uint64(groups)).astype(np.int64)
         cell = np.zeros(groups, np.uint64)
-        np.add.at(cell, of.astype(np.int64), mix(gram + _B))
-        filled = np.bincount(of.astype(np.int64), minlength=groups) > 0
+        np.add.at(cell, of, mix(gram + _B))
+        filled = np.bincount(of, minlength=groups) > 0
         key = mix(cell + mix(np.arange(groups, dtype=np.uint64) * _A + np.uint64(level)))
-        out.append(key if groups - filled.sum() > SPARE else key[filled])
+        out.append(key if groups - filled.sum() > spare else key[filled])
     return np.concatenate(out)
 
 
@@ -96,39 +105,67 @@ def signatures(gram: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(sums(mix(gram ^ _A))).view(np.int64), mix(sums(mix(gram + _B))).view(np.int64)
 
 
-def describe(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, the set's signature (a, b), and its block keys; sets that cannot link to a
-    different one, and sets that this task has met before, carry no keys."""
-    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def describe(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """doc_id, set size n, and the set's signature (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in blocks(batch.column("text"), 1 << 20):
+                gram, bound = gram_sets(data, offs, width)
+                a, b = signatures(gram, bound)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(np.diff(bound)), pa.array(a), pa.array(b)], names=["doc_id", "n", "a", "b"])
+
+    return _source(df, id_col, text_col).mapInArrow(run, "doc_id long, n long, a long, b long")
+
+
+def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """a, n and the block keys of every set that can link to a different one; a task files a set
+    once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for b in batches:
-            for lo, hi, data, offs in blocks(b.column("text"), 1 << 20):
+        for batch in batches:
+            for _, _, data, offs in blocks(batch.column("text"), 1 << 20):
                 gram, bound = gram_sets(data, offs, width)
                 n = np.diff(bound)
-                a, c = signatures(gram, bound)
-                keys = []
-                for i in range(len(n)):
-                    k = np.zeros(0, np.uint64)
-                    if (den - num) * n[i] >= num and (mark := int(a[i])) not in met:
+                a, _ = signatures(gram, bound)
+                some, keys = [], []
+                for i in np.flatnonzero((den - num) * n >= num):
+                    if (mark := int(a[i])) not in met:
                         met.add(mark)
-                        k = group_keys(gram[bound[i] : bound[i + 1]], num, den)
-                    keys.append(k)
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id")[lo:hi], pa.array(n), pa.array(a), pa.array(c), lists(flat.view(np.int64), np.concatenate([[0], np.cumsum([len(k) for k in keys])]))], names=["doc_id", "n", "a", "b", "keys"])
+                        some.append(i)
+                        keys.append(group_keys(gram[bound[i] : bound[i + 1]], num, den))
+                if some:
+                    flat = np.concatenate(keys)
+                    yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(n[some]), lists(flat.view(np.int64), np.cumsum([0, *map(len, keys)]))], names=["a", "n", "keys"])
+
+    return _source(df, id_col, text_col).mapInArrow(run, "a long, n long, keys array<long>")
 
-    return source.mapInArrow(run, "doc_id long, n long, a long, b long, keys array<long>")
 
+def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
+    """block, rep, grams for every block of every row (rep, text, blocks)."""
 
-def sets_of(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offs in blocks(b.column("text"), 1 << 20):
                 gram, bound = gram_sets(data, offs, width)
-                yield pa.RecordBatch.from_arrays([b.column("rep")[lo:hi], lists(gram.view(np.int64), bound)], names=["rep", "grams"])
+                n, part = np.diff(bound), b.slice(lo, hi - lo)
+                of = part.column("blocks")
+                row = np.repeat(np.arange(hi - lo), np.diff(of.offsets.to_numpy()))
+                names, grams = of.flatten(), lists(gram.view(np.int64), bound)
+                sent = np.cumsum(n[row])
+                at = 0
+                while at < len(row):  # about 1 << 20 set members a batch
+                    to = max(at + 1, int(np.searchsorted(sent, (sent[at - 1] if at else 0) + (1 << 20), "right")))
+                    pick = pa.array(row[at:to])
+                    yield pa.RecordBatch.from_arrays([names[at:to], part.column("rep").take(pick), grams.take(pick)], names=["block", "rep", "grams"])
+                    at = to
 
-    return df.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).mapInArrow(run, "rep long, grams array<long>")
+    return df.select("rep", "text", "blocks").mapInArrow(run, "block struct<id: long, i: long, j: long>, rep long, grams array<long>")
 
 
 def forest(ids: np.ndarray, flat: np.ndarray, bound: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -194,10 +231,10 @@ def copies(size, total):
     return total * F.when(F.col(size) > BLOCK, F.ceil(F.col(size) / (BLOCK // 2)) - 1).otherwise(1)
 
 
-def meetings(told: DataFrame) -> DataFrame:
+def meetings(filed: DataFrame) -> DataFrame:
     """block, a: who meets whom. Rows that agree on a column group meet; where that sends fewer set
     members about, all rows that hang together by such agreements meet in one block instead."""
-    filed = told.select("a", "n", F.explode("keys").alias("key")).repartition("key").distinct()
+    filed = filed.select("a", "n", F.explode("keys").alias("key")).repartition("key").distinct()
     sizes = filed.groupBy("key").agg(F.count("*").alias("size"), F.min("a").alias("low")).where("size > 1")
     met = durable(filed.join(sizes, "key"), "met")
     hang = contract(met.select(F.col("a").alias("u"), F.col("low").alias("v")))
@@ -217,13 +254,13 @@ def meetings(told: DataFrame) -> DataFrame:
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    told = durable(describe(df, id_col, text_col, width, num, den), "sets")
+    told = durable(describe(df, id_col, text_col, width), "sets")
     same = told.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"))
-    rows = durable(meetings(told), "blocks")
-    chosen = rows.select("a").distinct().join(same.select("a", "rep"), "a")
-    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).join(chosen, "rep").dropDuplicates(["rep"])
-    sets = sets_of(texts, "rep", "text", width)
-    members = rows.join(chosen, "a").join(sets, "rep").select("block", "rep", "grams")
+    rows = durable(meetings(filings(df, id_col, text_col, width, num, den)), "blocks")
+    # Texts of the sets that meet, once each, with the blocks that they go to.
+    chosen = rows.groupBy("a").agg(F.collect_list("block").alias("blocks")).join(same.select("a", "rep"), "a").select("rep", "blocks")
+    texts = _source(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(chosen, "rep").dropDuplicates(["rep"])
+    members = sets_in_blocks(texts, width)
 
     def multiply(t: pa.Table) -> pa.Table:
         t = t.sort_by("rep")
