@@ -144,3 +144,30 @@ def blocks(col: pa.Array, most: int = 2 << 20):
 def lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     """A list column from flat values and n + 1 offsets."""
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+
+
+# ---- compact arrays -------------------------------------------------------------------------
+
+_zstd = pa.Codec("zstd", compression_level=1)
+
+
+def squeeze(a: np.ndarray) -> bytes:
+    """An array of unsigned integers as byte planes, compressed."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+    return len(planes.tobytes()).to_bytes(8, "little") + (_zstd.compress(planes, asbytes=True) if len(a) else b"")
+
+
+def expand(b: bytes, dtype) -> np.ndarray:
+    n = int.from_bytes(b[:8], "little")
+    if not n:
+        return np.zeros(0, dtype)
+    planes = np.frombuffer(_zstd.decompress(b[8:], n), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def deltas(sorted_keys: np.ndarray) -> bytes:
+    return squeeze(np.diff(sorted_keys, prepend=np.uint64(0)))
+
+
+def undelta(b: bytes) -> np.ndarray:
+    return np.cumsum(expand(b, np.uint64), dtype=np.uint64)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, blocks, durable, lists, mix
+from .common import Words, blocks, deltas, durable, lists, mix, undelta
 
 WIDTH, NUM, DEN = 3, 90, 100
 #: Group agreements that a linked pair has at least beyond the one it needs; a set with more empty
@@ -156,7 +156,9 @@ def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
                 n, part = np.diff(bound), b.slice(lo, hi - lo)
                 of = part.column("blocks")
                 row = np.repeat(np.arange(hi - lo), np.diff(of.offsets.to_numpy()))
-                names, grams = of.flatten(), lists(gram.view(np.int64), bound)
+                names = of.flatten()
+                # 56 bits of each member, sorted, as differences: what the shuffle carries most of.
+                grams = pa.array([deltas(gram[x:y] >> np.uint64(8)) for x, y in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)], pa.binary())
                 sent = np.cumsum(n[row])
                 at = 0
                 while at < len(row):  # about 1 << 20 set members a batch
@@ -165,7 +167,7 @@ def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([names[at:to], part.column("rep").take(pick), grams.take(pick)], names=["block", "rep", "grams"])
                     at = to
 
-    return df.select("rep", "text", "blocks").mapInArrow(run, "block struct<id: long, i: long, j: long>, rep long, grams array<long>")
+    return df.select("rep", "text", "blocks").mapInArrow(run, "block struct<id: long, i: long, j: long>, rep long, grams binary")
 
 
 def forest(ids: np.ndarray, flat: np.ndarray, bound: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -265,9 +267,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     def multiply(t: pa.Table) -> pa.Table:
         t = t.sort_by("rep")
         ids = t.column("rep").to_numpy()
-        g = t.column("grams").combine_chunks()
-        bound = g.offsets.to_numpy().astype(np.int64)
-        root = forest(ids, g.values.to_numpy()[bound[0] : bound[-1]], bound - bound[0], num, den)
+        sets = [undelta(x) for x in t.column("grams").to_pylist()]
+        root = forest(ids, np.concatenate(sets), np.cumsum([0, *map(len, sets)]), num, den)
         link = root != ids
         return pa.table({"u": ids[link], "v": root[link]})
 
