@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import Words, blocks, deltas, durable, lists, mix, undelta
+from .common import Words, blocks, deltas, durable, lists, mix, release, tidy, undelta
 
 WIDTH, NUM, DEN = 3, 90, 100
 #: Group agreements that a linked pair has at least beyond the one it needs; a set with more empty
@@ -34,6 +35,10 @@ WIDTH, NUM, DEN = 3, 90, 100
 SPARE = 2
 #: Rows of a block that are multiplied at once; larger blocks are cut in halves of this that meet in pairs.
 BLOCK = 1024
+#: Bytes of a block after which its memory is given back.
+RELEASE = 4 << 20
+#: Rows of exact copies are joined to what was found of their set in this many shares.
+SALTS = 1024
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -119,7 +124,7 @@ def describe(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
                 a, b = signatures(gram, bound)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(np.diff(bound)), pa.array(a), pa.array(b)], names=["doc_id", "n", "a", "b"])
 
-    return _source(df, id_col, text_col).mapInArrow(run, "doc_id long, n long, a long, b long")
+    return _source(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, n long, a long, b long")
 
 
 def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
@@ -143,7 +148,7 @@ def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den
                     flat = np.concatenate(keys)
                     yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(n[some]), lists(flat.view(np.int64), np.cumsum([0, *map(len, keys)]))], names=["a", "n", "keys"])
 
-    return _source(df, id_col, text_col).mapInArrow(run, "a long, n long, keys array<long>")
+    return _source(df, id_col, text_col).mapInArrow(tidy(run), "a long, n long, keys array<long>")
 
 
 def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
@@ -167,7 +172,7 @@ def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([names[at:to], part.column("rep").take(pick), grams.take(pick)], names=["block", "rep", "grams"])
                     at = to
 
-    return df.select("rep", "text", "blocks").mapInArrow(run, "block struct<id: long, i: long, j: long>, rep long, grams binary")
+    return df.select("rep", "text", "blocks").mapInArrow(tidy(run), "block struct<id: long, i: long, j: long>, rep long, grams binary")
 
 
 def forest(ids: np.ndarray, flat: np.ndarray, bound: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -256,11 +261,14 @@ def meetings(filed: DataFrame) -> DataFrame:
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    told = durable(describe(df, id_col, text_col, width), "sets")
-    same = told.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("rep"))
+    told = durable(describe(df, id_col, text_col, width), "sets").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    # At most SALTS rows stand for a set, however many copies it has; rep is its smallest document.
+    shares = told.where("n > 0").groupBy("a", "b", "n", "salt").agg(F.min("doc_id").alias("least"))
+    shares = durable(shares.select("a", "b", "n", "salt", F.min("least").over(Window.partitionBy("a", "b", "n")).alias("rep")), "shares")
+    same = shares.select("a", "rep").distinct()
     rows = durable(meetings(filings(df, id_col, text_col, width, num, den)), "blocks")
     # Texts of the sets that meet, once each, with the blocks that they go to.
-    chosen = rows.groupBy("a").agg(F.collect_list("block").alias("blocks")).join(same.select("a", "rep"), "a").select("rep", "blocks")
+    chosen = rows.groupBy("a").agg(F.collect_list("block").alias("blocks")).join(same, "a").select("rep", "blocks")
     texts = _source(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(chosen, "rep").dropDuplicates(["rep"])
     members = sets_in_blocks(texts, width)
 
@@ -270,8 +278,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         sets = [undelta(x) for x in t.column("grams").to_pylist()]
         root = forest(ids, np.concatenate(sets), np.cumsum([0, *map(len, sets)]), num, den)
         link = root != ids
+        if t.nbytes > RELEASE:
+            release()
         return pa.table({"u": ids[link], "v": root[link]})
 
     found = contract(members.groupBy("block").applyInArrow(multiply, "u long, v long"))
-    out = told.select("doc_id", "n", "a", "b").join(same, ["a", "b", "n"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("node"))
-    return out.join(found, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id"))
+    named = shares.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n", "salt", F.coalesce("root", "rep").alias("root"))
+    out = told.join(named, ["a", "b", "n", "salt"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, labelled_sample
+from .common import blocks, labelled_sample, tidy
 
 #: Sample per language: rows, characters from a row (a window inside it), characters in all.
 SAMPLE_ROWS, SAMPLE_ROW_CHARS, SAMPLE_CHARS = 60, 1500, 40_000
@@ -207,4 +207,4 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
     schema = StructType([*(source.schema[c] for c in kept), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

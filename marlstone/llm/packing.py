@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import _LOWER, _SPACE, Words, blocks, durable
+from .common import _LOWER, _SPACE, Words, blocks, durable, tidy
 
 CAPACITY, TAIL, END_ID = 4096, 32, 2
 #: Spellings that a worker keeps with their ids, at most; beyond that it starts anew.
@@ -141,17 +141,13 @@ def cuts(n: int) -> list[int]:
     return [*out, n] if n else out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
     """Pieces of every document with the worker's number and their number within worker and length."""
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = Encoder(tokenizer)
-        enc, worker = _encoders[tokenizer], TaskContext.get().partitionId()
+        # One encoder a task: kept in the worker, it would take memory from the stages after it.
+        enc, worker = Encoder(tokenizer), TaskContext.get().partitionId()
         seen: dict[int, int] = {}
         for b in batches:
             ids = b.column("doc_id").to_pylist()
@@ -169,7 +165,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFra
                 cols = list(zip(*rows, strict=True)) or [()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "worker", "nth"])
 
-    return source.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker long, nth long")
+    return source.mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, worker long, nth long")
 
 
 def first_fit(left: dict[int, int]) -> list[tuple[int, int, int, int, int]]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Words, blocks, labelled_sample
+from .common import Words, blocks, labelled_sample, tidy
 
 PASSAGE = 64
 HASHED = 16
@@ -180,4 +180,4 @@ def score(df: DataFrame, model: AttentionMIL, text_col: str = "text", keep: tupl
             s = [m.score(*encode(data, offs)) for _, _, data, offs in blocks(b.column("_text"), 1 << 20)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*keep, "score"])
 
-    return source.mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("score", DoubleType())]))
+    return source.mapInArrow(tidy(run), StructType([*(source.schema[c] for c in keep), StructField("score", DoubleType())]))
