@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Whether shuffle files are removed when the command that made them ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_folder: dict[str, str] = {}
 
 
@@ -28,10 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: the lineage is cut and a lost
-    executor costs a re-read, not a recomputation."""
+    executor costs a re-read, not a recomputation. The shuffle files behind the table go at once."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/marlstone/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
