@@ -447,11 +447,34 @@ def leak_prefix_runs(spark, sf_dir):
     return d.join(lead, "k").where("doc_id <> l.doc_id").select("doc_id", fold.prefix_run(F.col("a"), F.col("l.a")).alias("run"))
 
 
+#: First word of a text, words part at blanks as in _WORDS.
+_FIRST_WORD = lambda c: F.regexp_extract(c, r"\S+", 0)
+
+
+@query(r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '[\s\x0B]+'), lambda w: w <> '') AS a FROM documents WHERE text IS NOT NULL),
+i AS (SELECT item_id, list_filter(string_split_regex(text, '[\s\x0B]+'), lambda w: w <> '') AS b FROM benchmark WHERE text IS NOT NULL)
+SELECT doc_id, item_id, CAST(coalesce(list_position(list_transform(range(1, greatest(len(a), len(b)) + 1), lambda j: coalesce(a[j] = b[j], false)), false) - 1, greatest(len(a), len(b))) AS BIGINT) AS run
+FROM d JOIN i ON a[1] = b[1]""")
+def leak_benchmark_runs(spark, sf_dir):
+    """Documents against every benchmark item that begins with the same word: words in common from
+    the start, over both whole texts. All other pairs have a run of 0."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", _FIRST_WORD("text").alias("k")).where("k <> ''")
+    d = d.select("doc_id", "k", _WORDS("text").alias("a"))
+    i = table(spark, sf_dir, "benchmark").select("item_id", _FIRST_WORD("text").alias("k"), _WORDS("text").alias("b")).where("k <> ''")
+    return d.join(i, "k").select("doc_id", "item_id", fold.prefix_run(F.col("a"), F.col("b")).alias("run"))
+
+
 @query()
-def leak_metric(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.substring("text", 1, 12).alias("k"), F.slice(_WORDS("text"), 1, 48).alias("a"))
-    lead = d.groupBy("k").agg(F.min_by(F.struct("doc_id", "a"), "doc_id").alias("l"))
-    return fold.leak(d.join(lead, "k").where("doc_id <> l.doc_id").select("a", F.col("l.a").alias("b")), "a", "b")
+def leak_metric(spark, sf_dir, prompt: int = 48):
+    """Benchmark items that go on after a prompt, against the documents that open with the same
+    prompt: the words after it, in the reference's window."""
+
+    def rest(name, out):
+        t = table(spark, sf_dir, name).select(_WORDS("text").alias("w"))
+        return t.select(F.slice("w", 1, prompt).alias("prompt"), F.slice("w", prompt + 1, 2**31 - 1).alias(out))
+
+    i = rest("benchmark", "b").where(F.size("b") > 0)
+    return fold.leak(rest("documents", "a").join(i, "prompt"), "b", "a")
 
 
 @query()
