@@ -246,6 +246,13 @@ def language_plausible(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", line.alias("line")).withColumn("plausible", text.plausible("line"))
 
 
+@query(_oracles["language_plausible"].replace(_FIRST_LINE, "regexp_extract(text, '^[^\\n]*')"))
+def language_plausible_whole(spark, sf_dir):
+    """language_plausible over whole first lines."""
+    line = F.regexp_extract("text", r"^[^\n]*", 0)
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", line.alias("line")).withColumn("plausible", text.plausible("line"))
+
+
 @query(rf"""WITH s AS (SELECT page_id, regexp_extract({_URL}, '([^/]*)$', 1) AS stem FROM pages)
 SELECT page_id, stem, NOT regexp_matches(stem, {_P("(?i)" + rules.SPEAKS)}) AND (regexp_matches(stem, {_P("(?i)" + rules.MUSH)}) OR NOT regexp_matches(stem, '[A-Za-zА-Яа-яЁё]{{5,}}')) AS unreadable FROM s""")
 def unreadable_names(spark, sf_dir):
@@ -264,6 +271,13 @@ def clean_short_name(spark, sf_dir):
     return docs.select("doc_id", text.cleaned(F.substring("text", 1, 150)).alias("name")).withColumn("short", text.shortened("name"))
 
 
+@query(_oracles["clean_short_name"].replace("left(text, 150)", "text"))
+def clean_short_name_whole(spark, sf_dir):
+    """clean_short_name over whole texts; only `short` is cut."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", text.cleaned("text").alias("name")).withColumn("short", text.shortened("name"))
+
+
 @query(r"SELECT page_id, nullif(regexp_extract(url || ' ' || page_id % 100 + 2000 || '.' || 10000 + page_id || 'v2', '(^|[^\p{L}\p{N}_.])(\d{4}\.\d{4,5})(v\d+)?($|[^\p{L}\p{N}_])', 2), '') AS preprint FROM pages")
 def preprint_ids(spark, sf_dir):
     name = F.concat(F.col("url"), F.lit(" "), F.col("page_id") % 100 + 2000, F.lit("."), F.lit(10000) + F.col("page_id"), F.lit("v2"))

@@ -38,3 +38,16 @@ def test_leak_against_benchmark(spark, tmp_path):
     assert got == {(1, 1): 1, (1, 2): 2, (2, 1): 120, (2, 2): 1, (3, 1): 1, (3, 2): 1, (6, 1): 50, (6, 2): 1, (7, 1): 48, (7, 2): 1}
     r = corpus.leak_metric(spark, d).first()
     assert (r.n, r.exact, r.mean_run, r.ok) == (3, 1, (48 + 2 + 0) / 3, False)
+
+
+def test_whole_lines_and_names(spark, tmp_path):
+    """What stands after the 120th character of a line or the 150th of a text counts."""
+    latin = "plain words of one language " * 6
+    docs = [(1, latin + "end\nnext"), (2, latin + "漢" * 40), (3, latin + "¶ÇÄÓÂÎß"), (4, None)]
+    d = tables(spark, tmp_path, documents=("doc_id long, text string", docs))
+    got = {r.doc_id: r for r in corpus.language_plausible_whole(spark, d).collect()}
+    assert {i: r.plausible for i, r in got.items()} == {1: True, 2: False, 3: False}
+    assert got[1].line == latin + "end"
+    names = {r.doc_id: r for r in corpus.clean_short_name_whole(spark, d).collect()}
+    assert names[1].name == latin + "end next" and names[2].name == latin + "漢" * 40
+    assert {len(r.short) <= 50 for r in names.values()} == {True}
