@@ -164,12 +164,13 @@ def dictionary(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY) -
     seen = df.select(F.explode(F.split(F.concat(F.lit(BLANK), spaced), "\u0001")).alias("word")).where("word <> ''")
     counts = durable(seen.groupBy("word").agg(F.count("*").alias("n")).where(F.length("word") <= LONGEST).where("n > 1"), "units")
     ladder = counts.groupBy(F.least("n", F.lit(5000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
-    total, least = 0, 5001
+    total, least = 0, None
     for r in ladder:
         if total + r["words"] > most:
             break
         total, least = total + r["words"], r["n"]
-    return lattice(counts.where(F.col("n") >= least).select("word"), m, df.sparkSession)
+    kept = counts.where(F.lit(False) if least is None else F.col("n") >= least)
+    return lattice(kept.select("word"), m, df.sparkSession)
 
 
 class Speller:

@@ -316,6 +316,16 @@ def test_lattice_is_the_fold(spark):
     assert got["ababa"] == [12, 13] or got["ababa"] == [13, 14]
 
 
+def test_dictionary_bound(spark):
+    """The dictionary stays within its bound also if more units than that are very frequent."""
+    file = queries.tokenizer_file("piece_bpe_32k.model")
+    df = spark.createDataFrame([("one two three " * 5001,), ("four four",)], "text string")
+    m = pieces.read_model(file)
+    assert pieces.dictionary(df, m, "text", most=2).count() <= 2
+    whole, few = (pieces.encode(df, file, keep=("text",), most=n).collect() for n in (pieces.DICTIONARY, 2))
+    assert whole == few
+
+
 # ---- 10 LM
 
 
