@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
 
 #: Whether shuffle files are removed when the command that made them ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -18,31 +23,68 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (local runs, tests), one of our own."""
+    """The folder of spark.checkpoint.dir; where that is unset, one of our own in local mode, and an
+    error on a cluster, whose machines would not see it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = tempfile.mkdtemp(prefix="marlstone-")
     return _own_folder[app]
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: the lineage is cut and a lost
-    executor costs a re-read, not a recomputation. The shuffle files behind the table go at once."""
+class _Cleaning:
+    """While it is entered, by however many threads, shuffle files go with the command that made
+    them. Other queries of the session meanwhile only lose files that nothing reads again."""
+
+    def __init__(self):
+        self.lock, self.depth, self.before = threading.Lock(), 0, None
+
+    @contextlib.contextmanager
+    def __call__(self, spark: SparkSession):
+        with self.lock:
+            self.depth += 1
+            if self.depth == 1:
+                self.before = spark.conf.get(_CLEANUP, None)
+                spark.conf.set(_CLEANUP, "true")
+        try:
+            yield
+        finally:
+            with self.lock:
+                self.depth -= 1
+                if self.depth == 0:
+                    if self.before is None:
+                        spark.conf.unset(_CLEANUP)
+                    else:
+                        spark.conf.set(_CLEANUP, self.before)
+
+
+_cleaning = _Cleaning()
+
+
+def durable(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df as Parquet to the shared folder (in folders by the column `by`, if given) and read
+    it back: the lineage is cut and a lost executor costs a re-read, not a recomputation. The
+    shuffle files behind the table go at once; discard() removes the table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/marlstone/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    with _cleaning(spark):
+        w = df.write.option("compression", "zstd")
+        (w.partitionBy(by) if by else w).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._marlstone_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of durable() that nothing will read again."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._marlstone_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release() -> None:
@@ -66,50 +108,34 @@ def tidy(run: Callable) -> Callable:
 
 
 def held(id_col, modulus: int, remainder: int):
-    """Whether crc32(id as text) mod modulus is remainder."""
-    return F.crc32(F.col(id_col).cast("string")) % modulus == remainder
+    """Whether crc32(id as text) mod modulus is remainder; not so without an id."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))
 
 
 def labelled_sample(df: DataFrame, label: str, id_col: str, per_class: int) -> DataFrame:
-    """About per_class rows of each value of label, chosen by a hash of the id: the rows below a
-    hash bound set from the class counts, then cut to per_class in hash order. Only ids and labels
-    are read for the counts. Null labels take no part."""
-    known = df.where(F.col(label).isNotNull())
-    counts = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}
-    draw = F.xxhash64(F.col(id_col), F.lit(17)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    parts = []
-    for value, n in sorted(counts.items(), key=lambda x: str(x[0])):
-        bound = min(1.0, 1.5 * per_class / max(1, n) + 20 / max(1, n))
-        parts.append(known.where((F.col(label) == value) & (draw < bound)).withColumn("_draw", draw).orderBy("_draw", id_col).limit(per_class).drop("_draw"))
-    if not parts:
+    """per_class rows of each value of label (all, where it has fewer), chosen by a hash of the id:
+    those below a bound set from the class counts, cut in hash order. One pass over ids and labels
+    for the counts, one for the rows, however many labels. Null labels and ids take no part."""
+    known = df.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+    counts = known.groupBy(label).agg(F.count("*").alias("_n")).collect()  # a row per label
+    if not counts:
         return known.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    draw = F.xxhash64(F.col(id_col), F.lit(17)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    bounds = df.sparkSession.createDataFrame([(r[label], min(1.0, (1.5 * per_class + 20) / r["_n"])) for r in counts], StructType([df.select(label).schema[0], StructField("_bound", DoubleType())]))
+    some = known.join(F.broadcast(bounds), label).withColumn("_draw", draw).where("_draw < _bound")
+    nth = F.row_number().over(Window.partitionBy(label).orderBy("_draw", id_col))
+    return some.withColumn("_nth", nth).where(F.col("_nth") <= per_class).select(*df.columns)
 
 
 # ---- words of an Arrow string column -------------------------------------------------------
 
-_rng = np.random.default_rng(20240607)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BYTE = _BYTE[_LOWER]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_P = 0x9E3779B97F4A7C15
-_powers = {"up": np.ones(0, np.uint64), "down": np.ones(0, np.uint64)}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
-        n = max(n, 1 << 20)
-        for key, base in (("up", _P), ("down", pow(_P, -1, 1 << 64))):
-            t = np.full(n, base, np.uint64)
-            t[0] = 1
-            _powers[key] = np.cumprod(t, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+#: A random number for every byte at every place of a word up to NEAR; beyond, mix() makes them.
+NEAR = 32
+_PLACED = np.random.default_rng(20240607).integers(1, 1 << 63, (NEAR, 256), dtype=np.uint64)[:, _LOWER].ravel()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -138,7 +164,8 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """Words [^\\x20\\x09-\\x0D]+ of the rows: row index, byte start and end of each, and a 64-bit
-    hash of the word with A-Z lower-cased. first[i] : first[i + 1] are the words of row i."""
+    hash of the word with A-Z lower-cased: the sum of a random number for each (place, byte), so no
+    pattern of letters makes words collide. first[i] : first[i + 1] are the words of row i."""
 
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         n = len(data)
@@ -154,10 +181,17 @@ class Words:
             after[edges - 1] = True
         self.start = np.flatnonzero(before & ~gap)
         self.end = np.flatnonzero(after & ~gap) + 1
-        up, down = _tables(n)
+        place = np.arange(n, dtype=np.int64)
+        lead = np.zeros(n, np.int64)
+        lead[self.start] = self.start
+        place -= np.maximum.accumulate(lead)
+        value = _PLACED[np.minimum(place, NEAR - 1) * 256 + data]
+        far = np.flatnonzero((place >= NEAR - 1) & ~gap)
+        if len(far):
+            value[far] = mix(mix(place[far].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + _LOWER[data[far]])
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start]) if n else np.zeros(0, np.uint64)
+        np.cumsum(value, out=sums[1:])
+        self.hash = mix(sums[self.end] - sums[self.start])
         self.first = np.searchsorted(self.start, offs)
         self.row = np.repeat(np.arange(len(offs) - 1), np.diff(self.first))
 

@@ -12,14 +12,24 @@ products of incidence matrices, and pairs below ceil(NUM * (|x| + |y|) / (NUM +
 A block gives a spanning forest of its links, not all of them; contraction of the forests over
 all blocks yields the classes.
 
+Rows that meet in numbers beyond a block are dealt in parts. First every part is multiplied with
+itself and with a few pivot rows of all parts; where that leaves one class, as among copies of one
+text, nothing more is to be found. Then only the rows outside the largest class found are
+multiplied with all others. Blocks are worked off in passes, so that the sets under way at once
+are about half of those of the table.
+
 Defined results: null, empty or blank text has an empty set, no link, and is its own class;
 a text of fewer than WIDTH words is one n-gram, its whole word sequence; equal sets always link;
-repeated ids are one node; an empty table gives no row.
+a repeated id is one node with the links of all its texts; rows without an id link nothing and take
+the class of the documents with the same set (null, where there are none); an empty table gives no
+row. Words, n-grams and sets are known by 64-bit hashes (sets by two and their size); 56 bits of an
+n-gram's hash are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Words, blocks, deltas, durable, lists, mix, release, tidy, undelta
+from .common import Words, blocks, deltas, discard, durable, lists, mix, release, tidy, undelta
 
 WIDTH, NUM, DEN = 3, 90, 100
 #: Group agreements that a linked pair has at least beyond the one it needs; a set with more empty
 #: groups than its class allows for also files its empty groups.
 SPARE = 2
-#: Rows of a block that are multiplied at once; larger blocks are cut in halves of this that meet in pairs.
-BLOCK = 1024
+#: Rows and set members of a block that are multiplied at once; larger ones are dealt in parts of half that.
+BLOCK, MEMBERS = 1024, 2 << 20
+#: Rows, about, of a block dealt in parts that meet all its parts.
+PIVOTS = 96
 #: Bytes of a block after which its memory is given back.
 RELEASE = 4 << 20
 #: Rows of exact copies are joined to what was found of their set in this many shares.
@@ -114,6 +126,10 @@ def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def _named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _source(df, id_col, text_col).where("doc_id is not null")
+
+
 def describe(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """doc_id, set size n, and the set's signature (a, b)."""
 
@@ -148,31 +164,40 @@ def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den
                     flat = np.concatenate(keys)
                     yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(n[some]), lists(flat.view(np.int64), np.cumsum([0, *map(len, keys)]))], names=["a", "n", "keys"])
 
-    return _source(df, id_col, text_col).mapInArrow(tidy(run), "a long, n long, keys array<long>")
+    return _named(df, id_col, text_col).mapInArrow(tidy(run), "a long, n long, keys array<long>")
 
 
-def sets_in_blocks(df: DataFrame, width: int) -> DataFrame:
-    """block, rep, grams for every block of every row (rep, text, blocks)."""
+def sets_in_blocks(texts: DataFrame, width: int) -> DataFrame:
+    """block, a, rep, grams for every block of every row (rep, a, text, blocks) whose text has the
+    set a; other texts of a repeated id don't count here, and a task sends equal rows once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent_before: set[int] = set()
         for b in batches:
             for lo, hi, data, offs in blocks(b.column("text"), 1 << 20):
                 gram, bound = gram_sets(data, offs, width)
-                n, part = np.diff(bound), b.slice(lo, hi - lo)
+                own, _ = signatures(gram, bound)
+                part = b.slice(lo, hi - lo)
+                wanted = part.column("a").to_numpy()
+                some = [i for i in np.flatnonzero(own == wanted).tolist() if not (wanted[i] in sent_before or sent_before.add(wanted[i]))]
+                if not some:
+                    continue
+                part = part.take(pa.array(some))
+                span = [(int(bound[i]), int(bound[i + 1])) for i in some]
                 of = part.column("blocks")
-                row = np.repeat(np.arange(hi - lo), np.diff(of.offsets.to_numpy()))
+                row = np.repeat(np.arange(len(some)), np.diff(of.offsets.to_numpy()))
                 names = of.flatten()
                 # 56 bits of each member, sorted, as differences: what the shuffle carries most of.
-                grams = pa.array([deltas(gram[x:y] >> np.uint64(8)) for x, y in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)], pa.binary())
-                sent = np.cumsum(n[row])
+                grams = pa.array([deltas(gram[x:y] >> np.uint64(8)) for x, y in span], pa.binary())
+                sent = np.cumsum(np.array([y - x for x, y in span])[row])
                 at = 0
                 while at < len(row):  # about 1 << 20 set members a batch
                     to = max(at + 1, int(np.searchsorted(sent, (sent[at - 1] if at else 0) + (1 << 20), "right")))
                     pick = pa.array(row[at:to])
-                    yield pa.RecordBatch.from_arrays([names[at:to], part.column("rep").take(pick), grams.take(pick)], names=["block", "rep", "grams"])
+                    yield pa.RecordBatch.from_arrays([names[at:to], part.column("a").take(pick), part.column("rep").take(pick), grams.take(pick)], names=["block", "a", "rep", "grams"])
                     at = to
 
-    return df.select("rep", "text", "blocks").mapInArrow(tidy(run), "block struct<id: long, i: long, j: long>, rep long, grams binary")
+    return texts.select("rep", "a", "text", "blocks").mapInArrow(tidy(run), "block struct<id: long, i: long, j: long>, a long, rep long, grams binary")
 
 
 def forest(ids: np.ndarray, flat: np.ndarray, bound: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -207,44 +232,45 @@ def forest(ids: np.ndarray, flat: np.ndarray, bound: np.ndarray, num: int, den:
 
 def contract(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node reachable over undirected edges (u, v), by alternating large
-    and small stars; each round is written to the shared folder."""
+    and small stars; each round is written to the shared folder. The smallest neighbours are a table
+    of their own, so that the edges of a star's centre, which may be most of all, can be split."""
     both = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = durable(both, "edges")
     mark = None
     while True:
         around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = durable(around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = durable(around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        small_low = durable(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v"))).where("u <> v")
-        now = durable(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        after = durable(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        discard(now, low, large, small_low)
+        now = after
         got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if got == mark or not got[0]:
             return now.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
         mark = got
 
 
-def cut(rows: DataFrame, id_col: str) -> DataFrame:
-    """block, a: rows (id, size, a) of an id in one block, or in blocks of two halves of BLOCK each,
-    a block for every pair of halves, where there are more than BLOCK of them."""
-    half = BLOCK // 2
-    dealt = rows.withColumn("parts", F.when(F.col("size") > BLOCK, F.ceil(F.col("size") / half)).otherwise(1)).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
-    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda x: (x != F.col("part")) | (F.col("parts") == 1)))
-    return dealt.withColumn("other", other).select(F.struct(F.col(id_col).alias("id"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("block"), "a")
+def parts(size="size", total="total"):
+    """Parts that the rows of a block are dealt in: one, where they fit."""
+    size, total = F.col(size), F.col(total)
+    return F.when((size > BLOCK) | (total > MEMBERS), F.greatest(F.ceil(size / (BLOCK // 2)), F.ceil(total / (MEMBERS // 2)))).otherwise(1).cast("long")
 
 
 def copies(size, total):
-    """Set members that go to the blocks of cut()."""
-    return total * F.when(F.col(size) > BLOCK, F.ceil(F.col(size) / (BLOCK // 2)) - 1).otherwise(1)
+    """Set members that go to blocks if no class shows among the rows."""
+    return F.col(total) * F.greatest(F.lit(1), parts(size, total) - 1)
 
 
 def meetings(filed: DataFrame) -> DataFrame:
-    """block, a: who meets whom. Rows that agree on a column group meet; where that sends fewer set
-    members about, all rows that hang together by such agreements meet in one block instead."""
+    """id, root, size, total, a, n: who meets whom. Rows that agree on a column group meet; where
+    that sends fewer set members about, all rows that hang together by such agreements (their root)
+    meet at once instead. size and total: rows and set members that meet under the id."""
     filed = filed.select("a", "n", F.explode("keys").alias("key")).repartition("key").distinct()
     sizes = filed.groupBy("key").agg(F.count("*").alias("size"), F.min("a").alias("low")).where("size > 1")
     met = durable(filed.join(sizes, "key"), "met")
-    hang = contract(met.select(F.col("a").alias("u"), F.col("low").alias("v")))
+    hang = durable(contract(met.select(F.col("a").alias("u"), F.col("low").alias("v"))), "hang")
     rows = met.select("a", "n").distinct().join(hang.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     rows = durable(rows, "rows")
     whole = rows.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
@@ -252,28 +278,65 @@ def meetings(filed: DataFrame) -> DataFrame:
     alike = met.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.min("a").alias("a"), F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("y"))
     alike = alike.groupBy("a", "x", "y", "size", "total").agg(F.min("key").alias("key")).join(rows.select("a", "root"), "a").select("root", "key", "size", "total")
     alike = durable(alike, "alike")
-    cost = alike.groupBy("root").agg(F.sum(copies("size", F.col("total"))).alias("cost"))
-    whole = durable(whole.join(cost, "root").withColumn("as_one", copies("size", F.col("total")) <= F.col("cost")), "whole")
-    one = rows.join(whole.where("as_one").select("root", "size"), "root")
-    apart = alike.join(whole.where("not as_one").select("root"), "root", "left_semi").select("key")
-    return cut(one, "root").unionByName(cut(met.join(apart, "key"), "key"))
-
-
-def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    told = durable(describe(df, id_col, text_col, width), "sets").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    # At most SALTS rows stand for a set, however many copies it has; rep is its smallest document.
-    shares = told.where("n > 0").groupBy("a", "b", "n", "salt").agg(F.min("doc_id").alias("least"))
-    shares = durable(shares.select("a", "b", "n", "salt", F.min("least").over(Window.partitionBy("a", "b", "n")).alias("rep")), "shares")
-    same = shares.select("a", "rep").distinct()
-    rows = durable(meetings(filings(df, id_col, text_col, width, num, den)), "blocks")
-    # Texts of the sets that meet, once each, with the blocks that they go to.
-    chosen = rows.groupBy("a").agg(F.collect_list("block").alias("blocks")).join(same, "a").select("rep", "blocks")
-    texts = _source(df, id_col, text_col).withColumnRenamed("doc_id", "rep").join(chosen, "rep").dropDuplicates(["rep"])
-    members = sets_in_blocks(texts, width)
+    cost = alike.groupBy("root").agg(F.sum(copies("size", "total")).alias("cost"))
+    whole = durable(whole.join(cost, "root").withColumn("as_one", copies("size", "total") <= F.col("cost")), "whole")
+    one = rows.join(whole.where("as_one").select("root", "size", "total"), "root").select(F.col("root").alias("id"), "root", "size", "total", "a", "n")
+    apart = alike.join(whole.where("not as_one").select("root"), "root", "left_semi")
+    out = durable(one.unionByName(met.select("key", "a", "n").join(apart, "key").select(F.col("key").alias("id"), "root", "size", "total", "a", "n")), "meet")
+    discard(met, hang, rows, alike, whole)
+    return out
+
+
+def _block(i, j):
+    return F.struct(F.col("id"), i.cast("long").alias("i"), j.cast("long").alias("j"))
+
+
+def first_blocks(meet: DataFrame) -> DataFrame:
+    """block, root, a, n: every row in its part, pivots in all parts of their id."""
+    draw = F.xxhash64("a", F.lit(3)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    pivot = (F.col("parts") > 1) & (draw < PIVOTS / F.col("size"))
+    dealt = meet.withColumn("parts", parts()).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
+    dealt = dealt.withColumn("part", F.explode(F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part"))))
+    return dealt.select(_block(F.col("part"), F.col("part")).alias("block"), "root", "a", "n")
+
+
+def second_blocks(meet: DataFrame, same: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Of ids dealt in parts: rows outside their largest class against all others. None where
+    there are none."""
+    classed = meet.withColumn("parts", parts()).where("parts > 1").join(same, "a").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    classed = durable(classed.select("id", "root", "a", "n", "parts", F.coalesce("found", "rep").alias("found")), "classed")
+    main = classed.groupBy("id", "found").agg(F.count("*").alias("k")).groupBy("id").agg(F.max_by("found", F.struct("k", "found")).alias("main"))
+    main = durable(main, "main")
+    marked = classed.join(main, "id").withColumn("rest", F.col("found") != F.col("main"))
+    left = durable(marked.where("rest").groupBy("id").agg(F.count("*").alias("size"), F.sum("n").alias("total")).select("id", F.greatest(F.ceil(F.col("size") / (BLOCK // 2)), F.ceil(F.col("total") / (MEMBERS // 2))).cast("long").alias("rests")), "left")
+    if left.isEmpty():
+        discard(classed, main, left)
+        return None
+    dealt = marked.join(left, "id").withColumn("part", F.pmod(F.xxhash64("a"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("parts"))))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    others = F.filter(upto("rests"), lambda x: (x != F.col("part")) | (F.col("rests") == 1))
+    outside = F.concat(F.transform(upto("parts"), lambda p: _block(F.col("part"), p)), F.transform(others, lambda x: _block(-1 - F.least("part", x), -1 - F.greatest("part", x))))
+    inside = F.transform(upto("rests"), lambda r: _block(r, F.col("part")))
+    out = durable(dealt.select(F.explode(F.when(F.col("rest"), outside).otherwise(inside)).alias("block"), "root", "a", "n"), "second")
+    discard(classed, main, left)
+    return out
+
+
+def links(docs: DataFrame, placed: DataFrame, same: DataFrame, members: int, width: int, num: int, den: int) -> list[DataFrame]:
+    """Spanning forests (u, v) of the links within all blocks, a table per pass. Blocks of one root
+    go in one pass, but for roots that would fill a quarter of it: these are dealt out by block."""
+    room = max(1, members // 2)
+    passes = -(-int(placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // room)
+    large = placed.groupBy("root").agg(F.sum("n").alias("sent")).where(F.col("sent") > room // 4).select("root", F.lit(True).alias("large"))
+    # At most four of them for each pass there is.
+    turned = placed.join(large, "root", "left").withColumn("pass", F.pmod(F.when(F.col("large"), F.xxhash64("block")).otherwise(F.xxhash64("root")), F.lit(max(1, passes))).cast("int"))
+    chosen = turned.groupBy("a", "pass").agg(F.collect_list("block").alias("blocks")).join(same, "a")
+    texts = durable(docs.withColumnRenamed("doc_id", "rep").join(chosen, "rep").select("rep", "a", "text", "blocks", "pass"), "texts", by="pass")
 
     def multiply(t: pa.Table) -> pa.Table:
-        t = t.sort_by("rep")
+        t = t.sort_by([("rep", "ascending"), ("a", "ascending")])
+        a = t.column("a").to_numpy()
+        t = t.take(pa.array(np.sort(np.unique(a, return_index=True)[1])))
         ids = t.column("rep").to_numpy()
         sets = [undelta(x) for x in t.column("grams").to_pylist()]
         root = forest(ids, np.concatenate(sets), np.cumsum([0, *map(len, sets)]), num, den)
@@ -282,7 +345,35 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
             release()
         return pa.table({"u": ids[link], "v": root[link]})
 
-    found = contract(members.groupBy("block").applyInArrow(multiply, "u long, v long"))
-    named = shares.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n", "salt", F.coalesce("root", "rep").alias("root"))
+    out = [durable(sets_in_blocks(texts.where(F.col("pass") == p), width).groupBy("block").applyInArrow(multiply, "u long, v long"), "links") for p in range(passes)]
+    discard(texts)
+    return out
+
+
+def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    told = durable(describe(df, id_col, text_col, width), "sets").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    # At most SALTS rows stand for a set, however many copies it has; rep is its smallest document.
+    shares = told.where("n > 0").groupBy("a", "b", "n", "salt").agg(F.min("doc_id").alias("least"))
+    shares = durable(shares.select("a", "b", "n", "salt", F.min("least").over(Window.partitionBy("a", "b", "n")).alias("rep")), "shares")
+    sets = durable(shares.where("rep is not null").select("a", "rep", "n").distinct(), "reps")
+    same, members = sets.select("a", "rep"), int(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    docs = _named(df, id_col, text_col)
+    meet = meetings(filings(df, id_col, text_col, width, num, den))
+    # An id with several texts ties their sets together.
+    several = told.where("n > 0").groupBy("doc_id").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("doc_id is not null and x <> y").select("doc_id")
+    tied = told.where("n > 0").join(several, "doc_id", "left_semi").select("doc_id", "a").distinct().join(same, "a").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    placed = durable(first_blocks(meet), "first")
+    first = links(docs, placed, same, members, width, num, den)
+    found = durable(contract(reduce(DataFrame.unionByName, first, tied)).select("node", F.col("root").alias("found")), "found")
+    discard(placed, *first)
+    if (more := second_blocks(meet, same, found)) is not None:
+        second = links(docs, more, same, members, width, num, den)
+        all_links = reduce(DataFrame.unionByName, second, found.select(F.col("node").alias("u"), F.col("found").alias("v")))
+        wider = durable(contract(all_links).select("node", F.col("root").alias("found")), "found")
+        discard(more, found, *second)
+        found = wider
+    discard(meet, sets)
+    named = shares.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n", "salt", F.coalesce("found", "rep").alias("root"))
     out = told.join(named, ["a", "b", "n", "salt"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
