@@ -3,14 +3,17 @@ top-k by inner product with Fagin's threshold algorithm. Both deal vectors and q
 blocks; a block returns each query's best rows, never its pairs.
 
 Defined results, both: vectors that are null, empty or hold null or non-finite components (and, for
-the nearest neighbours, zero vectors) take no part; vectors of another length than the query's are
-no candidates; equal scores go to the smaller id; a query with fewer candidates than k gets them
+the nearest neighbours, zero vectors), and rows without an id, take no part; vectors of another
+length than the query's are no candidates; equal scores go to the smaller id; a query with fewer candidates than k gets them
 all, and none without candidates. Ids are taken to be unique; rows that repeat an id are
 candidates of their own.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,8 +24,9 @@ from .common import durable
 
 # ---- cross-polytope hashing ------------------------------------------------------------------
 
-TABLES, PROBES = 8, 14
-BLOCK = 512  # vectors of a bucket in one block
+#: Tables, and the buckets of all tables together that a query looks in: those of its nearest axes.
+TABLES, PROBES = 8, 100
+BLOCK, ASKING = 512, 32  # vectors of a bucket in one block, and queries reranked with it at once
 
 
 def rotations(dim: int, tables: int, seed: int = 11) -> np.ndarray:
@@ -44,14 +48,12 @@ def rotate(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return x
 
 
-def nearest_axes(x: np.ndarray, signs: np.ndarray, many: int) -> np.ndarray:
-    """The many nearest signed axes (2 i for +e_i, 2 i + 1 for -e_i) of rows of x, nearest first."""
+def axes(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Distances of rows of x from the signed axes (2 i for +e_i, 2 i + 1 for -e_i), as products."""
     r = rotate(x, signs)
     both = np.empty((len(x), 2 * x.shape[1]))
     both[:, 0::2], both[:, 1::2] = -r, r
-    if many == 1:
-        return both.argmin(1)[:, None]
-    return np.argsort(both, axis=1, kind="stable")[:, :many]
+    return both
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -65,16 +67,19 @@ def matrix(col: pa.Array) -> np.ndarray:
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, zero: bool) -> DataFrame:
+    """id and v, the vector in the precision that it came in, of the rows that take part."""
+    kind = "array<float>" if df.select(vec_col).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    ok = v.isNotNull() & (F.size(v) > 0) & ~F.coalesce(bad, F.lit(True))
+    ok = F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.coalesce(bad, F.lit(True))
     if not zero:
         ok = ok & F.exists(v, lambda x: x != 0)
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(ok)
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("v")).where(ok)
 
 
-def buckets(df: DataFrame, tables: int, probes: int) -> DataFrame:
-    """A row per table and probed bucket of every vector (probes 0: all buckets of table 0)."""
+def buckets(df: DataFrame, tables: int, probes: int | None) -> DataFrame:
+    """id, dim, tab, bucket, v: the bucket of every vector in each table (probes None), or the
+    buckets of the `probes` nearest axes over all tables (0: all buckets of table 0)."""
 
     def run(batches):
         for b in batches:
@@ -88,13 +93,18 @@ def buckets(df: DataFrame, tables: int, probes: int) -> DataFrame:
                 wide = 1 << max(1, int(dim - 1).bit_length())
                 x = np.pad(x, ((0, 0), (0, wide - int(dim))))
                 signs = rotations(wide, tables)
-                for t in range(tables if probes else 1):
-                    axes = nearest_axes(x, signs[t], min(probes, 2 * wide) or 2 * wide)
-                    many = axes.shape[1]
-                    n = len(rows) * many
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[rows], many)), pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, t, np.int32)), pa.array(axes.ravel().astype(np.int32)), vecs.take(pa.array(np.repeat(np.arange(len(rows)), many)))], names=["id", "dim", "tab", "bucket", "v"])
+                if probes is None:
+                    pick = np.stack([axes(x, signs[t]).argmin(1) + t * 2 * wide for t in range(tables)], 1)
+                elif probes:
+                    far = np.concatenate([axes(x, signs[t]) for t in range(tables)], 1)
+                    pick = np.argsort(far, axis=1, kind="stable")[:, :probes]
+                else:
+                    pick = np.tile(np.arange(2 * wide), (len(rows), 1))
+                many = pick.shape[1]
+                pick = pick.ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[rows], many)), pa.array(np.full(len(pick), dim, np.int32)), pa.array((pick // (2 * wide)).astype(np.int32)), pa.array((pick % (2 * wide)).astype(np.int32)), vecs.take(pa.array(np.repeat(np.arange(len(rows)), many)))], names=["id", "dim", "tab", "bucket", "v"])
 
-    return df.mapInArrow(run, "id long, dim int, tab int, bucket int, v array<double>")
+    return df.mapInArrow(run, f"id long, dim int, tab int, bucket int, v {df.schema['v'].dataType.simpleString()}")
 
 
 def best(ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
@@ -107,7 +117,7 @@ def best(ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
 
 
 def _probe(vectors: DataFrame, queries: DataFrame, k: int, tables: int, probes: int) -> DataFrame:
-    filed = buckets(vectors, tables, 1)
+    filed = buckets(vectors, tables, None)
     if not probes:
         filed = filed.where("tab = 0")
     # Bounded by tables times signed axes, whatever the number of vectors.
@@ -121,12 +131,14 @@ def _probe(vectors: DataFrame, queries: DataFrame, k: int, tables: int, probes:
         x, ids = matrix(t.column("v")), t.column("id").to_numpy()
         q, v, qi, vi = x[is_q], x[~is_q], ids[is_q], ids[~is_q]
         out = []
-        for i in range(len(q)) if len(v) else ():
-            dist = np.sqrt(((v - q[i]) ** 2).sum(1))
-            dist[vi == qi[i]] = np.inf
-            top = best(vi, dist, min(k, len(vi)))
-            top = top[np.isfinite(dist[top])]
-            out.append((np.full(len(top), qi[i]), vi[top], dist[top]))
+        for at in range(0, len(q), ASKING) if len(v) else ():
+            some = slice(at, at + ASKING)
+            near = np.sqrt(((v[None] - q[some, None]) ** 2).sum(2))
+            near[vi[None] == qi[some, None]] = np.inf
+            for own, dist in zip(qi[some], near, strict=True):
+                top = best(vi, dist, min(k, len(vi)))
+                top = top[np.isfinite(dist[top])]
+                out.append((np.full(len(top), own), vi[top], dist[top]))
         join = lambda n, kind: pa.array(np.concatenate([o[n] for o in out]) if out else np.zeros(0), kind)
         return pa.table({"query_id": join(0, pa.int64()), "vec_id": join(1, pa.int64()), "score": join(2, pa.float64())})
 
@@ -156,13 +168,23 @@ def nearest(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_co
 # ---- threshold algorithm ---------------------------------------------------------------------
 
 SHARD, ASKS = 4096, 1024
+_MOST = (1 << 63) - 1
+
+
+def scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as int64, or as Python integers where that would overflow."""
+    if np.abs(x).max(initial=0) * scale < 2.0**62:
+        return np.floor(x * scale).astype(np.int64)
+    exact = [math.floor(Fraction(c) * scale) for c in x.ravel().tolist()]
+    return np.array(exact, object).reshape(x.shape)
 
 
 def threshold_top(x: np.ndarray, ids: np.ndarray, lists: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest inner products of q with rows of x but those with id own. lists: row numbers
-    by falling value, a column per dimension. Lists are read from the end that helps, ever deeper;
-    rows that turn up are scored whole, once; the products at the depth reached bound every row
-    not seen yet, and once the kth score is above that bound nothing can change."""
+    """The k largest inner products of q with rows of x but those with id own, all exact in the
+    type of x. lists: row numbers by falling value, a column per dimension. Lists are read from the
+    end that helps, ever deeper; rows that turn up are scored whole, once; the products at the depth
+    reached bound every row not seen yet, and once the kth score is above that bound nothing can
+    change. Products beyond a long's range count as its ends."""
     dims = np.flatnonzero(q)
     seen = np.zeros(len(x), bool)
     seen[ids == own] = True
@@ -176,9 +198,10 @@ def threshold_top(x: np.ndarray, ids: np.ndarray, lists: np.ndarray, q: np.ndarr
         fresh = np.unique(block)
         fresh = fresh[~seen[fresh]]
         seen[fresh] = True
-        rows = np.concatenate([rows, fresh])
-        scores = np.concatenate([scores, x[fresh] @ q])
-        top = np.lexsort((ids[rows], -scores))[:k]
+        made = x[fresh] @ q
+        made = np.array([max(-_MOST - 1, min(_MOST, c)) for c in made], np.int64) if x.dtype == object else made.astype(np.int64)
+        rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, made])
+        top = np.lexsort((ids[rows], ~scores))[:k]
         rows, scores = rows[top], scores[top]
         if not len(dims) or to == n or seen.all():
             break
@@ -190,8 +213,9 @@ def threshold_top(x: np.ndarray, ids: np.ndarray, lists: np.ndarray, q: np.ndarr
 
 
 def top_products(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """query_id, rank, vec_id and the integer inner product of the k best of every query, exact."""
-    every = usable(df, id_col, vec_col, zero=True).withColumn("v", F.transform("v", lambda x: F.floor(scale * x)))
+    """query_id, rank, vec_id and the integer inner product of the k best of every query, exact.
+    Scores beyond a long's range are its ends."""
+    every = usable(df, id_col, vec_col, zero=True)
     queries = every.where(is_query(F.col("id")))
     n, n_q = every.count(), queries.count()
     shards, batches = max(1, -(-n // SHARD)), max(1, -(-n_q // ASKS))
@@ -206,15 +230,19 @@ def top_products(df: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", ve
         is_q_all, ids_all = t.column("asks").to_numpy(), t.column("id").to_numpy()
         for dim in np.unique(sizes):
             part = np.flatnonzero(sizes == dim)
-            x = col.take(pa.array(part)).flatten().to_numpy().reshape(len(part), -1)
+            x = scaled(matrix(col.take(pa.array(part))), scale)
             is_q, ids = is_q_all[part], ids_all[part]
-            q, v, qi, vi = x[is_q], x[~is_q], ids[is_q], ids[~is_q]
-            if not len(v):
+            if not is_q.any() or is_q.all():
                 continue
+            v, vi = x[~is_q], ids[~is_q]
             lists = np.argsort(-v, axis=0, kind="stable")
-            for i in range(len(q)):
-                r, s = threshold_top(v, vi, lists, q[i], int(qi[i]), k)
-                out.append((np.full(len(r), qi[i]), vi[r], s))
+            most = float(np.abs(v).max()) * float(np.abs(x[is_q]).max()) * int(dim)
+            # Doubles hold the sums exactly up to 2^53 and multiply fastest; beyond 2^62 Python's integers do.
+            kind = np.float64 if most < 2.0**52 else np.int64 if most < 2.0**62 else object
+            v = v.astype(kind)
+            for own, q in zip(ids[is_q].tolist(), x[is_q].astype(kind), strict=True):
+                r, s = threshold_top(v, vi, lists, q, own, k)
+                out.append((np.full(len(r), own), vi[r], s))
         join = lambda c: pa.array(np.concatenate([o[c] for o in out]) if out else np.zeros(0), pa.int64())
         return pa.table({"query_id": join(0), "vec_id": join(1), "score": join(2)})
 
