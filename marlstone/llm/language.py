@@ -1,16 +1,19 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of a bounded labelled sample is built. A text is cut
-greedily into phrases, each the longest string from where it begins that occurs in the sample;
-the language with the fewest phrases per letter wins. Long texts are parsed in blocks of BLOCK
-characters, whole text, so that a phrase never spans a block: at most one phrase more per block,
-the same for every language.
+greedily into phrases, each the longest string from where it begins that occurs in the sample. A
+phrase of a sample of m symbols costs log2(m) bits, its place there; the language with the fewest
+bits (phrases normalised by sample) wins.
+
+The parse runs over whole texts. To go on side by side, spans of SPAN symbols are first parsed from
+their beginnings, then those that the parse of the span before enters elsewhere are parsed anew from
+there, until the phrase starts of both agree; what results is the parse from the text's beginning.
 
 Symbols are folded characters: lower case, every run of non-letters one blank.
 
-Defined results: null, empty or letterless text gives `und` with score 0; equal counts give the
+Defined results: null, empty or letterless text gives `und` with score 0; equal costs give the
 alphabetically first language; with no labelled rows every text is `und`. score is
-1 - fewest / second fewest phrases (1 where only one language is known).
+1 - fewest / second fewest bits (1 where only one language is known).
 """
 
 from __future__ import annotations
@@ -21,13 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 from .common import blocks, labelled_sample, tidy
 
-#: Sample per language: rows, characters from a row (a window inside it), characters in all.
-SAMPLE_ROWS, SAMPLE_ROW_CHARS, SAMPLE_CHARS = 60, 1500, 40_000
-BLOCK = 256
-_BREAK = np.int32(1 << 30)
+#: Sample per language: rows, and characters in all, shared among the rows (a window of each).
+SAMPLE_ROWS, SAMPLE_CHARS = 60, 42_000
+SPAN = 256
 
 
 def fold_table(limit: int = 0x3000) -> np.ndarray:
@@ -49,9 +53,8 @@ def folded(codes: np.ndarray) -> np.ndarray:
     out = np.full(len(codes), 32, np.uint32)
     small = codes < len(_FOLD)
     out[small] = _FOLD[codes[small]]
-    for i in np.flatnonzero(~small):
-        if chr(codes[i]).isalpha():
-            out[i] = codes[i]
+    far, inv = np.unique(codes[~small], return_inverse=True)
+    out[~small] = np.array([c if chr(c).isalpha() else 32 for c in far.tolist()], np.uint32)[inv] if len(far) else 32
     return out
 
 
@@ -64,7 +67,9 @@ def symbols(codes: np.ndarray) -> np.ndarray:
 
 
 class Automaton:
-    """Suffix automaton of a string of small ints as one table: next[state * width + symbol]."""
+    """Suffix automaton of an array of small ints. Edges lie in one array shared by all states:
+    state s goes over c to to[base[s] + c] if owner[base[s] + c] is s, so they take room for the
+    edges there are, whatever the number of symbols."""
 
     def __init__(self, text: np.ndarray, width: int):
         nxt: list[dict[int, int]] = [{}]
@@ -93,79 +98,147 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        # Where a state has no edge the phrase ends there and the next one begins with the symbol. A
-        # symbol that the sample lacks is a phrase of its own: it leads to a state without edges.
-        table = np.full((len(nxt) + 1, width), -1, np.int32)
-        for s, edges in enumerate(nxt):
-            for c, to in edges.items():
-                table[s, c] = to * width
-        root = np.where(table[0] < 0, len(nxt) * width, table[0])
-        self.table = np.where(table < 0, root[None, :] | _BREAK, table).ravel()
+        edges = sum(map(len, nxt))
+        room = 2 * edges + 4 * width + 64
+        used, begin = bytearray(room), {}
+        self.base, to, owner = np.zeros(len(nxt), np.int32), np.zeros(room, np.int32), np.full(room, -1, np.int32)
+        for s in sorted(range(len(nxt)), key=lambda s: -len(nxt[s])):
+            if not nxt[s]:
+                continue
+            symbols_ = sorted(nxt[s])
+            # States of one size go on where the last of them found room.
+            at = used.find(0, max(begin.get(len(symbols_), 0), symbols_[0]))
+            while True:
+                if at < 0 or at + width >= len(used):
+                    grow = len(used)
+                    used.extend(bytes(grow))
+                    to, owner = np.append(to, np.zeros(grow, np.int32)), np.append(owner, np.full(grow, -1, np.int32))
+                    at = used.find(0, max(at, 0))
+                b = at - symbols_[0]
+                if len(symbols_) == 1 or not any(used[b + c] for c in symbols_):
+                    break
+                at = used.find(0, at + 1)
+            begin[len(symbols_)] = at
+            self.base[s] = b
+            for c, t in nxt[s].items():
+                used[b + c], to[b + c], owner[b + c] = 1, t, s
+        end = len(used.rstrip(b"\0")) + width + 1
+        self.to, self.owner = np.resize(to, end), np.resize(owner, end)
+        self.to[len(to) :], self.owner[len(to) :] = 0, -1
+
+    def parse(self, flat: np.ndarray, begin: np.ndarray, stop: np.ndarray, mark: np.ndarray, fresh: bool) -> tuple[np.ndarray, np.ndarray]:
+        """From phrase starts begin, each before its stop, to the first phrase start at or after the
+        stop; or, unless fresh, to one in mark. Gives the phrases begun on the way and where it ended.
+        fresh puts the phrase starts before the stops into mark."""
+        phrases, ended = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        lane, at, stop = np.arange(len(begin)), begin.copy(), stop
+        state = np.zeros(len(begin), np.int32)
+        started = begin.copy()
+        phrases += 1
+        if fresh:
+            mark[begin] = True
+        while len(lane):
+            edge = self.base[state] + flat[at]
+            ok = self.owner[edge] == state
+            # A symbol that the sample lacks is a phrase of its own.
+            lost = ~ok & (at == started)
+            state = np.where(ok, self.to[edge], 0)
+            at = at + (ok | lost)
+            broke = np.flatnonzero(~ok)
+            if not len(broke):
+                continue
+            here = at[broke]
+            started[broke] = here
+            done = here >= stop[broke]
+            if fresh:
+                mark[here[~done]] = True
+            else:
+                done |= mark[np.minimum(here, len(mark) - 1)]
+            phrases[lane[broke[~done]]] += 1
+            if done.any():
+                gone = broke[done]
+                ended[lane[gone]] = at[gone]
+                keep = np.ones(len(lane), bool)
+                keep[gone] = False
+                lane, at, stop, state, started = lane[keep], at[keep], stop[keep], state[keep], started[keep]
+        return phrases, ended
+
+    def phrases(self, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Phrases of each text flat[first : first + size]; a symbol without any edge follows each."""
+        spans = -(-size // SPAN)
+        owner = np.repeat(np.arange(len(size)), spans)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(spans) - spans, spans)
+        begin = first[owner] + nth * SPAN
+        stop = np.minimum(begin + SPAN, (first + size)[owner])
+        if not len(begin):
+            return np.zeros(len(size), np.int64)
+        mark = np.zeros(len(flat), bool)
+        own_n, own_end = self.parse(flat, begin, stop, mark, True)
+        upto = np.concatenate([[0], np.cumsum(mark)])
+        enter, n, end = begin.copy(), own_n.copy(), own_end.copy()
+        while True:
+            want = begin.copy()
+            want[1:] = np.where(nth[1:] > 0, end[:-1], begin[1:])
+            some = np.flatnonzero(want != enter)
+            if not len(some):
+                return np.bincount(owner, n, len(size)).astype(np.int64)
+            enter[some] = want[some]
+            past = want[some] >= stop[some]
+            n[some[past]], end[some[past]] = 0, want[some[past]]
+            some = some[~past]
+            got, at = np.zeros(len(some), np.int64), want[some].copy()
+            new = np.flatnonzero(~mark[at])
+            if len(new):
+                got[new], at[new] = self.parse(flat, at[new], stop[some[new]], mark, False)
+            joined = at < stop[some]
+            n[some] = got + np.where(joined, upto[stop[some]] - upto[np.minimum(at, stop[some])], 0)
+            end[some] = np.where(joined, own_end[some], at)
 
 
 class Parser:
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        folds = {k: symbols(np.frombuffer(v.encode("utf-32-le"), np.uint32)) for k, v in samples.items()}
+        folds = {k: symbols(np.frombuffer(v.encode("utf-32-le", "replace"), np.uint32)) for k, v in samples.items()}
         known = np.unique(np.concatenate([np.zeros(0, np.uint32), *folds.values()]))
         self.known = np.union1d(known, np.array([32], np.uint32))
-        self.width = len(self.known) + 1  # the last symbol stands for letters of no sample
-        self.low = np.full(len(_FOLD), self.width - 1, np.int16)
+        # Two symbols more: letters of no sample, and the end of a text.
+        self.other, self.end = len(self.known), len(self.known) + 1
+        self.low = np.full(len(_FOLD), self.other, np.int32)
         self.low[self.known[self.known < len(_FOLD)]] = np.flatnonzero(self.known < len(_FOLD))
-        tables = [Automaton(self.index(folds[k]), self.width).table for k in self.names]
-        self.at = np.cumsum([0, *map(len, tables)])[:-1].astype(np.int32)
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        self.automata = [Automaton(self.index(folds[k]), self.end + 1) for k in self.names]
+        self.bits = np.array([np.log2(max(2, len(folds[k]))) for k in self.names])
 
     def index(self, f: np.ndarray) -> np.ndarray:
-        out = np.full(len(f), self.width - 1, np.int16)
+        out = np.full(len(f), self.other, np.int32)
         small = f < len(self.low)
         out[small] = self.low[f[small]]
-        for i in np.flatnonzero(~small):
-            j = int(np.searchsorted(self.known, f[i]))
-            if j < len(self.known) and self.known[j] == f[i]:
-                out[i] = j
+        far = np.flatnonzero(~small)
+        if len(far):
+            j = np.minimum(np.searchsorted(self.known, f[far]), len(self.known) - 1)
+            out[far] = np.where(self.known[j] == f[far], j, self.other)
         return out
 
     def count(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each symbol array for each language."""
-        total = np.zeros((len(texts), len(self.names)), np.int64)
-        sizes = np.array([len(t) for t in texts])
-        if not sizes.sum() or not self.names:
-            return total
-        flat = np.concatenate(texts).astype(np.int32)
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        n_blocks = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(texts)), n_blocks)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
-        start = first[owner] + nth * BLOCK
-        left = np.minimum(BLOCK, first[owner + 1] - start)
-        order = np.argsort(-left, kind="stable")
-        start, left, owner = start[order], left[order], owner[order]
-        live = np.searchsorted(-left, -np.arange(BLOCK), "left")  # rows still going at each column
-        for k, at in enumerate(self.at):
-            table = self.table[at : self.at[k + 1] if k + 1 < len(self.at) else None]
-            state = np.zeros(len(start), np.int32)
-            phrases = np.ones(len(start), np.int64)
-            for t in range(int(left[0])):
-                m = live[t]
-                got = table[(state[:m] & ~_BREAK) + flat[start[:m] + t]]
-                phrases[:m] += got >> 30
-                state[:m] = got
-            # A first symbol outside the sample breaks at once; the break then counts no phrase more.
-            lost = table[flat[start]] & _BREAK != 0
-            total[:, k] = np.bincount(owner, phrases - lost, len(texts)).astype(np.int64)
-        return total
+        size = np.array([len(t) for t in texts], np.int64)
+        first = np.cumsum(size + 1) - size - 1
+        flat = np.full(int(size.sum()) + len(size), self.end, np.int32)
+        for at, t in zip(first.tolist(), texts, strict=True):
+            flat[at : at + len(t)] = t
+        return np.stack([a.phrases(flat, first, size) for a in self.automata], 1) if self.names else np.zeros((len(texts), 0), np.int64)
 
 
 def samples(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> dict[str, str]:
-    """A bounded sample per language: SAMPLE_ROWS rows by hash of the id, a window of each."""
+    """A bounded sample per language: SAMPLE_ROWS rows by hash of the id, SAMPLE_CHARS characters,
+    shared among the rows there are; of a longer text a window."""
     known = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = labelled_sample(known, "lang", "id", SAMPLE_ROWS)
-    begin = F.greatest(F.lit(1), F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_ROW_CHARS)).cast("int"))
+    share = F.floor(F.lit(SAMPLE_CHARS) / F.count("*").over(Window.partitionBy("lang"))).cast("int")
+    begin = F.greatest(F.lit(1), F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.length("text") - F.col("share"))).cast("int"))
     out: dict[str, list[str]] = {}
-    for r in rows.select("id", "lang", F.substring(F.col("text"), begin, F.lit(SAMPLE_ROW_CHARS)).alias("text")).orderBy("lang", F.xxhash64("id"), "id").collect():
+    for r in rows.withColumn("share", share).select("id", "lang", F.substring(F.col("text"), begin, F.col("share")).alias("text")).orderBy("lang", F.xxhash64("id"), "id").collect():
         out.setdefault(r["lang"], []).append(r["text"])
-    return {k: " ".join(dict.fromkeys(v))[:SAMPLE_CHARS] for k, v in out.items()}
+    return {k: " ".join(dict.fromkeys(v)) for k, v in out.items()}
 
 
 def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -195,8 +268,9 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
                     best.append(np.zeros(len(letters), np.int64))
                     score.append(np.zeros(len(letters)))
                     continue
-                pick = counts.argmin(1)
-                ranked = np.sort(counts, 1)
+                cost = counts * p.bits
+                pick = cost.argmin(1)
+                ranked = np.sort(cost, 1)
                 margin = 1 - ranked[:, 0] / np.maximum(1, ranked[:, 1]) if counts.shape[1] > 1 else np.ones(len(pick))
                 best.append(np.where(letters > 0, pick, len(p.names)))
                 score.append(np.where(letters > 0, margin, 0.0))
@@ -204,7 +278,5 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
             i = np.concatenate(best) if best else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(names[np.minimum(i, n)].tolist(), pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*kept, "lang_pred", "score"])
 
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
     schema = StructType([*(source.schema[c] for c in kept), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return source.mapInArrow(tidy(run), schema)
