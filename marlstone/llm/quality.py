@@ -2,10 +2,10 @@
 
 A text is a bag of passages of PASSAGE words, a new one every PASSAGE words; the last may be
 shorter, and no word is left out. A passage is encoded as shape statistics (letters, capitals, marks, digits, lengths, repeated
-words and word pairs) and a hashed, signed bag of its words. A learned layer turns that into a
+words and word pairs) and a signed bag of its words in HASHED cells. A learned layer turns that into a
 representation h; gated attention, exp(w . (tanh(V h) * sigmoid(U h))), normalised over the bag,
 weights the passages, and the label of the document is read from the weighted mean of h. Only
-document labels train it, in numpy, on a bounded sample (SAMPLE rows per label).
+document labels train it, in numpy, on a bounded sample of whole texts (SAMPLE rows per label).
 
 Defined results: null, empty or blank text is a bag of one all-zero passage and gets the score the
 model gives that; with no labelled rows, or one label only, every score is the share of label 1
@@ -25,14 +25,15 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import Words, blocks, labelled_sample, tidy
 
 PASSAGE = 64
-HASHED = 16
-#: Documents per label, and characters of a document (a window inside it), that train.
-SAMPLE, SAMPLE_CHARS = 1500, 8000
+HASHED = 1024
+#: Documents per label that train, with their whole texts.
+SAMPLE = 1500
 _CLASS = np.zeros((256, 5), np.float32)  # capital, small letter, digit, mark, beyond ASCII
 for _i in range(256):
     _c = chr(_i)
     _CLASS[_i] = [65 <= _i <= 90, 97 <= _i <= 122, 48 <= _i <= 57, 32 < _i < 127 and not _c.isalnum(), _i >= 128]
-WIDTH = 5 + 8 + HASHED
+SHAPE = 13
+WIDTH = SHAPE + HASHED
 
 
 def encode(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +77,7 @@ def encode(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x[:, 12] = np.minimum(1, n / PASSAGE)
     sign = ((w.hash >> np.uint64(40)) & np.uint64(1)).astype(np.float32) * 2 - 1
     cell = of * HASHED + (w.hash >> np.uint64(50)).astype(np.int64) % HASHED
-    x[:, 13:] = (np.bincount(cell, sign, len(x) * HASHED).reshape(-1, HASHED) / np.sqrt(m)[:, None]).astype(np.float32)
+    x[:, SHAPE:] = (np.bincount(cell, sign, len(x) * HASHED).reshape(-1, HASHED) / np.sqrt(m)[:, None]).astype(np.float32)
     x[~used, 5:] = 0
     return x, bound
 
@@ -92,7 +93,11 @@ class AttentionMIL:
         r = np.random.default_rng(seed)
         s = lambda a, b: (r.standard_normal((a, b)) / np.sqrt(a)).astype(np.float32)
         self.mean, self.scale = np.zeros(width, np.float32), np.ones(width, np.float32)
-        self.p = {"W": s(width, hidden), "b": np.zeros(hidden, np.float32), "V": s(hidden, gate), "U": s(hidden, gate), "w": s(gate, 1), "c": s(hidden, 1), "d": np.zeros(1, np.float32)}
+        first = s(width, hidden)
+        # The statistics and the bag of words begin with about the same weight, however many cells.
+        first[:SHAPE] = s(SHAPE, hidden)
+        first[SHAPE:] *= 0.3
+        self.p = {"W": first, "b": np.zeros(hidden, np.float32), "V": s(hidden, gate), "U": s(hidden, gate), "w": s(gate, 1), "c": s(hidden, 1), "d": np.zeros(1, np.float32)}
         self.constant: float | None = None
 
     def forward(self, x: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, dict]:
@@ -131,7 +136,7 @@ class AttentionMIL:
             self.constant = float(t.mean()) if len(t) else 0.5
             return self
         every = np.concatenate(bags)
-        self.mean, self.scale = every.mean(0), every.std(0) + 1e-3
+        self.mean[:SHAPE], self.scale[:SHAPE] = every[:, :SHAPE].mean(0), every[:, :SHAPE].std(0) + 1e-3
         weight = np.where(t == 1, 0.5 / t.mean(), 0.5 / (1 - t.mean()))
         r = np.random.default_rng(seed)
         m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.p.items()}
@@ -158,10 +163,9 @@ class AttentionMIL:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> AttentionMIL:
-    """Fit on up to SAMPLE labelled rows per label; of a longer text a window of SAMPLE_CHARS."""
+    """Fit on the whole texts of up to SAMPLE labelled rows per label."""
     rows = labelled_sample(labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")), "label", "id", SAMPLE)
-    begin = F.greatest(F.lit(1), F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int"))
-    got = rows.select("id", "label", F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text")).toArrow().sort_by("id")
+    got = rows.select("id", "label", "text").toArrow().sort_by("id")
     bags = []
     for _, _, data, offs in blocks(got.column("text")):
         x, bound = encode(data, offs)
