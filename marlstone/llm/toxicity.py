@@ -1,10 +1,10 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-The inputs of a step are a word: an embedding of the whole word and the mean of embeddings of
-character n-grams of it (bounded hash tables). Two GRUs run over a window of WINDOW words, one in each
-direction; attention pools their states; a logistic unit scores the window. All overlapping
-windows of a text (one every STRIDE words) are scored; a document's score is that of its worst
-window. Trained in numpy from document labels only: naive Bayes log odds of the sample's words
+The inputs of a step are a word: an embedding of the whole word and the mean of the embeddings of
+all its character n-grams (of GRAMS bytes; bounded hash tables), without marks at its ends. Two GRUs
+run over a window of WINDOW words, one in each direction; attention pools their states; a logistic
+unit scores the window. Windows overlap by half: one begins every STRIDE words, so any passage of up
+to WINDOW - STRIDE + 1 words lies whole in one; a document's score is that of its worst window. Trained in numpy from document labels only: naive Bayes log odds of the sample's words
 propose each document's windows, and in later epochs the network's own worst window is the one
 that carries the label. A fifth of the sample trains no weight; on it the worst window's logit is
 scaled to a probability.
@@ -23,42 +23,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Words, blocks, labelled_sample, mix
+from .common import _LOWER, Words, blocks, labelled_sample, mix, text_bytes, tidy
 
 WINDOW, STRIDE = 24, 12
 WORD_SLOTS, CHAR_SLOTS, DIM, HIDDEN = 1 << 14, 1 << 14, 12, 8
-GRAMS = 6  # character n-grams of a word: its first 3, 4, 5 bytes, its last 3, and two inner ones
-SAMPLE, SAMPLE_CHARS = 1500, 6000
-
-
-def word_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Slots of words: column 0 the whole word without marks at its end, then GRAMS of characters
-    (bytes, A-Z lower-cased). Slot 0 stands for none."""
-    low = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64)
-    low = np.concatenate([low, np.zeros(8, np.uint64)])
-    word_byte = (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122) | ((data >= 48) & (data <= 57))
-    for _ in range(3):  # marks after and before the letters
-        end = end - ((end - start > 1) & ~word_byte[np.maximum(0, end - 1)])
-        start = start + ((end - start > 1) & ~word_byte[np.minimum(start, len(data) - 1)])
-    size = end - start
-
-    def gram(at: np.ndarray, n: int, salt: int) -> np.ndarray:
-        h = np.full(len(at), salt, np.uint64)
-        for i in range(n):
-            h = (h * np.uint64(1099511628211)) ^ low[at + i]
-        return np.where(size >= n, (mix(h) % np.uint64(CHAR_SLOTS - 1)).astype(np.int64) + 1, 0)
-
-    whole = np.full(len(start), 7, np.uint64)
-    for i in range(0, 16):
-        whole = np.where(i < size, (whole * np.uint64(1099511628211)) ^ low[np.minimum(start + i, len(low) - 1)], whole)
-    out = np.empty((len(start), 1 + GRAMS), np.int64)
-    out[:, 0] = (mix(whole ^ (size.astype(np.uint64) << np.uint64(50))) % np.uint64(WORD_SLOTS - 1)).astype(np.int64) + 1
-    for k, n in enumerate((3, 4, 5)):
-        out[:, 1 + k] = gram(start, n, 11 + n)
-    out[:, 4] = gram(np.maximum(start, end - 3), 3, 21)
-    out[:, 5] = gram(np.minimum(start + 1, np.maximum(start, end - 4)), 4, 22)
-    out[:, 6] = gram(np.minimum(start + 2, np.maximum(start, end - 4)), 4, 22)
-    return out
+GRAMS = (3, 4, 5)
+#: Documents per label that train, with their whole texts.
+SAMPLE = 1500
+
+
+class Spelled:
+    """The words of texts as places among the distinct ones; of each of these the slot of the whole
+    word and those of its character n-grams (a flat array and bounds; slot 0 where a word has none).
+    A-Z are lower-cased; slot 0 stands for none."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray):
+        w = Words(data, offs)
+        # Up to three marks at either end of a word become blanks.
+        word_byte = (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122) | ((data >= 48) & (data <= 57))
+        start, end, bare = w.start.copy(), w.end.copy(), data.copy()
+        for _ in range(3):
+            cut = (end - start > 1) & ~word_byte[end - 1]
+            bare[end[cut] - 1] = 32
+            end = end - cut
+            cut = (end - start > 1) & ~word_byte[np.minimum(start, max(0, len(data) - 1))]
+            bare[start[cut]] = 32
+            start = start + cut
+        w = Words(bare, offs)
+        self.first = w.first
+        keys, one, self.word = np.unique(w.hash, return_index=True, return_inverse=True)
+        self.whole = (keys % np.uint64(WORD_SLOTS - 1)).astype(np.int64) + 1
+        start, size = w.start[one], (w.end - w.start)[one]
+        low = np.concatenate([_LOWER[bare].astype(np.uint64), np.zeros(8, np.uint64)])
+        many = sum(np.maximum(0, size - n + 1) for n in GRAMS) if len(one) else np.zeros(0, np.int64)
+        self.bound = np.concatenate([[0], np.cumsum(np.maximum(1, many))])
+        self.slot = np.zeros(self.bound[-1], np.int64)
+        done = self.bound[:-1].copy()
+        for n in GRAMS:
+            own = np.maximum(0, size - n + 1)
+            at = np.repeat(start, own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            h = np.full(len(at), n, np.uint64)
+            for i in range(n):
+                h = (h * np.uint64(1099511628211)) ^ low[at + i]
+            to = np.repeat(done, own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            self.slot[to] = (mix(h) % np.uint64(CHAR_SLOTS - 1)).astype(np.int64) + 1
+            done += own
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,6 +84,13 @@ def _sig(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def grams_of(words: Spelled, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n-gram slots of some of the distinct words, where each word's begin, and how many it has."""
+    many = np.diff(words.bound)[some]
+    at = np.cumsum(many) - many
+    return words.slot[np.repeat(words.bound[some] - at, many) + np.arange(many.sum())], at, many
+
+
 class BiGRU:
     def __init__(self, seed: int = 5):
         r = np.random.default_rng(seed)
@@ -87,12 +103,14 @@ class BiGRU:
         self.constant: float | None = None
         self.slope, self.shift = 1.0, 0.0  # of a document's score, see calibrate()
 
-    def inputs(self, keys: np.ndarray) -> np.ndarray:
-        x = self.p["E"][keys[:, 0]]
-        chars = self.p["C"][keys[:, 1]].copy()
-        for k in range(2, 1 + GRAMS):
-            chars += self.p["C"][keys[:, k]]
-        return x + chars / GRAMS
+    def inputs(self, words: Spelled, some: np.ndarray | None = None) -> np.ndarray:
+        """Inputs of the distinct words, or of some of them."""
+        if some is None:
+            slot, at, many = words.slot, words.bound[:-1], np.diff(words.bound)
+        else:
+            slot, at, many = grams_of(words, some)
+        chars = np.add.reduceat(self.p["C"][slot], at) / many[:, None] if len(at) else np.zeros((0, DIM), np.float32)
+        return (self.p["E"][words.whole if some is None else words.whole[some]] + chars).astype(np.float32)
 
     def run(self, gates: np.ndarray, live: np.ndarray, d: str, states: np.ndarray, tape: list | None = None) -> None:
         """One direction over time-major gate inputs (steps, windows, 3 HIDDEN); live: whether the
@@ -162,26 +180,28 @@ class BiGRU:
             np.add.at(gx, idx.ravel(), flat @ p[f"X{d}"].T)
         return out, gx
 
-    def fit(self, keys: list[np.ndarray], t: np.ndarray, epochs: int = 14, batch: int = 48, rate: float = 0.01, per_doc: int = 3) -> BiGRU:
-        """keys: the word slots of each document."""
-        some = [i for i in range(len(t)) if len(keys[i])]
-        t, keys = t[some], [keys[i] for i in some]
+    def fit(self, words: Spelled, docs: np.ndarray, t: np.ndarray, epochs: int = 12, batch: int = 48, rate: float = 0.01, per_doc: int = 3) -> BiGRU:
+        """words: the words of all texts; docs: which of the texts train, t: their labels."""
+        some = np.diff(words.first)[docs] > 0
+        t, docs = t[some], docs[some]
         if not len(t) or t.min() == t.max():
             self.constant = float(t.mean()) if len(t) else 0.0
             return self
-        # Naive Bayes log odds of slots, by documents.
-        odds = []
-        for col, slots in [(0, WORD_SLOTS), (2, CHAR_SLOTS)]:
+        keys = [words.word[words.first[i] : words.first[i + 1]] for i in docs]
+        # Naive Bayes log odds of words and of n-grams, by documents.
+        hot = []
+        for slots, of in ((WORD_SLOTS, lambda k: words.whole[k]), (CHAR_SLOTS, lambda k: grams_of(words, k)[0])):
             df = np.zeros((2, slots))
             for k, y in zip(keys, t, strict=True):
-                df[int(y), np.unique(k[:, col])] += 1
-            rate_ = (df + 0.5) / (np.array([[np.sum(t == 0)], [np.sum(t == 1)]]) + 1)
-            odds.append(np.log(rate_[1] / rate_[0]) * (df.sum(0) >= 3))
+                df[int(y), np.unique(of(np.unique(k)))] += 1
+            share = (df + 0.5) / (np.array([[np.sum(t == 0)], [np.sum(t == 1)]]) + 1)
+            hot.append(np.maximum(0, np.log(share[1] / share[0]) * (df.sum(0) >= 3) - 1))
+        worth_of = hot[0][words.whole] + 0.5 * np.maximum.reduceat(hot[1][words.slot], words.bound[:-1])
         chosen = []
         r = np.random.default_rng(1)
         for k in keys:
             row, at, size = windows(np.array([0, len(k)]))
-            worth = np.concatenate([[0], np.cumsum(np.maximum(0, odds[0][k[:, 0]] - 1) + 0.5 * np.maximum(0, odds[1][k[:, 2]] - 1))])
+            worth = np.concatenate([[0], np.cumsum(worth_of[k])])
             worth = worth[at + size] - worth[at]
             top = np.argsort(-worth, kind="stable")[: per_doc - 1]
             top = np.unique(np.append(top, r.integers(len(at))))
@@ -190,21 +210,21 @@ class BiGRU:
         step = 0
         weight = np.where(t == 1, 0.5 / t.mean(), 0.5 / (1 - t.mean())).astype(np.float32)
         for epoch in range(epochs):
-            if epoch >= 3 and epoch % 2:  # each document's worst windows as the network has them now
-                for j, (y, at, size) in enumerate(self.each(keys)):
+            if epoch >= 3 and epoch % 3 == 0:  # each document's worst windows as the network has them now
+                for j, (y, at, size) in enumerate(self.each(words, docs)):
                     top = np.unique(np.append(np.argsort(-y, kind="stable")[: per_doc - 1], r.integers(len(at))))
                     chosen[j] = (at[top], size[top], y[top])
             order = r.permutation(len(t))
             for i in range(0, len(order), batch):
                 pick = order[i : i + batch]
-                base = np.concatenate([[0], np.cumsum([len(keys[j]) for j in pick])])
-                word = np.concatenate([keys[j] for j in pick])
-                at = np.concatenate([chosen[j][0] + base[n] for n, j in enumerate(pick)])
+                # Only the words of the windows chosen take part.
                 size = np.concatenate([chosen[j][1] for j in pick])
                 of = np.repeat(np.arange(len(pick)), [len(chosen[j][0]) for j in pick])
-                used = np.unique((at[:, None] + np.minimum(np.arange(WINDOW)[None], size[:, None] - 1)).ravel())
-                x = np.zeros((len(word), DIM), np.float32)
-                x[used] = self.inputs(word[used])
+                begin = np.concatenate([chosen[j][0] + words.first[docs[j]] for j in pick])
+                at = np.cumsum(size) - size
+                tokens = words.word[np.repeat(begin - at, size) + np.arange(size.sum())]
+                uniq, inv = np.unique(tokens, return_inverse=True)
+                x = self.inputs(words, uniq)[inv]
                 tape: dict = {}
                 y = self.forward(x, at, size, tape)
                 # The window that carries the label of its document: the proposed one, later the worst.
@@ -213,15 +233,17 @@ class BiGRU:
                 g = np.zeros(len(y), np.float32)
                 clean = t[pick][of] == 0
                 g[clean] = y[clean] * weight[pick][of][clean] / np.bincount(of)[of][clean]
-                hot = lead[t[pick] == 1]
-                g[hot] = (y[hot] - 1) * weight[pick][of[hot]]
+                bad = lead[t[pick] == 1]
+                g[bad] = (y[bad] - 1) * weight[pick][of[bad]]
                 grads, gx = self.gradients(x, g / len(pick), tape)
                 step += 1
-                for name, slot in (("E", word[used, :1]), ("C", word[used, 1:])):
-                    share = 1.0 if name == "E" else 1.0 / GRAMS
-                    rows, inv = np.unique(slot, return_inverse=True)
+                gu = np.zeros((len(uniq), DIM), np.float32)
+                np.add.at(gu, inv, gx)
+                slot, _, many = grams_of(words, uniq)
+                for name, slots, each in (("E", words.whole[uniq], gu), ("C", slot, np.repeat(gu / many[:, None], many, axis=0))):
+                    rows, back = np.unique(slots, return_inverse=True)
                     gr = np.zeros((len(rows), DIM), np.float32)
-                    np.add.at(gr, inv.reshape(slot.shape), (gx[used] * share)[:, None, :])
+                    np.add.at(gr, back, each)
                     b = m[name][1]
                     b[rows] += 0.01 * (gr * gr - b[rows]) + 1e-12
                     go = rate * np.clip(gr / (np.sqrt(b[rows]) + 1e-7), -3, 3) * 0.3
@@ -234,25 +256,28 @@ class BiGRU:
                     self.p[name] = (self.p[name] - rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def each(self, keys: list[np.ndarray]):
-        """Scores, first words and sizes of all windows of each document."""
-        for i in range(0, len(keys), 64):
-            part = keys[i : i + 64]
-            first = np.concatenate([[0], np.cumsum([len(k) for k in part])])
-            row, at, size = windows(first)
-            y = self.forward(self.inputs(np.concatenate(part)), at, size)
-            for j in range(len(part)):
-                m = slice(*np.searchsorted(row, [j, j + 1]))
-                yield y[m], at[m] - first[j], size[m]
-
-    def calibrate(self, keys: list[np.ndarray], t: np.ndarray) -> BiGRU:
+    def projected(self, words: Spelled) -> dict[str, np.ndarray]:
+        """Gate inputs of every word, by direction; made once for each distinct word."""
+        x = self.inputs(words)
+        return {d: (x @ self.p[f"X{d}"] + self.p[f"g{d}"])[words.word] for d in "fb"}
+
+    def each(self, words: Spelled, docs: np.ndarray):
+        """Scores, first words (from the document's first) and sizes of all windows of each document."""
+        row, at, size = windows(words.first)
+        proj = self.projected(words)
+        for i in docs:
+            m = slice(*np.searchsorted(row, [i, i + 1]))
+            y = [self.forward(proj, at[j : min(j + 4096, m.stop)], size[j : min(j + 4096, m.stop)]) for j in range(m.start, m.stop, 4096)]
+            yield np.concatenate(y), at[m] - words.first[i], size[m]
+
+    def calibrate(self, words: Spelled, docs: np.ndarray, t: np.ndarray) -> BiGRU:
         """Platt scaling of the worst window's logit on documents that trained no weight, each label
         with the weight it has there."""
-        some = [i for i in range(len(t)) if len(keys[i])]
-        t = t[some]
+        some = np.diff(words.first)[docs] > 0
+        t, docs = t[some], docs[some]
         if self.constant is not None or not len(t) or t.min() == t.max():
             return self
-        y = np.array([y.max() for y, _, _ in self.each([keys[i] for i in some])], np.float64)
+        y = np.array([y.max() for y, _, _ in self.each(words, docs)], np.float64)
         x = np.log(np.clip(y, 1e-7, 1 - 1e-7) / (1 - np.clip(y, 1e-7, 1 - 1e-7)))
         goal = np.where(t == 1, (t.sum() + 1) / (t.sum() + 2), 1 / ((1 - t).sum() + 2))
         a, b = 1.0, 0.0
@@ -272,36 +297,27 @@ class BiGRU:
         """The worst window's score of each row; 0 where a row has no words."""
         if self.constant is not None:
             return np.full(len(offs) - 1, self.constant)
-        w = Words(data, offs)
+        words = Spelled(data, offs)
         out = np.zeros(len(offs) - 1)
-        if not len(w.start):
+        if not len(words.word):
             return out
-        # Input projections once for each distinct spelling here.
-        _, one, inv = np.unique(w.hash, return_index=True, return_inverse=True)
-        x = self.inputs(word_keys(data, w.start[one], w.end[one], w.hash[one]))
-        proj = {d: (x @ self.p[f"X{d}"] + self.p[f"g{d}"])[inv] for d in "fb"}
-        row, at, size = windows(w.first)
+        proj = self.projected(words)
+        row, at, size = windows(words.first)
         for i in range(0, len(at), 4096):
             np.maximum.at(out, row[i : i + 4096], self.forward(proj, at[i : i + 4096], size[i : i + 4096]))
         y = np.clip(out, 1e-7, 1 - 1e-7)
-        return np.where(np.diff(w.first) > 0, _sig(self.slope * np.log(y / (1 - y)) + self.shift), 0.0)
+        return np.where(np.diff(words.first) > 0, _sig(self.slope * np.log(y / (1 - y)) + self.shift), 0.0)
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> BiGRU:
-    """Fit on up to SAMPLE labelled rows per label; of a longer text, of either label, a window of
-    SAMPLE_CHARS."""
+    """Fit on the whole texts of up to SAMPLE labelled rows per label."""
     rows = labelled_sample(labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")), "label", "id", SAMPLE)
-    begin = F.greatest(F.lit(1), F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int"))
-    got = rows.select("id", "label", F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text")).toArrow().sort_by("id")
-    keys = []
-    for _, _, data, offs in blocks(got.column("text")):
-        w = Words(data, offs)
-        k = word_keys(data, w.start, w.end, w.hash) if len(w.start) else np.zeros((0, 1 + GRAMS), np.int64)
-        keys += [k[w.first[i] : w.first[i + 1]] for i in range(len(offs) - 1)]
+    got = rows.select("id", "label", "text").toArrow().sort_by("id")
+    words = Spelled(*text_bytes(got.column("text")))
     t = np.array(got.column("label").to_pylist(), np.float64)
     apart = mix(np.array(got.column("id").to_numpy(), np.uint64)) % np.uint64(5) == 0
-    part = lambda m: ([keys[i] for i in np.flatnonzero(m)], t[m])
-    return BiGRU().fit(*part(~apart)).calibrate(*part(apart))
+    part = lambda m: (np.flatnonzero(m), t[m])
+    return BiGRU().fit(words, *part(~apart)).calibrate(words, *part(apart))
 
 
 def score(df: DataFrame, model: BiGRU, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -315,4 +331,4 @@ def score(df: DataFrame, model: BiGRU, text_col: str = "text", keep: tuple[str,
             s = [m.scores(data, offs) for _, _, data, offs in blocks(b.column("_text"), 1 << 19)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*keep, "score"])
 
-    return source.mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("score", DoubleType())]))
+    return source.mapInArrow(tidy(run), StructType([*(source.schema[c] for c in keep), StructField("score", DoubleType())]))
