@@ -12,14 +12,19 @@ from marlstone.llm.common import durable
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told (null text, no letter) go."""
+    """Documents whose language can't be told go: null, empty and blank texts and those without a
+    letter. All others stay as they came, repeated rows and rows without an id too; without any
+    labelled row no language is known and nothing stays; an empty table stays empty."""
     found = language.samples(docs, "text", "lang", "doc_id")
     told = language.identify(docs, found, keep=tuple(docs.columns))
     return told.where(F.col("lang_pred") != "und").select(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5 go. Trained on the labelled documents of those that came in."""
+    """Documents that score below 0.5 go; a score of just 0.5 stays. Trained on the labelled
+    documents of those that came in. Repeated rows share one fate, rows without an id are scored
+    like others, empty texts get the model's score for them; without labels every score is 0.5 and
+    all stay, with one label only all stay or go with it; an empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
     return quality.score(docs, model, keep=tuple(docs.columns)).where("score >= 0.5").select(*docs.columns)
@@ -27,13 +32,23 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id stays. The pipeline takes
-    five-word shingles and a similarity of 0.8."""
-    classes = jaccard.classes(docs, width=5, num=80, den=100)
-    kept = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    five-word shingles and a similarity of 0.8. Texts without words link nothing and stay. Of
+    several rows with one id the one with the smallest text stays (of equal texts any). Rows without
+    an id stay once for each text; they are never anyone's smallest document. An empty table stays
+    empty."""
+    found = jaccard.classes(docs, width=5, num=80, den=100)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    kept = durable(kept, "kept")
+    once = docs.join(kept.where("_rows = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    more = docs.join(kept.where("_rows > 1").select("doc_id"), "doc_id", "left_semi")
+    more = more.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias("_row")).select("_row.*")
+    nameless = docs.where("doc_id is null").dropDuplicates(["text"])
+    return once.unionByName(more).unionByName(nameless)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences. Null and empty texts are one end token; repeated rows
+    and rows without an id are packed like others; an empty table gives no piece."""
     return packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
 
 
