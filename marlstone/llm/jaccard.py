@@ -45,8 +45,8 @@ WIDTH, NUM, DEN = 3, 90, 100
 SPARE = 2
 #: Rows and set members of a block that are multiplied at once; larger ones are dealt in parts of half that.
 BLOCK, MEMBERS = 1024, 2 << 20
-#: Rows, about, of a block dealt in parts that meet all its parts.
-PIVOTS = 96
+#: Rows, about, of a block dealt in parts that meet all its parts; and a part's share in members at most.
+PIVOTS, PIVOT_SHARE = 96, 0.1
 #: Bytes of a block after which its memory is given back.
 RELEASE = 4 << 20
 #: Rows of exact copies are joined to what was found of their set in this many shares.
@@ -240,11 +240,11 @@ def contract(edges: DataFrame) -> DataFrame:
     while True:
         around = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = durable(around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
-        large = durable(around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
-        small_low = durable(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        large = around.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v"))).where("u <> v")
         after = durable(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        discard(now, low, large, small_low)
+        discard(now, low)
         now = after
         got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if got == mark or not got[0]:
@@ -294,7 +294,7 @@ def _block(i, j):
 def first_blocks(meet: DataFrame) -> DataFrame:
     """block, root, a, n: every row in its part, pivots in all parts of their id."""
     draw = F.xxhash64("a", F.lit(3)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    pivot = (F.col("parts") > 1) & (draw < PIVOTS / F.col("size"))
+    pivot = (F.col("parts") > 1) & (draw < F.least(PIVOTS / F.col("size"), PIVOT_SHARE * MEMBERS / F.col("total")))
     dealt = meet.withColumn("parts", parts()).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")))
     dealt = dealt.withColumn("part", F.explode(F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part"))))
     return dealt.select(_block(F.col("part"), F.col("part")).alias("block"), "root", "a", "n")
@@ -308,14 +308,15 @@ def second_blocks(meet: DataFrame, same: DataFrame, found: DataFrame) -> DataFra
     main = classed.groupBy("id", "found").agg(F.count("*").alias("k")).groupBy("id").agg(F.max_by("found", F.struct("k", "found")).alias("main"))
     main = durable(main, "main")
     marked = classed.join(main, "id").withColumn("rest", F.col("found") != F.col("main"))
-    left = durable(marked.where("rest").groupBy("id").agg(F.count("*").alias("size"), F.sum("n").alias("total")).select("id", F.greatest(F.ceil(F.col("size") / (BLOCK // 2)), F.ceil(F.col("total") / (MEMBERS // 2))).cast("long").alias("rests")), "left")
+    count = lambda of: F.greatest(F.ceil(F.count_if(of) / (BLOCK // 2)), F.ceil(F.sum(F.when(of, F.col("n")).otherwise(0)) / (MEMBERS // 2))).cast("long")
+    left = durable(marked.groupBy("id").agg(count(F.col("rest")).alias("rests"), count(~F.col("rest")).alias("mains")).where("rests > 0"), "left")
     if left.isEmpty():
         discard(classed, main, left)
         return None
-    dealt = marked.join(left, "id").withColumn("part", F.pmod(F.xxhash64("a"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("parts"))))
+    dealt = marked.join(left, "id").withColumn("part", F.pmod(F.xxhash64("a"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     others = F.filter(upto("rests"), lambda x: (x != F.col("part")) | (F.col("rests") == 1))
-    outside = F.concat(F.transform(upto("parts"), lambda p: _block(F.col("part"), p)), F.transform(others, lambda x: _block(-1 - F.least("part", x), -1 - F.greatest("part", x))))
+    outside = F.concat(F.transform(upto("mains"), lambda p: _block(F.col("part"), p)), F.transform(others, lambda x: _block(-1 - F.least("part", x), -1 - F.greatest("part", x))))
     inside = F.transform(upto("rests"), lambda r: _block(r, F.col("part")))
     out = durable(dealt.select(F.explode(F.when(F.col("rest"), outside).otherwise(inside)).alias("block"), "root", "a", "n"), "second")
     discard(classed, main, left)

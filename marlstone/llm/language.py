@@ -31,7 +31,7 @@ from .common import blocks, labelled_sample, tidy
 
 #: Sample per language: rows, and characters in all, shared among the rows (a window of each).
 SAMPLE_ROWS, SAMPLE_CHARS = 60, 42_000
-SPAN = 256
+SPAN = 512
 
 
 def fold_table(limit: int = 0x3000) -> np.ndarray:
@@ -67,9 +67,10 @@ def symbols(codes: np.ndarray) -> np.ndarray:
 
 
 class Automaton:
-    """Suffix automaton of an array of small ints. Edges lie in one array shared by all states:
-    state s goes over c to to[base[s] + c] if owner[base[s] + c] is s, so they take room for the
-    edges there are, whatever the number of symbols."""
+    """Suffix automaton of an array of small ints. A state is a number s of its own and goes over c
+    to to[s + c] if owner[s + c] is s: edges of all states share one array and take room for the
+    edges there are, whatever the number of symbols. first[c] is where the root goes, or for a
+    symbol that the sample lacks, which is a phrase of its own, a state without edges."""
 
     def __init__(self, text: np.ndarray, width: int):
         nxt: list[dict[int, int]] = [{}]
@@ -98,10 +99,8 @@ class Automaton:
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
-        edges = sum(map(len, nxt))
-        room = 2 * edges + 4 * width + 64
-        used, begin = bytearray(room), {}
-        self.base, to, owner = np.zeros(len(nxt), np.int32), np.zeros(room, np.int32), np.full(room, -1, np.int32)
+        room = 2 * sum(map(len, nxt)) + 4 * width + 64
+        used, begin, taken, base = bytearray(room), {}, set(), [-1] * len(nxt)
         for s in sorted(range(len(nxt)), key=lambda s: -len(nxt[s])):
             if not nxt[s]:
                 continue
@@ -110,58 +109,76 @@ class Automaton:
             at = used.find(0, max(begin.get(len(symbols_), 0), symbols_[0]))
             while True:
                 if at < 0 or at + width >= len(used):
-                    grow = len(used)
-                    used.extend(bytes(grow))
-                    to, owner = np.append(to, np.zeros(grow, np.int32)), np.append(owner, np.full(grow, -1, np.int32))
-                    at = used.find(0, max(at, 0))
+                    used.extend(bytes(len(used)))
+                    at = used.find(0, max(at, symbols_[0]))
                 b = at - symbols_[0]
-                if len(symbols_) == 1 or not any(used[b + c] for c in symbols_):
+                if b not in taken and not any(used[b + c] for c in symbols_):
                     break
                 at = used.find(0, at + 1)
             begin[len(symbols_)] = at
-            self.base[s] = b
-            for c, t in nxt[s].items():
-                used[b + c], to[b + c], owner[b + c] = 1, t, s
-        end = len(used.rstrip(b"\0")) + width + 1
-        self.to, self.owner = np.resize(to, end), np.resize(owner, end)
-        self.to[len(to) :], self.owner[len(to) :] = 0, -1
-
-    def parse(self, flat: np.ndarray, begin: np.ndarray, stop: np.ndarray, mark: np.ndarray, fresh: bool) -> tuple[np.ndarray, np.ndarray]:
-        """From phrase starts begin, each before its stop, to the first phrase start at or after the
-        stop; or, unless fresh, to one in mark. Gives the phrases begun on the way and where it ended.
-        fresh puts the phrase starts before the stops into mark."""
-        phrases, ended = np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
-        lane, at, stop = np.arange(len(begin)), begin.copy(), stop
-        state = np.zeros(len(begin), np.int32)
-        started = begin.copy()
-        phrases += 1
-        if fresh:
-            mark[begin] = True
+            taken.add(b)
+            base[s] = b
+            for c in symbols_:
+                used[b + c] = 1
+        dead = max(len(used.rstrip(b"\0")), max(taken, default=0) + 1)
+        self.to, self.owner = np.zeros(dead + width, np.int32), np.full(dead + width, -1, np.int32)
+        for s, own in enumerate(nxt):
+            for c, t in own.items():
+                self.owner[base[s] + c] = base[s]
+                self.to[base[s] + c] = base[t] if base[t] >= 0 else dead
+        self.first = np.full(width, dead, np.int32)
+        for c in nxt[0]:
+            self.first[c] = self.to[base[0] + c]
+
+    def spans(self, flat: np.ndarray, begin: np.ndarray, stop: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parse each span from its beginning: phrases begun in it, and the first phrase start at or
+        after its stop. Marks the phrase starts."""
+        order = np.argsort(begin - stop, kind="stable")  # longest first
+        begin, stop = begin[order], stop[order]
+        size = stop - begin
+        idx = begin[None, :] + np.arange(int(size[0]))[:, None]
+        sym = flat[np.minimum(idx, len(flat) - 1)]
+        starts = np.zeros(sym.shape, bool)
+        starts[0] = True
+        state = self.first[sym[0]]
+        live = np.searchsorted(-size, -np.arange(len(sym)), "left")  # spans still going at each step
+        for t in range(1, len(sym)):
+            m = live[t]
+            s, c = state[:m], sym[t, :m]
+            edge = s + c
+            ok = self.owner[edge] == s
+            np.logical_not(ok, out=starts[t, :m])
+            state[:m] = np.where(ok, self.to[edge], self.first[c])
+        mark[idx[starts]] = True
+        # The last phrase goes on beyond the span.
+        lane, at, ended = np.arange(len(begin)), stop.copy(), stop.copy()
         while len(lane):
-            edge = self.base[state] + flat[at]
+            edge = state + flat[at]
             ok = self.owner[edge] == state
-            # A symbol that the sample lacks is a phrase of its own.
-            lost = ~ok & (at == started)
-            state = np.where(ok, self.to[edge], 0)
-            at = at + (ok | lost)
-            broke = np.flatnonzero(~ok)
-            if not len(broke):
-                continue
-            here = at[broke]
-            started[broke] = here
-            done = here >= stop[broke]
-            if fresh:
-                mark[here[~done]] = True
-            else:
-                done |= mark[np.minimum(here, len(mark) - 1)]
-            phrases[lane[broke[~done]]] += 1
+            ended[lane[~ok]] = at[~ok]
+            lane, at, state = lane[ok], at[ok] + 1, self.to[edge[ok]]
+        n, end = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        n[order], end[order] = starts.sum(0), ended
+        return n, end
+
+    def rejoin(self, flat: np.ndarray, begin: np.ndarray, stop: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parse from begin to a marked phrase start, or to the first one at or after the stop:
+        phrases begun on the way, and where it ended."""
+        n, ended = np.ones(len(begin), np.int64), np.zeros(len(begin), np.int64)
+        lane, at, state = np.arange(len(begin)), begin + 1, self.first[flat[begin]]
+        while len(lane):
+            c = flat[at]
+            edge = state + c
+            ok = self.owner[edge] == state
+            done = ~ok & ((at >= stop) | mark[at])
+            n[lane[~ok & ~done]] += 1
+            state = np.where(ok, self.to[edge], self.first[c])
             if done.any():
-                gone = broke[done]
-                ended[lane[gone]] = at[gone]
-                keep = np.ones(len(lane), bool)
-                keep[gone] = False
-                lane, at, stop, state, started = lane[keep], at[keep], stop[keep], state[keep], started[keep]
-        return phrases, ended
+                ended[lane[done]] = at[done]
+                go = ~done
+                lane, at, state, stop = lane[go], at[go], state[go], stop[go]
+            at = at + 1
+        return n, ended
 
     def phrases(self, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Phrases of each text flat[first : first + size]; a symbol without any edge follows each."""
@@ -173,7 +190,7 @@ class Automaton:
         if not len(begin):
             return np.zeros(len(size), np.int64)
         mark = np.zeros(len(flat), bool)
-        own_n, own_end = self.parse(flat, begin, stop, mark, True)
+        own_n, own_end = self.spans(flat, begin, stop, mark)
         upto = np.concatenate([[0], np.cumsum(mark)])
         enter, n, end = begin.copy(), own_n.copy(), own_end.copy()
         while True:
@@ -189,7 +206,7 @@ class Automaton:
             got, at = np.zeros(len(some), np.int64), want[some].copy()
             new = np.flatnonzero(~mark[at])
             if len(new):
-                got[new], at[new] = self.parse(flat, at[new], stop[some[new]], mark, False)
+                got[new], at[new] = self.rejoin(flat, at[new], stop[some[new]], mark)
             joined = at < stop[some]
             n[some] = got + np.where(joined, upto[stop[some]] - upto[np.minimum(at, stop[some])], 0)
             end[some] = np.where(joined, own_end[some], at)
@@ -252,7 +269,7 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
         names = np.array([*p.names, "und"], dtype=object)
         for b in batches:
             best, score = [], []
-            for _, _, data, offs in blocks(b.column("_text"), 1 << 20):
+            for _, _, data, offs in blocks(b.column("_text"), 2 << 20):
                 codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
                 f = folded(codes)
                 # Row bounds in characters: bytes that begin one, counted up to each offset.
