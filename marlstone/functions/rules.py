@@ -66,6 +66,13 @@ MAX_SCAN = 4 << 20
 HEAVY = ("/EmbeddedFile", "/JS", "/JavaScript", "/Launch", "/RichMedia", "/XFA")
 ROUTINE = ("/AA", "/Filespec", "/Movie", "/OpenAction", "/Sound")
 
+# Patterns of patent names: the number in a file name, the title after code 54 in the
+# text, a code before it, and what marks a line in capitals as an identifier.
+PATENT_NUMBER = r"\d{7,8}"
+PATENT_TITLE = r"[\[(]\s*54\s*[\])]\s*(.{6,120}?)(?:[\[(]\s*\d{2}\s*[\])]|\n\s*\n|\z)"
+PATENT_CODE = r"^[\[(]?\s*\d{2}\s*[\])]?\s*"
+PATENT_IDENTIFIER = r"\d{3}|^[Uu][Ss]\s?\d"
+
 # Names that say nothing, title prefixes and boilerplate, and codes that speak for themselves.
 MUSH = r"^(?:[\d][\d._\-]*|[a-z]{1,3}\d{2,}[a-z]?|\d{4}\.\d{4,5}(?:v\d+)?|[a-z]{1,4}\d{4}|\d{2}-\d{2})$"
 EMPTY_TITLE = r"^(microsoft word|untitled|document|scan|без имени|документ|print|pdf|arxiv|\s*)$"

@@ -53,6 +53,37 @@ def moved_by_zone(zones: DataFrame, files: DataFrame, zone: str = "zone") -> Dat
     return zones.join(n, zone, "left").select(zone, F.when(F.col("reachable"), F.coalesce("_n", F.lit(0))).cast("long").alias("n"))
 
 
+def moved_total(by_zone: DataFrame) -> DataFrame:
+    """by_zone and, under a null zone, the sum, in which zones that can't be reached count 0."""
+    return by_zone.unionByName(by_zone.agg(F.lit(None).cast("string").alias("zone"), F.sum(F.coalesce("n", F.lit(0))).alias("n")))
+
+
+def plan(rights: DataFrame, group: str = "repo", size: str = "bytes", verdict: str = "verdict") -> DataFrame:
+    """Files and MiB that aren't public, per group."""
+    held = rights.where(F.col(verdict) != rules.PUBLIC)
+    return held.groupBy(group).agg(F.count("*").alias("files"), F.sum(size).alias("_bytes")).select(group, "files", F.round(F.col("_bytes") / 1048576.0, 2).alias("mib"))
+
+
+def fetch_once(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """rows with what the source has for their key; the source is asked for each distinct key once."""
+    asked = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    return rows.join(asked.join(source, key), key, "left")
+
+
+def to_run(steps_: DataFrame, state: DataFrame, always: Sequence[str] = ("probe",), redo: Sequence[str] = ()) -> DataFrame:
+    """step and run: whether it has to run: not done yet (code 0 in the state), one that always runs,
+    or one to redo."""
+    done = state.where(F.col("code") == 0).select("step", F.lit(True).alias("_done")).distinct()
+    again = F.col("step").isin(*always, *redo) if (*always, *redo) else F.lit(False)
+    return steps_.join(done, "step", "left").select("step", (F.col("_done").isNull() | again).alias("run"))
+
+
+def heartbeats(runs: DataFrame, key: str, ts: str, every: int = 60) -> DataFrame:
+    """key and beats: signs of life of a run that reports every so many seconds from first to last."""
+    seconds = F.unix_seconds(F.max(F.col(ts).cast("timestamp"))) - F.unix_seconds(F.min(F.col(ts).cast("timestamp")))
+    return runs.groupBy(key).agg((F.floor(seconds / every) + 1).cast("long").alias("beats"))
+
+
 def verify_moves(plan: DataFrame, copies: DataFrame, key: str) -> DataFrame:
     """plan with status (ok, mismatch, missing) and may_delete: true only if every copy of the whole
     plan has the hash of its source. The number of failures joins as one row."""
@@ -107,6 +138,11 @@ def steps(n: Column, batch: int, accum: int, epochs: int) -> Column:
     return F.ceil(F.ceil(n / float(batch * accum)) * epochs).cast("long")
 
 
+def hours(steps_: Column, per_step: Column) -> Column:
+    """Hours that so many steps take at this many seconds each, two decimals."""
+    return F.round(steps_ * per_step / 3600.0, 2)
+
+
 def progress(step: Column, total: Column, seconds: Column) -> dict[str, Column]:
     per = seconds / F.greatest(F.lit(1), step)
     return {"per_step": per, "left_s": per * (total - step), "percent": F.floor(100 * step / F.greatest(F.lit(1), total)).cast("long")}

@@ -82,3 +82,19 @@ def override(rows: DataFrame, manual: DataFrame, renamed: DataFrame, key: str =
 def unseen(rows: DataFrame, cache: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose evidence isn't cached yet; only these are worth the expensive source."""
     return rows.join(cache.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def evidence_text(meta: DataFrame, pages: DataFrame, key: str, page: str = "page", text: str = "text", first: int = 3, poor: int = 200) -> DataFrame:
+    """key, evidence, poor: metadata (key, meta) and the text of pages 1 to first, a line end between
+    them. poor: the pages have under `poor` characters but for blanks at the ends, so that only
+    these are worth reading by OCR. Only the first pages are gathered, so a document's length
+    doesn't count."""
+    lead = pages.where((F.col(page) >= 1) & (F.col(page) <= first)).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(page, F.coalesce(text, F.lit("")).alias("t")))).alias("_p"))
+    lead = lead.select(key, F.array_join(F.transform("_p", lambda p: p["t"]), "\n").alias("_text"))
+    rows = meta.join(lead, key, "left").withColumn("_text", F.coalesce("_text", F.lit("")))
+    return rows.select(key, F.concat_ws("\n", "meta", "_text").alias("evidence"), (F.length(F.trim("_text")) < poor).alias("poor"))
+
+
+def sections(df: DataFrame, verdict: str, *keys: str) -> DataFrame:
+    """Rows by section (the verdicts in their fixed order, rows without evidence last), then keys."""
+    return df.withColumn("section", rank(verdict)).orderBy("section", *keys)

@@ -34,13 +34,27 @@ def rights_hold(rows: DataFrame, roots: Sequence[str], path: str = "path", verdi
     return rows.where(inside & ~F.endswith(path, F.lit(".pointer.md")) & ~F.col(verdict).eqNullSafe(rules.PUBLIC))
 
 
+def decided(rows: DataFrame, renames: DataFrame, decisions: DataFrame, verdicts: DataFrame, path: str = "path") -> DataFrame:
+    """rows with the path they had before a rename (renames: current, original), and under it the
+    author's decision (path, verdict), else the verdict of the analysis, else UNKNOWN."""
+    named = rows.join(renames.select(F.col("current").alias(path), "original"), path, "left").withColumn("former", F.coalesce("original", path)).drop("original")
+    one = lambda t, name: t.groupBy(F.col("path").alias("former")).agg(F.min("verdict").alias(name))
+    out = named.join(one(decisions, "_decision"), "former", "left").join(one(verdicts, "_verdict"), "former", "left")
+    return out.withColumn("verdict", F.coalesce("_decision", "_verdict", F.lit(rules.UNKNOWN))).withColumn("decided", F.col("_decision").isNotNull()).drop("_decision", "_verdict")
+
+
 def violations(rows: DataFrame, path: str, text: str, id_col: str) -> DataFrame:
-    """id, kind, rule: path and content violations together."""
+    """id, kind, rule: path and content violations together; with rights_violations() all kinds."""
     by_path = rows.select(id_col, F.lit("path").alias("kind"), forbidden_path(path).alias("rule")).where("rule is not null")
     by_text = rows.select(id_col, F.lit("content").alias("kind"), F.explode(forbidden_content(text)).alias("rule"))
     return by_path.unionByName(by_text)
 
 
+def rights_violations(rows: DataFrame, roots: Sequence[str], id_col: str, path: str = "path", verdict: str = "verdict") -> DataFrame:
+    """id, kind, rule of the rows that the rights rule holds back; the rule is their verdict."""
+    return rights_hold(rows, roots, path, verdict).select(id_col, F.lit("rights").alias("kind"), F.coalesce(verdict, F.lit(rules.UNKNOWN)).alias("rule"))
+
+
 def scan_coverage(rows: DataFrame, reason: str = "skip_reason") -> DataFrame:
     """status (scanned or the reason), n, and the share of all rows in percent. The total joins as
     one row."""
@@ -54,6 +68,13 @@ def staged(listing: Column) -> Column:
     return F.filter(F.split(listing, "\\x00"), lambda p: p != "")
 
 
+def changed(listing: Column, states: str = "ACMR") -> Column:
+    """Paths of a NUL-separated listing of state, path, state, path ... whose state is one of these."""
+    parts = F.split(listing, "\\x00")
+    pairs = F.transform(F.filter(parts, lambda p, i: i % 2 == 1), lambda p, i: F.struct(F.get(parts, 2 * i).alias("state"), p.alias("path")))
+    return F.transform(F.filter(pairs, lambda x: (x["path"] != "") & F.contains(F.lit(states), F.substring(x["state"], 1, 1))), lambda x: x["path"])
+
+
 def event_paths(event: Column) -> Column:
     """File paths that a JSON event names."""
     return F.array_compact(F.array(*(F.get_json_object(event, f"$.tool_input.{k}") for k in ("file_path", "path", "notebook_path"))))

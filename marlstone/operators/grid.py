@@ -88,6 +88,60 @@ def effective_dpi(long_px, long_pt, asked: int = 300, max_px: int = 10_000) -> C
     return F.greatest(F.lit(36), F.rint(F.when(wide > max_px, dpi * max_px / wide).otherwise(dpi)).cast("int"))
 
 
+def dpi_reason(long_px, long_pt, max_px: int = 10_000) -> Column:
+    """Why effective_dpi() has its value: asked, native or scaled."""
+    px, pt = _col(long_px), _col(long_pt)
+    known = F.coalesce((px > 0) & (pt > 0), F.lit(False))
+    return F.when(~known, "asked").when(px > max_px, "scaled").otherwise("native")
+
+
+def page_dpi(pages: DataFrame, images: DataFrame, sizes: DataFrame, keys: list[str], asked: int = 300, max_px: int = 10_000) -> DataFrame:
+    """keys, dpi and reason of every page, from the largest image (w, h) and the size in points (w, h)
+    of the page, where there are any."""
+    long = lambda t, name: t.select(*keys, F.greatest("w", "h").alias(name))
+    rows = pages.select(*keys).join(long(images, "_px"), keys, "left").join(long(sizes, "_pt"), keys, "left")
+    return rows.select(*keys, effective_dpi("_px", "_pt", asked, max_px).alias("dpi"), dpi_reason("_px", "_pt", max_px).alias("reason"))
+
+
+def needs_render(chars, force: bool = False, least: int = 200) -> Column:
+    """Whether a page must be rendered: its text layer is poor, or rendering is forced."""
+    return F.lit(True) if force else F.coalesce(_col(chars), F.lit(0)) < least
+
+
+def tiles_of(w, h, tile: int = 1024, overlap: int = 128) -> Column:
+    """Number of tiles of overlap_grid()."""
+    return (F.size(overlap_starts(w, tile, overlap)) * F.size(overlap_starts(h, tile, overlap))).cast("long")
+
+
+def document_rollup(pages: DataFrame, doc: str) -> DataFrame:
+    """pages, with_text, rendered, chars and tiles per document, from a row per page (chars, w, h)."""
+    render = needs_render("chars")
+    return pages.groupBy(doc).agg(F.count("*").alias("pages"), F.count_if(F.col("chars") > 0).alias("with_text"), F.count_if(render).alias("rendered"), F.coalesce(F.sum("chars"), F.lit(0)).alias("chars"), F.coalesce(F.sum(F.when(render, tiles_of("w", "h"))), F.lit(0)).alias("tiles"))
+
+
+def index_statistics(pages: DataFrame) -> DataFrame:
+    """Of pages (chars, dpi, bytes_in, bytes_out): how many, the percentage with text, distinct, least
+    and largest dpi, and the size of what was made in percent of what came in."""
+    percent = lambda part, whole: 100.0 * part / F.greatest(F.lit(1), whole)
+    return pages.agg(
+        F.count("*").alias("pages"), percent(F.count_if(F.col("chars") > 0), F.count("*")).alias("text_percent"), F.count_distinct("dpi").alias("dpis"), F.min("dpi").alias("dpi_from"), F.max("dpi").alias("dpi_to"),
+        percent(F.coalesce(F.sum("bytes_out"), F.lit(0)), F.coalesce(F.sum("bytes_in"), F.lit(0))).alias("size_percent"),
+    )
+
+
+def ink(pixels: DataFrame, page: str, flag: Column) -> DataFrame:
+    """page, pixels, ink (pixels where flag holds) and density."""
+    return pixels.groupBy(page).agg(F.count("*").alias("pixels"), F.count_if(flag).alias("ink")).withColumn("density", F.col("ink") / F.col("pixels"))
+
+
+def column_runs(df: DataFrame, page: str, x: str, blank: Column) -> DataFrame:
+    """page, gaps and columns: blank runs of over 4 % of the width, and one more than those of over
+    6 %. A run that reaches the last column doesn't count, one from the first does."""
+    width = df.groupBy(page).agg(F.count("*").alias("_width"))
+    runs = islands(df, page, x, blank, keep_tail=False)
+    return width.join(runs, page, "left").groupBy(page).agg(F.count_if(F.col("length") > 0.04 * F.col("_width")).alias("gaps"), (1 + F.count_if(F.col("length") > 0.06 * F.col("_width"))).alias("columns"))
+
+
 def clamped(w, h, max_px: int) -> dict[str, Column]:
     """Width and height scaled down to max_px on the long side, fractions cut."""
     w, h = _col(w), _col(h)
@@ -115,6 +169,11 @@ def kit_area(tiles: DataFrame, kept: DataFrame, doc: str) -> DataFrame:
     return every.join(some, doc, "left").select(doc, "of", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"), (100.0 * F.coalesce("_some", F.lit(0)) / F.greatest(F.lit(1), F.col("_all"))).alias("percent"))
 
 
+def shown_share(areas: DataFrame) -> DataFrame:
+    """Documents and the mean of their shares, each rounded to a decimal before, as they are reported."""
+    return areas.agg(F.count("*").alias("documents"), F.round(F.avg(F.round("percent", 1)), 3).alias("mean_percent"))
+
+
 def image_grid(lines: DataFrame, line: str, doc: str) -> DataFrame:
     """doc, page, w, h: the largest width and height of the images on each page, from lines of an
     image list; masks (an extent of 1 or less), headers and lines that don't read are left out."""

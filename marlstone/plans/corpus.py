@@ -613,3 +613,6 @@ def binary_parts(spark, sf_dir):
     from ..sources.files import split_parts
 
     return split_parts(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.hex(F.encode("text", "UTF-8")).cast("binary").alias("content")), "content", 512).select("doc_id", "part", F.octet_length("content").cast("long").alias("bytes"))
+
+
+from . import more  # noqa: E402, F401  registers its queries

@@ -31,6 +31,38 @@ def scan_zones(spark: SparkSession, zones: dict[str, str], extensions: Sequence[
     return out
 
 
+def scan_unmanaged(spark: SparkSession, root: str, extensions: Sequence[str], skip: Sequence[str] = ("docs/", "tools/", "env/")) -> DataFrame:
+    """The census of root without what lies below these folders."""
+    files = scan(spark, root, extensions)
+    return files.where(~F.exists(F.array(*map(F.lit, skip)), lambda s: F.startswith("rel", s)))
+
+
+def first_kind(files: DataFrame, extensions: Sequence[str] = ("png", "jpg")) -> DataFrame:
+    """The files of the first of these extensions that occurs at all."""
+    order = F.array_position(F.array(*map(F.lit, extensions)), F.col("ext"))
+    ranked = files.withColumn("_at", order).where("_at > 0")
+    return ranked.join(F.broadcast(ranked.agg(F.min("_at").alias("_at"))), "_at", "left_semi").drop("_at")
+
+
+def verified_copies(spark: SparkSession, source: str, copy: str) -> DataFrame:
+    """rel, status and may_delete of every file below source: its copy below the other folder is read
+    again and compared by hash. No source may go unless all copies are right (see verify_moves)."""
+    from ..operators import census
+
+    hashed = lambda root: scan(spark, root, content=True).select("rel", F.sha2("content", 256).alias("sha256"))
+    return census.verify_moves(hashed(source), hashed(copy), "rel").select("rel", "status", "may_delete")
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """Rows as JSON lines; null fields stay, so that null isn't taken for missing."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def write_texts(rows: DataFrame, path: str, text: str, by: Sequence[str]) -> None:
+    """A text column as files, in folders by these columns: pages, chunks, notices or cards."""
+    rows.select(*by, F.col(text).alias("value")).repartition(*by).write.mode("overwrite").partitionBy(*by).text(path)
+
+
 def json_table(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> DataFrame:
     """A JSON document (or lines) with a declared schema; what doesn't read, and a path that isn't
     there, is empty."""
@@ -83,3 +115,12 @@ def markdown(rows: DataFrame, columns: Sequence[str], order: Sequence[str], most
     if len(got) > most:
         lines.append(f"and {rows.count() - most} more")
     return "\n".join(lines)
+
+
+def filled(template: str, **fields) -> Column:
+    """template with each {name} replaced by a column; null reads as a dash. For notices and cards,
+    a text per row: DataFrame.write.text takes them."""
+    out = F.lit(template)
+    for name, c in fields.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(c.cast("string"), F.lit("—")))
+    return out

@@ -55,3 +55,9 @@ def buckets(found: DataFrame) -> DataFrame:
     pick = lambda names: F.array_sort(F.array_intersect("m", F.array(*map(F.lit, names))))
     out = got.select("path", pick(rules.HEAVY).alias("heavy"), pick(rules.ROUTINE).alias("routine"))
     return out.withColumn("bucket", bucket(F.size("heavy") > 0, F.size("routine") > 0))
+
+
+def totals(rows: DataFrame, name: str = "bucket") -> DataFrame:
+    """files, heavy and routine; files in neither bucket, those that don't read among them, count in
+    files alone."""
+    return rows.agg(F.count("*").alias("files"), F.count_if(F.col(name) == "heavy").alias("heavy"), F.count_if(F.col(name) == "routine").alias("routine"))
