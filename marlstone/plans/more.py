@@ -87,16 +87,16 @@ def gate_renamed(spark, sf_dir):
     return gate.rights_hold(rows, [""]).select("doc_id", "path", "former", "verdict", "decided")
 
 
-_SPACED = "SELECT doc_id, text FROM documents UNION ALL SELECT -doc_id - 1, '  ' || replace(upper(text), ' ', '  ') FROM documents WHERE lang = 'en'"
+_SPACED = "SELECT doc_id, text FROM documents UNION ALL SELECT -doc_id - 1, '  ' || replace(text, ' ', '  ') FROM documents WHERE lang = 'en'"
 
 
 @query(f"""WITH h AS (SELECT doc_id, sha256(text) AS s, {_NORM} AS t FROM ({_SPACED}) WHERE text IS NOT NULL)
 SELECT sha256('txt=' || length(t) || chr(10) || sha256(t)) AS signature, count(*) AS n, min(doc_id) AS first_id, count(DISTINCT s) AS variants
 FROM h WHERE t <> '' GROUP BY 1 HAVING count(DISTINCT s) > 1""")
 def near_groups_hit(spark, sf_dir):
-    """Near groups among the documents and spaced, capital copies of the English ones."""
+    """Near groups among the documents and spaced copies of the English ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    copies = docs.where("lang = 'en'").select((-F.col("doc_id") - 1).alias("doc_id"), F.concat(F.lit("  "), F.replace(F.upper("text"), F.lit(" "), F.lit("  "))).alias("text"))
+    copies = docs.where("lang = 'en'").select((-F.col("doc_id") - 1).alias("doc_id"), F.concat(F.lit("  "), F.replace("text", F.lit(" "), F.lit("  "))).alias("text"))
     rows = docs.select("doc_id", "text").unionByName(copies)
     return dedupe.near_groups(rows.select("doc_id", dedupe.content_hash("text").alias("sha256"), dedupe.signature("text").alias("signature")), "sha256", "signature", "doc_id")
 
@@ -130,7 +130,7 @@ _SQL_CLEAN = lambda x: rf"""trim(trim(regexp_replace(regexp_replace(trim(regexp_
 _TITLE = "regexp_extract(html, '<title>([^<]*)', 1)"
 
 
-@query(rf"""WITH e AS (SELECT page_id, 'US' || 5000000 + page_id || '.A' AS stem, CASE page_id % 3 WHEN 0 THEN 'x' || chr(10) || '[54] 12 ' || {_TITLE} || ' [75] y' WHEN 1 THEN 'US 5,1' || chr(10) || upper({_TITLE}) || chr(10) || 'end' ELSE {_TITLE} END AS text FROM pages),
+@query(rf"""WITH e AS (SELECT page_id, 'US' || 5000000 + page_id || '.A' AS stem, CASE page_id % 3 WHEN 0 THEN 'x' || chr(10) || '[54] 12 ' || {_TITLE} || ' [75] y' WHEN 1 THEN 'US 5,1' || chr(10) || upper(replace({_TITLE}, 'ß', 'ss')) || chr(10) || 'end' ELSE {_TITLE} END AS text FROM pages),
 c AS (SELECT *, {_SQL_CLEAN(f"regexp_replace(trim(regexp_replace(regexp_extract(text, {_q('(?s)' + rules.PATENT_TITLE)}, 1), '\\s+', ' ', 'g')), {_q(rules.PATENT_CODE)}, '')")} AS coded,
   list_filter(list_transform(string_split_regex(text, '\r\n|\n|\r'), lambda x: {_SQL_CLEAN("x")}), lambda x: length(x) >= 14 AND x = upper(x) AND x <> lower(x) AND NOT regexp_matches(x, {_q(rules.PATENT_IDENTIFIER)}) AND len(regexp_extract_all(x, '[A-Z]{{3,}}')) >= 2)[1] AS capital FROM e),
 t AS (SELECT page_id, regexp_extract(stem, '\d{{7,8}}') AS number, coalesce(CASE WHEN len(regexp_extract_all(coded, '[A-Za-z]{{3,}}')) >= 2 THEN coded END, capital) AS title FROM c)
@@ -139,7 +139,7 @@ def patent_titles(spark, sf_dir):
     """Names of patents from page titles, put after code 54, in a line of capitals, or as they are."""
     title = F.regexp_extract("html", "<title>([^<]*)", 1)
     kind = F.col("page_id") % 3
-    evidence = F.when(kind == 0, F.concat(F.lit("x\n[54] 12 "), title, F.lit(" [75] y"))).when(kind == 1, F.concat(F.lit("US 5,1\n"), F.upper(title), F.lit("\nend"))).otherwise(title)
+    evidence = F.when(kind == 0, F.concat(F.lit("x\n[54] 12 "), title, F.lit(" [75] y"))).when(kind == 1, F.concat(F.lit("US 5,1\n"), F.upper(F.replace(title, F.lit("ß"), F.lit("ss"))), F.lit("\nend"))).otherwise(title)
     return table(spark, sf_dir, "pages").select("page_id", text.patent_name(F.concat(F.lit("US"), F.col("page_id") + 5_000_000, F.lit(".A")), evidence).alias("name"))
 
 
