@@ -35,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import Words, blocks, deltas, discard, durable, lists, mix, release, tidy, undelta
 
@@ -355,9 +354,9 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """doc_id, n_shingles and component_id of every document."""
     told = durable(describe(df, id_col, text_col, width), "sets").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
     # At most SALTS rows stand for a set, however many copies it has; rep is its smallest document.
-    shares = told.where("n > 0").groupBy("a", "b", "n", "salt").agg(F.min("doc_id").alias("least"))
-    shares = durable(shares.select("a", "b", "n", "salt", F.min("least").over(Window.partitionBy("a", "b", "n")).alias("rep")), "shares")
-    sets = durable(shares.where("rep is not null").select("a", "rep", "n").distinct(), "reps")
+    shares = durable(told.where("n > 0").groupBy("a", "b", "n", "salt").agg(F.min("doc_id").alias("least")), "shares")
+    reps = durable(shares.groupBy("a", "b", "n").agg(F.min("least").alias("rep")), "reps")
+    sets = reps.where("rep is not null")
     same, members = sets.select("a", "rep"), int(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     docs = _named(df, id_col, text_col)
     meet = meetings(filings(df, id_col, text_col, width, num, den))
@@ -374,7 +373,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         wider = durable(contract(all_links).select("node", F.col("root").alias("found")), "found")
         discard(more, found, *second)
         found = wider
-    discard(meet, sets)
-    named = shares.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n", "salt", F.coalesce("found", "rep").alias("root"))
+    rooted = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("a", "b", "n", F.coalesce("found", "rep").alias("root"))
+    rooted = durable(rooted, "rooted")
+    discard(meet, reps, found)
+    named = durable(shares.select("a", "b", "n", "salt").join(rooted, ["a", "b", "n"]), "named")
+    discard(shares, rooted)
     out = told.join(named, ["a", "b", "n", "salt"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
