@@ -16,7 +16,7 @@ successors of level k - 1 entries, as Elias-Fano sequences: monotone pointers to
 successor, and successors made monotone by their context's place. Probabilities and back-off weights
 are quantised to 16 bits. The levels lie in one memory map and stay packed: an entry is found
 between its context's two pointers, which are selects on the packed high bits, by the high bits of
-the successor sought (selects again) and the packed low bits of the few entries that share them.
+the successor sought (selects again) and, by halves, the packed low bits of the entries that share them.
 
 Words and n-grams are keyed by 64-bit hashes: of n distinct ones about n * n / 2^65 pairs would share one.
 
@@ -116,13 +116,16 @@ class EliasFano:
         want = v.astype(np.uint64) & _u((1 << self.low_bits) - 1)
         out = np.full(len(v), -1, np.int64)
         live = np.flatnonzero(at < end)
-        while len(live):
-            own = self.lows(at[live])
-            hit = own == want[live]
-            out[live[hit]] = at[live[hit]]
-            live = live[own < want[live]]
-            at[live] += 1
-            live = live[at[live] < end[live]]
+        lo, hi, want = at[live], end[live], want[live]
+        while len(live):  # their low bits rise: by halves
+            mid = (lo + hi) >> 1
+            own = self.lows(mid)
+            hit = own == want
+            out[live[hit]] = mid[hit]
+            below = own < want
+            lo, hi = np.where(below, mid + 1, lo), np.where(below, hi, mid)
+            go = (lo < hi) & ~hit
+            live, lo, hi, want = live[go], lo[go], hi[go], want[go]
         return out
 
 
@@ -168,6 +171,7 @@ class Trie:
         pointers, suc = self.sequence(k, "ptr"), self.sequence(k, "suc")
         out = np.full(len(ctx), -1, np.int64)
         ok = np.flatnonzero(ctx >= 0)
+        ok = ok[np.argsort(ctx[ok] * self.words + word[ok])]  # neighbours lie in the same cache lines
         lo, hi = pointers.get(ctx[ok]), pointers.get(ctx[ok] + 1)
         some = hi > lo
         ok, lo, hi = ok[some], lo[some], hi[some]
@@ -314,7 +318,7 @@ def scores(t: Tokens, total: list[np.ndarray], N: int, V: int, mu: float) -> tup
         # Entries of the level: what training has seen.
         seen = np.flatnonzero(c > 0)
         ctx, word = entry[-1][ctx_place[seen]], t.word[one[seen]]
-        sort = np.lexsort((word, ctx))
+        sort = np.argsort(ctx * len(p1) + word)
         seen = seen[sort]
         levels.append((ctx[sort], word[sort]))
         probs.append(np.log10(full[-1][seen]))
