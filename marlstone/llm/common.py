@@ -107,6 +107,13 @@ def tidy(run: Callable) -> Callable:
     return whole
 
 
+def unused(name: str, taken) -> str:
+    """name, or one like it that isn't taken."""
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def held(id_col, modulus: int, remainder: int):
     """Whether crc32(id as text) mod modulus is remainder; not so without an id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus == remainder, F.lit(False))

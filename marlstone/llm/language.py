@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import blocks, labelled_sample, tidy
+from .common import blocks, labelled_sample, tidy, unused
 
 #: Sample per language: rows, and characters in all, shared among the rows (a window of each).
 SAMPLE_ROWS, SAMPLE_CHARS = 60, 42_000
@@ -258,10 +258,12 @@ def samples(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> dict[st
     return {k: " ".join(dict.fromkeys(v)) for k, v in out.items()}
 
 
-def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, the columns in keep, lang_pred and score of every row; found: a sample text per language."""
+def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """id, the columns in keep, and under the names in out the language and the score of every row;
+    found: a sample text per language."""
     shared = df.sparkSession.sparkContext.broadcast(Parser(found))
-    source = df.select(*dict.fromkeys([id_col, *keep]), F.col(text_col).alias("_text"))
+    body = unused("_text", (id_col, *keep))
+    source = df.select(*dict.fromkeys([id_col, *keep]), F.col(text_col).alias(body))
     kept = source.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +271,7 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
         names = np.array([*p.names, "und"], dtype=object)
         for b in batches:
             best, score = [], []
-            for _, _, data, offs in blocks(b.column("_text"), 2 << 20):
+            for _, _, data, offs in blocks(b.column(body), 2 << 20):
                 codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
                 f = folded(codes)
                 # Row bounds in characters: bytes that begin one, counted up to each offset.
@@ -293,7 +295,7 @@ def identify(df: DataFrame, found: dict[str, str], id_col: str = "doc_id", text_
                 score.append(np.where(letters > 0, margin, 0.0))
             n = len(p.names)
             i = np.concatenate(best) if best else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(names[np.minimum(i, n)].tolist(), pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*kept, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(names[np.minimum(i, n)].tolist(), pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=[*kept, *out])
 
-    schema = StructType([*(source.schema[c] for c in kept), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*(source.schema[c] for c in kept), StructField(out[0], StringType()), StructField(out[1], DoubleType())])
     return source.mapInArrow(tidy(run), schema)

@@ -21,6 +21,7 @@ encode() is the text, but that U+2581 comes back as a blank; repeated ids are ro
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import blocks, durable, lists
+from .common import blocks, durable, lists, unused
 
 BLANK = "▁"
 #: Units in the dictionary at most, and characters of a unit in the lattice.
@@ -70,27 +71,37 @@ def read_model(path: str, kind: str = "bpe") -> Model:
     return Model(pieces, kind, spelled, sp.piece_to_id("<0x00>"), longest)
 
 
+def merges(unit: str, m: Model) -> list[str]:
+    """The parts that a BPE model's merges leave of a unit, the best pair first, leftmost on ties; a
+    heap of pairs over a chain of parts, so that a unit of n characters takes n log n steps."""
+    parts, n, get = list(unit), len(unit), m.pieces.get
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(-s[1], i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if (s := get(a + b))]
+    heapq.heapify(heap)
+
+    def offer(i: int, j: int) -> None:
+        if i >= 0 and j < n and (s := get(parts[i] + parts[j])):
+            heapq.heappush(heap, (-s[1], i, parts[i], parts[j]))
+
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if j >= n or parts[i] != a or parts[j] != b:  # one of the two has been merged meanwhile
+            continue
+        parts[i], parts[j], after[i] = a + b, "", after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        offer(before[i], i)
+        offer(i, after[i])
+    return [x for x in parts if x]
+
+
 def fold(unit: str, m: Model) -> list[int]:
     """Ids of one unit, by the rules of the lattice's fold."""
     if unit in m.pieces and m.kind == "bpe" and len(unit) == 1:
         return [m.pieces[unit][0]]
     if m.kind == "bpe":
-        parts = list(unit)
-        get = m.pieces.get
-        scores = [s[1] if (s := get(a + b)) else None for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for i, s in enumerate(scores):
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del scores[at]
-            if at < len(scores):
-                scores[at] = s[1] if (s := get(parts[at] + parts[at + 1])) else None
-            if at:
-                scores[at - 1] = s[1] if (s := get(parts[at - 1] + parts[at])) else None
+        parts = merges(unit, m)
     else:
         n = len(unit)
         best = [0.0] + [-1e300] * n
@@ -220,16 +231,17 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
     m = read_model(model, kind)
     words = dictionary(df, m, text_col, most).toArrow()  # at most `most` rows
     shared = df.sparkSession.sparkContext.broadcast((m, words))
-    source = df.select(*keep, F.col(text_col).alias("_text"))
+    body = unused("_text", keep)
+    source = df.select(*keep, F.col(text_col).alias(body))
     made: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = made.setdefault("speller", None) or Speller(*shared.value)
         made["speller"] = speller
         for b in batches:
-            for lo, hi, _, _ in blocks(b.column("_text"), 1 << 20):
+            for lo, hi, _, _ in blocks(b.column(body), 1 << 20):
                 part = b.slice(lo, hi - lo)
-                flat, bound = speller.block([t or "" for t in part.column("_text").to_pylist()])
+                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
 
     return source.mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))

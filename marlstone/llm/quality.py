@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import Words, blocks, labelled_sample, tidy
+from .common import Words, blocks, labelled_sample, tidy, unused
 
 PASSAGE = 64
 HASHED = 1024
@@ -173,15 +173,16 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return AttentionMIL(WIDTH).fit(bags, np.array(got.column("label").to_pylist(), np.float64))
 
 
-def score(df: DataFrame, model: AttentionMIL, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in keep and score, the probability of label 1, of every row's whole text."""
+def score(df: DataFrame, model: AttentionMIL, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
+    """The columns in keep and out, the probability of label 1, of every row's whole text."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    source = df.select(*keep, F.col(text_col).alias("_text"))
+    body = unused("_text", keep)
+    source = df.select(*keep, F.col(text_col).alias(body))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            s = [m.score(*encode(data, offs)) for _, _, data, offs in blocks(b.column("_text"), 1 << 20)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*keep, "score"])
+            s = [m.score(*encode(data, offs)) for _, _, data, offs in blocks(b.column(body), 1 << 20)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(np.concatenate(s) if s else np.zeros(0))], names=[*keep, out])
 
-    return source.mapInArrow(tidy(run), StructType([*(source.schema[c] for c in keep), StructField("score", DoubleType())]))
+    return source.mapInArrow(tidy(run), StructType([*(source.schema[c] for c in keep), StructField(out, DoubleType())]))

@@ -457,6 +457,17 @@ def test_pieces(spark, odd_docs):
     assert pieces.encode(df.limit(0), file).count() == 0
 
 
+def test_long_unit(spark):
+    """An unbroken line of a million characters: the library's ids, in time."""
+    import sentencepiece
+
+    file = queries.tokenizer_file("piece_bpe_32k.model")
+    text = "".join(f"{i * i % 977:x}th" for i in range(220_000))[:1_000_000]
+    got = pieces.encode(spark.createDataFrame([(1, text), (2, "a" * 5000)], "doc_id long, text string"), file).collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=file)
+    assert all(r.ids == sp.encode(r.text) for r in got)
+
+
 def test_lattice_is_the_fold(spark):
     file = queries.tokenizer_file("piece_bpe_32k.model")
     m = pieces.read_model(file)
@@ -568,3 +579,19 @@ def test_pipeline(spark, sf_dir, words):
             classes = brute_classes([(i, r.text) for i, r in before.items()], words, 5, 80, 100)
             assert {r[0] for r in rows} == {i for i, (_, root) in classes.items() if i == root}
         docs = spark.createDataFrame(rows, docs.schema)
+
+
+def test_pipeline_on_odd_tables(spark, sf_dir, odd_docs):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing names, empty tables."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    told, quality_, joined, packed = (stage for _, stage in corpus_pipeline.STAGES)
+    ids = lambda df: sorted((r.doc_id for r in df.collect()), key=str)
+    out = told(spark, odd_docs, sf_dir)
+    assert out.columns == odd_docs.columns and ids(out) == sorted([1, 5, 5, 6, 7, 8, None], key=str)
+    out = quality_(spark, odd_docs, sf_dir)
+    assert out.columns == odd_docs.columns and set(ids(out)) <= set(ids(odd_docs))
+    out = joined(spark, odd_docs.unionByName(odd_docs.where("doc_id is null")), sf_dir)
+    assert out.columns == odd_docs.columns and ids(out) == sorted([1, 2, 3, 4, 6, 7, 8, None], key=str)
+    assert {r.doc_id for r in packed(spark, odd_docs, sf_dir).collect()} == set(ids(odd_docs))
+    for stage in (told, quality_, joined, packed):
+        assert stage(spark, odd_docs.limit(0), sf_dir).count() == 0
