@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import jaccard, language, packing, quality
-from marlstone.llm.common import durable
+from marlstone.llm.common import durable, unused
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +16,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     letter. All others stay as they came, repeated rows and rows without an id too; without any
     labelled row no language is known and nothing stays; an empty table stays empty."""
     found = language.samples(docs, "text", "lang", "doc_id")
-    told = language.identify(docs, found, keep=tuple(docs.columns))
-    return told.where(F.col("lang_pred") != "und").select(*docs.columns)
+    named, sure = unused("_lang", docs.columns), unused("_sure", docs.columns)
+    told = language.identify(docs, found, keep=tuple(docs.columns), out=(named, sure))
+    return told.where(F.col(named) != "und").select(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     all stay, with one label only all stay or go with it; an empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     model = quality.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
-    return quality.score(docs, model, keep=tuple(docs.columns)).where("score >= 0.5").select(*docs.columns)
+    scored = unused("_quality", docs.columns)
+    return quality.score(docs, model, keep=tuple(docs.columns), out=scored).where(F.col(scored) >= 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
