@@ -127,19 +127,20 @@ def unreadable_stems(spark, sf_dir):
 
 
 _SQL_CLEAN = lambda x: rf"""trim(trim(regexp_replace(regexp_replace(trim(regexp_replace({x}, '\s+', ' ', 'g')), '[\\/:*?"<>|]+', ' ', 'g'), '\s+', ' ', 'g')), ' .-–—_')"""
-_TITLE = "regexp_extract(html, '<title>([^<]*)', 1)"
+#: Page titles; a sharp s, whose capital differs between engines, is spelled out.
+_TITLE = "replace(regexp_extract(html, '<title>([^<]*)', 1), 'ß', 'ss')"
 
 
-@query(rf"""WITH e AS (SELECT page_id, 'US' || 5000000 + page_id || '.A' AS stem, CASE page_id % 3 WHEN 0 THEN 'x' || chr(10) || '[54] 12 ' || {_TITLE} || ' [75] y' WHEN 1 THEN 'US 5,1' || chr(10) || upper(replace({_TITLE}, 'ß', 'ss')) || chr(10) || 'end' ELSE {_TITLE} END AS text FROM pages),
+@query(rf"""WITH e AS (SELECT page_id, 'US' || 5000000 + page_id || '.A' AS stem, CASE page_id % 3 WHEN 0 THEN 'x' || chr(10) || '[54] 12 ' || {_TITLE} || ' [75] y' WHEN 1 THEN 'US 5,1' || chr(10) || upper({_TITLE}) || chr(10) || 'end' ELSE {_TITLE} END AS text FROM pages),
 c AS (SELECT *, {_SQL_CLEAN(f"regexp_replace(trim(regexp_replace(regexp_extract(text, {_q('(?s)' + rules.PATENT_TITLE)}, 1), '\\s+', ' ', 'g')), {_q(rules.PATENT_CODE)}, '')")} AS coded,
   list_filter(list_transform(string_split_regex(text, '\r\n|\n|\r'), lambda x: {_SQL_CLEAN("x")}), lambda x: length(x) >= 14 AND x = upper(x) AND x <> lower(x) AND NOT regexp_matches(x, {_q(rules.PATENT_IDENTIFIER)}) AND len(regexp_extract_all(x, '[A-Z]{{3,}}')) >= 2)[1] AS capital FROM e),
 t AS (SELECT page_id, regexp_extract(stem, '\d{{7,8}}') AS number, coalesce(CASE WHEN len(regexp_extract_all(coded, '[A-Za-z]{{3,}}')) >= 2 THEN coded END, capital) AS title FROM c)
 SELECT page_id, 'Патент США ' || number || coalesce(' — ' || list_aggregate(list_transform(regexp_extract_all(title, '\p{{L}}+|[^\p{{L}}]+'), lambda r: upper(r[1]) || lower(r[2:])), 'string_agg', ''), '') AS name FROM t""")
 def patent_titles(spark, sf_dir):
     """Names of patents from page titles, put after code 54, in a line of capitals, or as they are."""
-    title = F.regexp_extract("html", "<title>([^<]*)", 1)
+    title = F.replace(F.regexp_extract("html", "<title>([^<]*)", 1), F.lit("ß"), F.lit("ss"))
     kind = F.col("page_id") % 3
-    evidence = F.when(kind == 0, F.concat(F.lit("x\n[54] 12 "), title, F.lit(" [75] y"))).when(kind == 1, F.concat(F.lit("US 5,1\n"), F.upper(F.replace(title, F.lit("ß"), F.lit("ss"))), F.lit("\nend"))).otherwise(title)
+    evidence = F.when(kind == 0, F.concat(F.lit("x\n[54] 12 "), title, F.lit(" [75] y"))).when(kind == 1, F.concat(F.lit("US 5,1\n"), F.upper(title), F.lit("\nend"))).otherwise(title)
     return table(spark, sf_dir, "pages").select("page_id", text.patent_name(F.concat(F.lit("US"), F.col("page_id") + 5_000_000, F.lit(".A")), evidence).alias("name"))
 
 
