@@ -2,18 +2,20 @@
 
 Text becomes units: a dummy blank goes before it, blanks become U+2581, and a unit runs from a run
 of those to the next; line feeds stand alone (no piece holds one, nor a U+2581 after another
-character, which read_model checks, so units are encoded independently). Every distinct unit that
-is frequent enough for a dictionary of DICTIONARY units is a word of the lattice: its substrings
-of bounded length are exploded and equi-joined to the piece table, the edges are grouped by word,
-and a Spark higher-order aggregate folds them:
+character, which read_model checks, so units are encoded independently). Every distinct unit of at
+most LONGEST characters is a word of the lattice: its substrings of bounded length are exploded and
+equi-joined to the piece table, the edges are grouped by word, and a Spark higher-order aggregate
+folds them:
 
 * unigram models: Viterbi, the segmentation with the highest sum of scores;
 * BPE models: the merges of the model, at each step the adjacent pair whose piece has the best
   score, leftmost first. Viterbi over a BPE model's scores, which are merge ranks, doesn't give
   SentencePiece's segmentation; this does.
 
-Characters without a piece are spelled as byte pieces. Rarer units, and units of over LONGEST
-characters, are folded by the same rules in the task that meets them, each spelling once a block.
+Characters without a piece are spelled as byte pieces. Ids go back to the texts on two ways: those
+of the DICTIONARY most frequent units as a broadcast, those of all others by a join of the units of
+each row. Units of over LONGEST characters, which no mask of a long holds, are folded by the same
+rules in the task that meets them.
 
 Defined results: null or empty text has no pieces; equal texts have equal ids; decode() of
 encode() is the text, but that U+2581 comes back as a blank; repeated ids are rows of their own.
@@ -32,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import blocks, durable, lists, unused
+from .common import blocks, discard, durable, lists, unused
 
 BLANK = "▁"
-#: Units in the dictionary at most, and characters of a unit in the lattice.
+#: Units whose ids are broadcast, at most, and characters of a unit in the lattice.
 DICTIONARY, LONGEST = 300_000, 60
-#: Units that a worker keeps beside the dictionary, at most.
-KEEP = 150_000
+#: Distinct units that one task of the lattice folds, about.
+FOLDED = 20_000
 UNIT = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 
 
@@ -137,22 +139,24 @@ def units(text: str) -> list[str]:
 
 
 def lattice(words: DataFrame, m: Model, spark: SparkSession) -> DataFrame:
-    """word, ids of every word (distinct, of at most LONGEST characters)."""
+    """word, any further columns, and ids of every word (distinct, of at most LONGEST characters)."""
+    more = [c for c in words.columns if c != "word"]
     table = spark.createDataFrame([(p, i, s) for p, (i, s) in m.pieces.items()], "piece string, id int, score double")
     # Substrings of bounded length as edges; a lone character is an edge with or without a piece.
     at = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda s: F.transform(F.sequence(F.lit(1), F.least(F.lit(m.longest), F.length("word") - s)), lambda n: F.struct(s.alias("s"), n.alias("n"))))))
-    subs = words.select("word", at.alias("at")).select("word", "at.s", (F.col("at.s") + F.col("at.n")).alias("e"), F.expr("substring(word, at.s + 1, at.n)").alias("piece"))
+    subs = words.select("word", *more, at.alias("at")).select("word", *more, "at.s", (F.col("at.s") + F.col("at.n")).alias("e"), F.expr("substring(word, at.s + 1, at.n)").alias("piece"))
     # The piece table is bounded by the model: tens of thousands of short strings.
     edges = subs.join(F.broadcast(table), "piece", "left").where("id is not null or e = s + 1")
     inner = F.expr("shiftleft(1L, e) - shiftleft(1L, s + 1)")
     edges = edges.withColumn("inner", inner).withColumn("ends", F.expr("shiftleft(1L, e) | shiftleft(1L, s)"))
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("s", "e", "inner", "ends", "id", "score", "piece"))).alias("edges"))
+    merging = F.when(F.expr("id is not null and e - s > 1"), F.struct("s", "inner", "ends", "score"))
+    grouped = edges.groupBy("word", *more).agg(F.sort_array(F.collect_list(F.struct("s", "e", "inner", "ends", "id", "score", "piece"))).alias("edges"), F.collect_list(merging).alias("pairs"))
     size = F.length("word")
     if m.kind == "bpe":
         # Bit i of the state: a cut before character i. A merge clears the one cut inside its edge.
         cut = F.aggregate(
             F.sequence(F.lit(1), size), F.expr("shiftleft(1L, length(word) + 1) - 1"),
-            lambda mask, _: F.coalesce(mask.bitwiseAND(F.bitwise_not(F.array_max(F.transform(F.filter("edges", lambda e: e.id.isNotNull() & (mask.bitwiseAND(e.ends) == e.ends) & (F.bit_count(mask.bitwiseAND(e.inner)) == 1)), lambda e: F.struct(e.score, -e.s, e.inner.bitwiseAND(mask).alias("gone"))))["gone"])), mask),
+            lambda mask, _: F.coalesce(mask.bitwiseAND(F.bitwise_not(F.array_max(F.transform(F.filter("pairs", lambda e: (mask.bitwiseAND(e.ends) == e.ends) & (F.bit_count(mask.bitwiseAND(e.inner)) == 1)), lambda e: F.struct(e.score, -e.s, e.inner.bitwiseAND(mask).alias("gone"))))["gone"])), mask),
         )
         path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
     else:
@@ -166,26 +170,35 @@ def lattice(words: DataFrame, m: Model, spark: SparkSession) -> DataFrame:
         path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
     spell = lambda e: F.transform(F.sequence(F.lit(1), F.octet_length(e.piece)), lambda i: F.conv(F.substring(F.hex(F.encode(e.piece, "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + m.bytes_at)
     ids = F.flatten(F.transform("path", lambda e: F.when(e.id.isNull(), spell(e)).otherwise(F.array(e.id))))
-    return grouped.withColumn("cut", cut).withColumn("path", path).select("word", ids.alias("ids"))
+    return grouped.withColumn("cut", cut).withColumn("path", path).select("word", *more, ids.alias("ids"))
 
 
-def dictionary(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY) -> DataFrame:
-    """word, ids of the units that occur at least as often as keeps the dictionary within most."""
-    spaced = F.replace(F.replace(F.col(text_col), F.lit(" "), F.lit("\u0001" + BLANK)), F.lit("\n"), F.lit("\u0001"))
-    seen = df.select(F.explode(F.split(F.concat(F.lit(BLANK), spaced), "\u0001")).alias("word")).where("word <> ''")
-    counts = durable(seen.groupBy("word").agg(F.count("*").alias("n")).where(F.length("word") <= LONGEST).where("n > 1"), "units")
+def units_of(text):
+    """units() of a text column, as a column; an empty text has one blank unit here."""
+    return F.regexp_extract_all(F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK))), F.lit(UNIT.pattern), F.lit(0))
+
+
+def spellings(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY) -> DataFrame:
+    """word, frequent, ids of all distinct units of at most LONGEST characters; frequent are the
+    units, most at most, that occur at least as often as any of them."""
+    seen = df.select(F.explode(units_of(F.col(text_col))).alias("word")).where(F.length("word") <= LONGEST)
+    counts = durable(seen.groupBy("word").agg(F.count("*").alias("n")), "units")
     ladder = counts.groupBy(F.least("n", F.lit(5000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
     total, least = 0, None
     for r in ladder:
         if total + r["words"] > most:
             break
         total, least = total + r["words"], r["n"]
-    kept = counts.where(F.lit(False) if least is None else F.col("n") >= least)
-    return lattice(kept.select("word"), m, df.sparkSession)
+    frequent = F.lit(False) if least is None else F.col("n") >= least
+    # Dealt out by word before the substrings are exploded, so that edges meet without a shuffle.
+    dealt = counts.select("word", frequent.alias("frequent")).repartition(sum(r["words"] for r in ladder) // FOLDED + 8, "word")
+    out = durable(lattice(dealt, m, df.sparkSession), "spellings")
+    discard(counts)
+    return out
 
 
 class Speller:
-    """Ids of units: the dictionary's, and beside them those met lately."""
+    """Ids of units: the broadcast ones, those that came with the rows, and long units."""
 
     def __init__(self, m: Model, words: pa.Table):
         self.m = m
@@ -194,14 +207,10 @@ class Speller:
         self.ends = (col.offsets.to_numpy() - col.offsets[0].as_py()).astype(np.int64) if len(words) else np.zeros(1, np.int64)
         self.index = {w: i for i, w in enumerate(words.column("word").to_pylist())}
         self.known = len(self.index)
-        self.new: dict[str, int] = {}
-        self.new_ids: list[list[int]] = []
 
-    def block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def block(self, texts: list[str], joined: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of the texts and the n + 1 bounds."""
-        if len(self.new) > KEEP:
-            self.new, self.new_ids = {}, []
-        index, new = self.index, self.new
+        index, new, extra = self.index, {}, []
         every = [units(t) for t in texts]
         places = []
         for us in every:
@@ -210,16 +219,12 @@ class Speller:
                 if i is None:
                     i = new.get(u)
                     if i is None:
-                        i = new[u] = -1 - len(self.new_ids)
-                        self.new_ids.append(fold(u, self.m))
+                        i = new[u] = self.known + len(extra)
+                        extra.append(joined[u] if len(u) <= LONGEST else fold(u, self.m))
                 places.append(i)
         at = np.array(places, np.int64)
-        own = -1 - at[at < 0]
-        some, inv = np.unique(own, return_inverse=True)
-        extra = [self.new_ids[i] for i in some.tolist()]
         flat = np.concatenate([self.flat, np.array([x for e in extra for x in e], np.int32)])
         ends = np.concatenate([self.ends, len(self.flat) + np.cumsum([len(e) for e in extra], dtype=np.int64)])
-        at[at < 0] = self.known + inv
         size = ends[at + 1] - ends[at]
         first = np.concatenate([[0], np.cumsum(size)])
         out = flat[np.repeat(ends[at] - first[:-1], size) + np.arange(first[-1])]
@@ -229,10 +234,17 @@ class Speller:
 def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text"), most: int = DICTIONARY) -> DataFrame:
     """The columns in keep and ids, the piece ids of every row's whole text."""
     m = read_model(model, kind)
-    words = dictionary(df, m, text_col, most).toArrow()  # at most `most` rows
-    shared = df.sparkSession.sparkContext.broadcast((m, words))
     body = unused("_text", keep)
-    source = df.select(*keep, F.col(text_col).alias(body))
+    row, rare = unused("_row", (*keep, body)), unused("_rare", (*keep, body))
+    # Written, so that a row keeps its number if executors are lost.
+    source = durable(df.select(*keep, F.col(text_col).alias(body), F.monotonically_increasing_id().alias(row)), "texts")
+    spelled = spellings(source, m, body, most)
+    often = spelled.where("frequent").select("word", "ids")
+    shared = df.sparkSession.sparkContext.broadcast((m, often.toArrow()))  # at most `most` rows
+    met = source.select(row, F.explode(F.array_distinct(units_of(F.col(body)))).alias("word")).where(F.length("word") <= LONGEST)
+    met = met.join(F.broadcast(often.select("word")), "word", "left_anti")
+    met = met.join(spelled.where("not frequent").select("word", "ids"), "word")
+    met = met.groupBy(row).agg(F.collect_list(F.struct("word", "ids")).alias(rare))
     made: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,10 +253,12 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
         for b in batches:
             for lo, hi, _, _ in blocks(b.column(body), 1 << 20):
                 part = b.slice(lo, hi - lo)
-                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()])
+                came = part.column(rare).flatten()
+                joined = dict(zip(came.field("word").to_pylist(), came.field("ids").to_pylist(), strict=True))
+                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()], joined)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
 
-    return source.mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))
+    return source.join(met, row, "left").drop(row).mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decoded(ids: str, model: str):

@@ -481,15 +481,24 @@ def test_lattice_is_the_fold(spark):
 
 
 def test_dictionary_bound(spark):
-    """The dictionary stays within its bound also if more units than that are very frequent."""
+    """The broadcast stays within its bound also if more units than that are very frequent; units
+    beyond it get the same ids by the join."""
     file = queries.tokenizer_file("piece_bpe_32k.model")
-    df = spark.createDataFrame([("one two three " * 5001,), ("four four",)], "text string")
+    df = spark.createDataFrame([("one two three " * 5001,), ("four four",), ("four  five\n\nsix\u0001 two",), ("x" * 61,), (None,), ("",)], "text string")
     m = pieces.read_model(file)
-    assert pieces.dictionary(df, m, "text", most=2).count() <= 2
-    whole, few = (pieces.encode(df, file, keep=("text",), most=n).collect() for n in (pieces.DICTIONARY, 2))
+    told = pieces.spellings(df, m, "text", most=2)
+    assert told.where("frequent").count() <= 2
+    assert {r.word: r.ids for r in told.collect()} == {w: pieces.fold(w, m) for w in [*"▁one ▁two ▁three ▁four ▁▁five ▁six six\u0001 ▁ \n".split(" ")] if w != "▁six"}
+    whole, few = (sorted(pieces.encode(df, file, keep=("text",), most=n).collect(), key=str) for n in (pieces.DICTIONARY, 2))
     assert whole == few
 
 
+def test_units_as_a_column(spark):
+    texts = ["a  b", " lead", "x\n\n y\t z ", "▁ ▁x", "\n", "漢字 𝒳y", "one two"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(pieces.units_of(F.col("t")).alias("u")).collect()
+    assert [r.u for r in got] == [pieces.units(t) for t in texts]
+
+
 # ---- 10 LM
 
 
