@@ -244,7 +244,9 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
     met = source.select(row, F.explode(F.array_distinct(units_of(F.col(body)))).alias("word")).where(F.length("word") <= LONGEST)
     met = met.join(F.broadcast(often.select("word")), "word", "left_anti")
     met = met.join(spelled.where("not frequent").select("word", "ids"), "word")
-    met = met.groupBy(row).agg(F.collect_list(F.struct("word", "ids")).alias(rare))
+    # Written, so that the shuffle files of units are gone when the texts are shuffled.
+    met = durable(met.groupBy(row).agg(F.collect_list(F.struct("word", "ids")).alias(rare)), "rare")
+    discard(spelled)
     made: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
