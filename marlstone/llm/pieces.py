@@ -234,10 +234,11 @@ class Speller:
 def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text"), most: int = DICTIONARY) -> DataFrame:
     """The columns in keep and ids, the piece ids of every row's whole text."""
     m = read_model(model, kind)
-    body = unused("_text", keep)
+    body = text_col if text_col in keep else unused("_text", keep)  # a text travels once
+    own = [*keep] if text_col in keep else [*keep, F.col(text_col).alias(body)]
     row, rare = unused("_row", (*keep, body)), unused("_rare", (*keep, body))
     # Written, so that a row keeps its number if executors are lost.
-    source = durable(df.select(*keep, F.col(text_col).alias(body), F.monotonically_increasing_id().alias(row)), "texts")
+    source = durable(df.select(*own, F.monotonically_increasing_id().alias(row)), "texts")
     spelled = spellings(source, m, body, most)
     often = spelled.where("frequent").select("word", "ids")
     shared = df.sparkSession.sparkContext.broadcast((m, often.toArrow()))  # at most `most` rows
