@@ -39,6 +39,8 @@ from .common import blocks, discard, durable, lists, unused
 BLANK = "▁"
 #: Units whose ids are broadcast, at most, and characters of a unit in the lattice.
 DICTIONARY, LONGEST = 300_000, 60
+#: Stands for the id of a character without a piece; ids are smaller.
+NO_PIECE = (1 << 20) - 1
 #: Distinct units that one task of the lattice folds, about.
 FOLDED = 20_000
 UNIT = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
@@ -141,35 +143,46 @@ def units(text: str) -> list[str]:
 def lattice(words: DataFrame, m: Model, spark: SparkSession) -> DataFrame:
     """word, any further columns, and ids of every word (distinct, of at most LONGEST characters)."""
     more = [c for c in words.columns if c != "word"]
-    table = spark.createDataFrame([(p, i, s) for p, (i, s) in m.pieces.items()], "piece string, id int, score double")
+    if len(m.spelled) > NO_PIECE:
+        raise ValueError(f"{len(m.spelled)} pieces, {NO_PIECE} at most")
+    ranks = {s: r for r, s in enumerate(sorted({s for _, s in m.pieces.values()}, reverse=True))}
+    table = spark.createDataFrame([(p, i, s, ranks[s]) for p, (i, s) in m.pieces.items()], "piece string, id int, score double, rank long")
     # Substrings of bounded length as edges; a lone character is an edge with or without a piece.
-    at = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.length("word") - 1), lambda s: F.transform(F.sequence(F.lit(1), F.least(F.lit(m.longest), F.length("word") - s)), lambda n: F.struct(s.alias("s"), n.alias("n"))))))
-    subs = words.select("word", *more, at.alias("at")).select("word", *more, "at.s", (F.col("at.s") + F.col("at.n")).alias("e"), F.expr("substring(word, at.s + 1, at.n)").alias("piece"))
+    starts = words.select("word", *more, F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
+    spans = starts.select("*", F.explode(F.expr(f"sequence(s + 1, least(s + {m.longest}, length(word)))")).alias("e"))
     # The piece table is bounded by the model: tens of thousands of short strings.
-    edges = subs.join(F.broadcast(table), "piece", "left").where("id is not null or e = s + 1")
-    inner = F.expr("shiftleft(1L, e) - shiftleft(1L, s + 1)")
-    edges = edges.withColumn("inner", inner).withColumn("ends", F.expr("shiftleft(1L, e) | shiftleft(1L, s)"))
-    merging = F.when(F.expr("id is not null and e - s > 1"), F.struct("s", "inner", "ends", "score"))
-    grouped = edges.groupBy("word", *more).agg(F.sort_array(F.collect_list(F.struct("s", "e", "inner", "ends", "id", "score", "piece"))).alias("edges"), F.collect_list(merging).alias("pairs"))
-    size = F.length("word")
+    edges = spans.withColumn("piece", F.expr("substring(word, s + 1, e - s)")).join(F.broadcast(table), "piece", "left")
+    edges = edges.where("id is not null or e = s + 1").withColumn("id", F.coalesce("id", F.lit(NO_PIECE)))
+    size, one = F.length("word"), F.lit(1).cast("long")
+    bit = lambda i: F.call_function("shiftleft", one, i)
+    # Bit i of a mask is a cut before character i: an edge has two at its ends, others inside.
+    span = lambda s, e: (s.alias("s"), e.alias("e"), (bit(e) - bit(s + 1)).alias("inner"), bit(e).bitwiseOR(bit(s)).alias("ends"))
     if m.kind == "bpe":
-        # Bit i of the state: a cut before character i. A merge clears the one cut inside its edge.
+        # An edge is one long while edges are grouped: rank by score (43 bits), start and end (6 each), id.
+        code = F.expr("shiftleft(coalesce(rank, 0L), 32) | shiftleft(bigint(s), 26) | shiftleft(e, 20) | id")
+        grouped = edges.groupBy("word", *more).agg(F.collect_list(code).alias("codes"))
+        place = lambda x, at, most: F.shiftright(x, at).bitwiseAND(F.lit(most)).cast("int")
+        opened = F.transform("codes", lambda x: F.struct(x.alias("code"), *span(place(x, 26, 63), place(x, 20, 63)), x.bitwiseAND(F.lit(NO_PIECE)).cast("int").alias("id")))
+        grouped = grouped.withColumn("edges", opened).withColumn("pairs", F.filter("edges", lambda e: e.e - e.s > 1))
+        # The state is a mask, of all cuts at first. The pairs that can merge have both ends and one
+        # cut inside; the least code has the best score, leftmost, and clears it. Each merges once.
         cut = F.aggregate(
-            F.sequence(F.lit(1), size), F.expr("shiftleft(1L, length(word) + 1) - 1"),
-            lambda mask, _: F.coalesce(mask.bitwiseAND(F.bitwise_not(F.array_max(F.transform(F.filter("pairs", lambda e: (mask.bitwiseAND(e.ends) == e.ends) & (F.bit_count(mask.bitwiseAND(e.inner)) == 1)), lambda e: F.struct(e.score, -e.s, e.inner.bitwiseAND(mask).alias("gone"))))["gone"])), mask),
+            F.sequence(F.lit(0), F.least(F.size("pairs"), size)), F.expr("shiftleft(1L, length(word) + 1) - 1"),
+            lambda mask, _: F.coalesce(mask.bitwiseAND(F.bitwise_not(F.array_min(F.filter("pairs", lambda e: (mask.bitwiseAND(e.ends) == e.ends) & (F.bit_count(mask.bitwiseAND(e.inner)) == 1)))["inner"])), mask),
         )
-        path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
     else:
+        grouped = edges.groupBy("word", *more).agg(F.sort_array(F.collect_list(F.struct(*span(F.col("s"), F.col("e")), "id", "score"))).alias("edges"))
         # State: best sum and path for every end so far; edges come ordered by start, so the state
         # of a start is final when its edges are met. Ties keep the earlier start.
         start = F.transform(F.sequence(F.lit(0), size), lambda i: F.struct(F.when(i == 0, 0.0).otherwise(-1e300).alias("sum"), F.lit(-1).alias("back")))
         state = F.aggregate("edges", start, lambda st, e: F.transform(st, lambda x, i: F.when((i == e.e) & (F.get(st, e.s)["sum"] + F.coalesce(e.score, F.lit(UNKNOWN)) > x["sum"]), F.struct((F.get(st, e.s)["sum"] + F.coalesce(e.score, F.lit(UNKNOWN))).alias("sum"), e.s.alias("back"))).otherwise(x)))
         grouped = grouped.withColumn("state", state)
         none = F.struct(size.alias("at"), F.expr("shiftleft(1L, length(word))").alias("mask"))
-        cut = F.aggregate(F.sequence(F.lit(1), size), none, lambda a, _: F.when(a["at"] > 0, F.struct(F.get("state", a["at"])["back"].alias("at"), a["mask"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.get("state", a["at"])["back"])).alias("mask"))).otherwise(a))["mask"]
-        path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
-    spell = lambda e: F.transform(F.sequence(F.lit(1), F.octet_length(e.piece)), lambda i: F.conv(F.substring(F.hex(F.encode(e.piece, "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + m.bytes_at)
-    ids = F.flatten(F.transform("path", lambda e: F.when(e.id.isNull(), spell(e)).otherwise(F.array(e.id))))
+        cut = F.aggregate(F.sequence(F.lit(1), size), none, lambda a, _: F.when(a["at"] > 0, F.struct(F.get("state", a["at"])["back"].alias("at"), a["mask"].bitwiseOR(bit(F.get("state", a["at"])["back"])).alias("mask"))).otherwise(a))["mask"]
+    path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
+    path = F.sort_array(F.transform(path, lambda e: F.struct(e.s, e.id)))
+    spell = lambda c: F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda i: F.conv(F.substring(F.hex(F.encode(c, "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + m.bytes_at)
+    ids = F.flatten(F.transform("path", lambda e: F.when(e.id == NO_PIECE, spell(F.substring("word", e.s + 1, F.lit(1)))).otherwise(F.array(e.id))))
     return grouped.withColumn("cut", cut).withColumn("path", path).select("word", *more, ids.alias("ids"))
 
 

@@ -471,7 +471,7 @@ def test_long_unit(spark):
 def test_lattice_is_the_fold(spark):
     file = queries.tokenizer_file("piece_bpe_32k.model")
     m = pieces.read_model(file)
-    words = ["▁the", "▁unbelievable", "▁漢字", "▁aaaaaaa", "▁éêè", "x", "▁▁▁", "▁thethe", "\n"]
+    words = ["▁the", "▁unbelievable", "▁漢字", "▁aaaaaaa", "▁éêè", "x", "▁▁▁", "▁thethe", "\n", "▁" + "5f367f08b1a810c7" * 3, "unbelievable" * 5]
     got = {r.word: r.ids for r in pieces.lattice(spark.createDataFrame([(w,) for w in words], "word string"), m, spark).collect()}
     assert got == {w: pieces.fold(w, m) for w in words}
     small = pieces.Model({"a": (10, -2.0), "b": (11, -2.5), "ab": (12, -3.0), "aba": (13, -4.9), "ba": (14, -4.0)}, "unigram", [], 300, 3)
