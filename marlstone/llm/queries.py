@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, lm, packing, pieces, quality, toxicity, vectors
+from . import chat, jaccard, language, lm, packing, pieces, quality, toxicity, vectors, warc
 from .common import held
 
 
@@ -76,6 +76,12 @@ def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op13_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as it came back from the archives."""
+    got = warc.read(warc.write(table(spark, sf_dir, "pages")), payload=False)
+    return got.select(F.col("id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
@@ -94,4 +100,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_rotation": chat.ORACLE, "op9_threshold_topk": _OP9}
+    return {"op1_chat_rotation": chat.ORACLE, "op9_threshold_topk": _OP9, "op13_warc_index": warc.ORACLE}
