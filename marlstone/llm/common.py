@@ -170,13 +170,13 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Words:
-    """Words [^\\x20\\x09-\\x0D]+ of the rows: row index, byte start and end of each, and a 64-bit
+    """Words of the rows, what lies between bytes of gap ([^\\x20\\x09-\\x0D]+ unless given): row index, byte start and end of each, and a 64-bit
     hash of the word with A-Z lower-cased: the sum of a random number for each (place, byte), so no
     pattern of letters makes words collide. first[i] : first[i + 1] are the words of row i."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, gaps: np.ndarray = _SPACE):
         n = len(data)
-        gap = _SPACE[data]
+        gap = gaps[data]
         before = np.empty(n, bool)
         after = np.empty(n, bool)
         if n:

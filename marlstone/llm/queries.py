@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, lm, packing, pieces, quality, toxicity, vectors, warc
+from . import chat, jaccard, language, lm, packing, pieces, quality, resample, toxicity, vectors, warc
 from .common import held
 
 
@@ -76,6 +76,10 @@ def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record as it came back from the archives."""
     got = warc.read(warc.write(table(spark, sf_dir, "pages")), payload=False)
