@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, lm, packing, pieces, quality, resample, toxicity, vectors, warc
+from . import chat, jaccard, language, lm, negatives, packing, pieces, quality, resample, toxicity, vectors, warc
 from .common import held
 
 
@@ -76,6 +76,11 @@ def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_products(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), lambda i: i % 50 == 0)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
 
@@ -104,4 +109,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_rotation": chat.ORACLE, "op9_threshold_topk": _OP9, "op13_warc_index": warc.ORACLE}
+    return {"op1_chat_rotation": chat.ORACLE, "op9_threshold_topk": _OP9, "op11_hard_negatives": negatives.ORACLE, "op13_warc_index": warc.ORACLE}

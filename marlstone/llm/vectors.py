@@ -66,15 +66,15 @@ def matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
-def usable(df: DataFrame, id_col: str, vec_col: str, zero: bool) -> DataFrame:
-    """id and v, the vector in the precision that it came in, of the rows that take part."""
+def usable(df: DataFrame, id_col: str, vec_col: str, zero: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    """id, v, the vector in the precision that it came in, and keep of the rows that take part."""
     kind = "array<float>" if df.select(vec_col).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     ok = F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.coalesce(bad, F.lit(True))
     if not zero:
         ok = ok & F.exists(v, lambda x: x != 0)
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("v")).where(ok)
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("v"), *keep).where(ok)
 
 
 def buckets(df: DataFrame, tables: int, probes: int | None) -> DataFrame:

@@ -55,7 +55,7 @@ def test_query(spark, sf_dir):
 
 def test_odd(spark, odd_docs):
     """Also a text longer than a span."""
-    long = " ".join(f"Wörd{i % 9173}-x{i % 31}" for i in range(300_000))
+    long = " ".join(f"Wörd{i % 9173}-x{i % 31}" for i in range(400_000))
     assert len(long) > resample.SPAN
     odd_docs = odd_docs.unionByName(odd_docs.limit(1).withColumns({"doc_id": F.lit(77).cast("long"), "text": F.lit(long)}))
     docs = odd_docs.unionByName(odd_docs.withColumn("text", F.lit("A b C d e f g h i j k l m n o p q r s t u v w x y z"))).withColumns({"weight": F.lit(1), "rank": F.lit(2), "n_words": F.lit("x")})
