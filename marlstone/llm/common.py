@@ -120,18 +120,31 @@ def held(id_col, modulus: int, remainder: int):
 
 
 def labelled_sample(df: DataFrame, label: str, id_col: str, per_class: int) -> DataFrame:
-    """per_class rows of each value of label (all, where it has fewer), chosen by a hash of the id:
-    those below a bound set from the class counts, cut in hash order. One pass over ids and labels
-    for the counts, one for the rows, however many labels. Null labels and ids take no part."""
+    """per_class different rows of each value of label (all, where it has fewer), chosen by a hash of the
+    whole row: those below a bound set from the class counts, cut in hash order. Rows that repeat in
+    every column count once, before they meet. A pass for the counts and, as a rule, one for the rows; a
+    label whose rows repeat so much that too few lie below its bound gets others with a wider one. Null
+    labels and ids take no part."""
     known = df.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
-    counts = known.groupBy(label).agg(F.count("*").alias("_n")).collect()  # a row per label
+    counts = {r[label]: r["_n"] for r in known.groupBy(label).agg(F.count("*").alias("_n")).collect()}  # a row per label
     if not counts:
         return known.limit(0)
-    draw = F.xxhash64(F.col(id_col), F.lit(17)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    bounds = df.sparkSession.createDataFrame([(r[label], min(1.0, (1.5 * per_class + 20) / r["_n"])) for r in counts], StructType([df.select(label).schema[0], StructField("_bound", DoubleType())]))
-    some = known.join(F.broadcast(bounds), label).withColumn("_draw", draw).where("_draw < _bound")
-    nth = F.row_number().over(Window.partitionBy(label).orderBy("_draw", id_col))
-    return some.withColumn("_nth", nth).where(F.col("_nth") <= per_class).select(*df.columns)
+    draw = F.xxhash64(*df.columns, F.lit(17)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    kinds = StructType([df.select(label).schema[0], StructField("_bound", DoubleType())])
+    bound = {k: min(1.0, (1.5 * per_class + 20) / n) for k, n in counts.items()}
+    while True:
+        bounds = df.sparkSession.createDataFrame(list(bound.items()), kinds)
+        some = known.join(F.broadcast(bounds), label).withColumn("_draw", draw).where("_draw < _bound").select(*df.columns, "_draw").dropDuplicates()
+        some = durable(some, "sample")
+        nth = F.row_number().over(Window.partitionBy(label).orderBy("_draw", id_col))
+        few = {k for k, b in bound.items() if b < 1.0}
+        if few:
+            found = {r[label]: r["_n"] for r in some.groupBy(label).agg(F.count("*").alias("_n")).collect()}
+            few = {k for k in few if found.get(k, 0) < per_class}
+        if not few:
+            return some.withColumn("_nth", nth).where(F.col("_nth") <= per_class).select(*df.columns)
+        discard(some)
+        bound |= {k: min(1.0, 8 * bound[k]) for k in few}
 
 
 # ---- words of an Arrow string column -------------------------------------------------------

@@ -195,6 +195,14 @@ def test_labelled_sample(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 10 == 0).cast("int").alias("y"))
     got = {r.y: r["count"] for r in labelled_sample(df, "y", "doc_id", 300).groupBy("y").count().collect()}
     assert got == {0: 300, 1: 300}
+    of = lambda rows, n: sorted((r.y, r.doc_id, r.text) for r in labelled_sample(rows, "y", "doc_id", n).collect())
+    one = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), (F.col("id") % 2).cast("int").alias("y"), F.lit("a text").alias("text"))
+    assert of(one, 300) == [(0, 7, "a text"), (1, 7, "a text")]
+    texts = one.withColumn("text", F.monotonically_increasing_id().cast("string"))
+    assert [y for y, _, _ in of(texts, 300)] == [0] * 300 + [1] * 300
+    few = one.unionByName(spark.range(50).select("id", F.lit(0).alias("y"), F.lit("b").alias("text")).toDF("doc_id", "y", "text"))
+    assert len(of(few, 30)) == 31
+    assert of(one.limit(0), 5) == []
 
 
 def longest_match_phrases(sample: str, text: str) -> int:
