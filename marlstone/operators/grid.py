@@ -230,14 +230,38 @@ def match_quality(matches: DataFrame, truth: DataFrame, threshold: float) -> Dat
     return m.groupBy("axis").agg(F.count_if(below).alias("found"), F.count_if(below & F.col("match").eqNullSafe(F.col("neighbour"))).alias("correct"), F.count_if(F.col("cost") == 0).alias("exact"))
 
 
-def islands(df: DataFrame, part: str, order: str, flag: Column, keep_tail: bool = True) -> DataFrame:
+#: Rows of a part above which it is cut into segments of about so many.
+SEGMENT = 1_000_000
+
+
+def islands(df: DataFrame, part: str, order: str, flag: Column, keep_tail: bool = True, segment: int | None = None) -> DataFrame:
     """part, start, length of each run of rows where flag holds, in order. With keep_tail False a run
-    that reaches the last row is left out, a leading one is not."""
-    w = Window.partitionBy(part).orderBy(order)
-    rows = df.select(part, order, flag.alias("_on"), F.row_number().over(w).alias("_i"), F.max(order).over(Window.partitionBy(part)).alias("_last"))
+    that reaches the last row is left out, a leading one is not. order is a number or a time; a part of more
+    than `segment` rows is cut into segments of equal width in it, runs are found in each, and only those that touch a
+    segment's border meet others of their part: no window holds a whole long part."""
+    segment = segment or SEGMENT
+    at = F.unix_micros(F.col(order).cast("timestamp")) if df.schema[order].dataType.simpleString().startswith("timestamp") else F.col(order).cast("double")
+    long = df.groupBy(F.col(part).alias("_part")).agg(F.count("*").alias("_rows"), F.min(at).alias("_low"), F.max(at).alias("_high")).where(F.col("_rows") > segment)
+    long = long.withColumn("_wide", F.greatest((F.col("_high") - F.col("_low")) / F.ceil(F.col("_rows") / segment), F.lit(1e-9)))
+    rows = df.select(part, order, flag.alias("_on"), at.alias("_at"))
+    rows = rows.join(long, F.col(part).eqNullSafe(F.col("_part")), "left").withColumn("_seg", F.coalesce(F.floor((F.col("_at") - F.col("_low")) / F.col("_wide")), F.lit(0)))
+    sizes = rows.where("_rows is not null").groupBy("_part", "_seg").agg(F.count("*").alias("_size"))  # a row per segment
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy("_part").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = sizes.select("_part", F.col("_seg").alias("_s"), before.alias("_before"), F.sum("_size").over(Window.partitionBy("_part")).alias("_total"))
+
+    w = Window.partitionBy(part, "_seg").orderBy(order)
+    rows = rows.select(part, "_seg", order, "_on", F.row_number().over(w).alias("_i"), F.count("*").over(Window.partitionBy(part, "_seg")).alias("_n"))
     on = rows.where("_on").withColumn("_run", F.col("_i") - F.row_number().over(w))
-    out = on.groupBy(part, "_run").agg(F.min("_i").alias("start"), F.count("*").alias("length"), F.max(order).alias("_end"), F.max("_last").alias("_last"))
-    return (out if keep_tail else out.where(F.col("_end") < F.col("_last"))).select(part, "start", "length")
+    runs = on.groupBy(part, "_seg", "_run").agg(F.min("_i").alias("_from"), F.count("*").alias("length"), F.first("_n").alias("_n"))
+    runs = runs.join(places, F.col(part).eqNullSafe(F.col("_part")) & (F.col("_seg") == F.col("_s")), "left")
+    touches = F.col("_before").isNotNull() & ((F.col("_from") == 1) | (F.col("_from") + F.col("length") - 1 == F.col("_n")))
+    start = F.col("_from") + F.coalesce("_before", F.lit(0))
+    runs = runs.select(part, start.alias("start"), "length", F.coalesce("_total", "_n").alias("_total"), F.when(touches, -1).otherwise(start).alias("_key"))
+    by = Window.partitionBy(part, "_key").orderBy("start")  # a long part's border runs, or one run
+    new = F.when(F.col("start") == F.lag(F.col("start") + F.col("length")).over(by), 0).otherwise(1)
+    runs = runs.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    out = runs.groupBy(part, "_key", "_run").agg(F.min("start").cast("int").alias("start"), F.sum("length").alias("length"), F.max("_total").alias("_total"))
+    return (out if keep_tail else out.where(F.col("start") + F.col("length") - 1 < F.col("_total"))).select(part, "start", "length")
 
 
 def gutter(profile: DataFrame, page: str, x: str, width: str, ink: str) -> DataFrame:

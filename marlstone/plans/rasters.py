@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assembly, grid
+from ..operators import assembly, grid, profile
 from .corpus import query, table
 
 WIDE, TILE, OVERLAP, BELOW = 64, 24, 8, 24.0
@@ -52,3 +52,39 @@ def kit_joint_quality(spark, sf_dir):
     tiles = _tiles(spark, sf_dir)
     found = assembly.joints(tiles, "page_id", "tile", "rows", OVERLAP, BELOW)
     return assembly.joint_quality(found, tiles.select(F.col("page_id").alias("kit"), F.col("tile").cast("long").alias("id"), "x", "y"))
+
+
+# ---- profiles ------------------------------------------------------------------------------------
+
+DARK = 47  # blanks and marks count as ink
+_PIXELS = f"WITH {_IMAGES}, px AS (SELECT page_id, generate_subscripts(px, 1) - 1 AS k, unnest(px) AS v FROM img), m AS (SELECT page_id, CASE WHEN grouping(k // {WIDE}) = 1 THEN 'column' ELSE 'row' END AS axis, coalesce(k // {WIDE}, k % {WIDE}) AS place, count(*) AS pixels, count(*) FILTER (v < {DARK}) AS ink FROM px GROUP BY GROUPING SETS ((page_id, k // {WIDE}), (page_id, k % {WIDE})))"
+
+
+def _profile(spark, sf_dir):
+    return profile.means(profile.pixels(_rasters(spark, sf_dir), "page_id", "image", "iw"), "page_id", DARK)
+
+
+@query(_PIXELS + " SELECT page_id, axis, CAST(place AS BIGINT) AS place, pixels, ink, ink / pixels::DOUBLE AS mean FROM m")
+def ink_profile(spark, sf_dir):
+    """Ink of every row and column of every page."""
+    return _profile(spark, sf_dir)
+
+
+@query(
+    _PIXELS
+    + """, p AS (SELECT page_id, CAST(max(pixels) AS BIGINT) AS w, count(*) AS h, CAST(sum(ink) AS BIGINT) / CAST(sum(pixels) AS BIGINT)::DOUBLE AS density FROM m WHERE axis = 'row' GROUP BY 1),
+f AS (SELECT m.page_id, axis, place, CASE axis WHEN 'row' THEN ink / pixels::DOUBLE > greatest(0.002::DOUBLE, density * 0.35::DOUBLE) ELSE ink / pixels::DOUBLE < greatest(0.001::DOUBLE, density * 0.15::DOUBLE) END AS on_, max(place) OVER (PARTITION BY m.page_id, axis) AS last FROM m JOIN p USING (page_id)),
+o AS (SELECT *, place - row_number() OVER (PARTITION BY page_id, axis ORDER BY place) AS run FROM f WHERE on_),
+r AS (SELECT page_id, axis, count(*) AS n, max(place) = max(last) AS tail FROM o GROUP BY page_id, axis, run)
+SELECT p.page_id, w, h, round(density, 4) AS density, count(r.n) FILTER (axis = 'row') AS lines, coalesce(median(r.n) FILTER (axis = 'row'), 0)::DOUBLE AS line_height,
+  count(r.n) FILTER (axis = 'column' AND NOT tail AND n > w * 0.04::DOUBLE) AS gaps, 1 + count(r.n) FILTER (axis = 'column' AND NOT tail AND n > w * 0.06::DOUBLE) AS columns
+FROM p LEFT JOIN r USING (page_id) GROUP BY ALL"""
+)
+def page_traits(spark, sf_dir):
+    """Lines of text, their height, gaps and columns of every page, from its ink."""
+    return profile.traits(_profile(spark, sf_dir), "page_id")
+
+
+@query(_PIXELS + f" SELECT page_id, CAST(min_by(place, (ink, place)) AS BIGINT) AS x FROM m WHERE axis = 'column' AND place >= floor(0.4::DOUBLE * {WIDE}) AND place < floor(0.6::DOUBLE * {WIDE}) GROUP BY 1")
+def page_gutters(spark, sf_dir):
+    return profile.gutters(_profile(spark, sf_dir), "page_id")
