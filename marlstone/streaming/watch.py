@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import gate
+from ..sources.tail import Tail
 
 
 def gated(events: DataFrame, event_col: str = "event") -> DataFrame:
@@ -66,6 +66,7 @@ def upsert_latest(path: str, key: str, ts: str):
     return write
 
 
-def tail(spark: Any, folder: str) -> DataFrame:
-    """Lines of log files as they come; the checkpoint remembers what was read."""
-    return spark.readStream.format("text").option("wholetext", False).load(folder)
+def tail(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
+    """file, offset, line of log files as they come, whole lines only; the checkpoint remembers bytes."""
+    spark.dataSource.register(Tail)
+    return spark.readStream.format("marlstone_tail").option("suffix", suffix).load(folder)
