@@ -70,6 +70,35 @@ def fetch_once(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
     return rows.join(asked.join(source, key), key, "left")
 
 
+def fetched(rows: DataFrame, key: str, fetch, schema: str, size: int = 50) -> DataFrame:
+    """rows with what fetch gives for their key, null where it gives nothing. fetch is a function of up to `size`
+    keys that returns a tuple by key in the columns of schema; it may ask a remote source, so the distinct keys are written before
+    it is called and its answers after, and each key is asked for once, but where a task runs again."""
+    from .. import shared
+
+    keys = shared.kept(rows.select(key).where(F.col(key).isNotNull()).distinct(), "asked")
+    kind = rows.schema[key].dataType.simpleString()
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        shape = to_arrow_schema(out_type)
+        for b in batches:
+            every = b.column(0).to_pylist()
+            for i in range(0, len(every), size):
+                got = sorted(fetch(every[i : i + size]).items())
+                cols = list(zip(*((k, *v) for k, v in got), strict=True)) or [()] * (1 + len(names))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, shape, strict=True)], names=[key, *names])
+
+    from pyspark.sql.types import StructType
+
+    out_type = StructType.fromDDL(f"{key} {kind}, {schema}")
+    answers = shared.kept(keys.mapInArrow(run, out_type), "answers")
+    return rows.join(answers, key, "left")
+
+
 def to_run(steps_: DataFrame, state: DataFrame, always: Sequence[str] = ("probe",), redo: Sequence[str] = ()) -> DataFrame:
     """step and run: whether it has to run: not done yet (code 0 in the state), one that always runs,
     or one to redo."""
@@ -108,6 +137,35 @@ def at_least(rows: DataFrame, value: str, bounds: DataFrame) -> DataFrame:
     return rows.withColumn("name", F.coalesce(*(F.when(F.col(value) >= b, F.lit(n)) for b, n in some), F.lit(None).cast("string")))
 
 
+def as_of(rows: DataFrame, value: str, bounds: DataFrame, per: int = 4096, most: int = 1_000_000) -> DataFrame:
+    """at_least() for any number of bounds: values and bounds are dealt into buckets of equal width with some
+    `per` bounds each, and inside one the last bound passed is carried on in order; what no bound of its own bucket
+    reaches takes the last of those before. A bucket with more than `most` rows is dealt into several, each with
+    all of the bucket's bounds. Equal bounds give the larger name."""
+    from pyspark.sql.window import Window
+
+    v = lambda c: F.col(c).cast("double")
+    bounds = bounds.where("bound is not null").groupBy(v("bound").alias("_v")).agg(F.max(F.struct("name")).alias("_name"))
+    low, high, n = bounds.agg(F.min("_v"), F.max("_v"), F.count("*")).first()
+    if not n:
+        return rows.withColumn("name", F.lit(None).cast("string"))
+    last = -(-n // per) - 1
+    wide = (high - low) / (last + 1) or 1.0
+    bucket = lambda c: F.when(c >= high, last).otherwise(F.greatest(F.lit(0), F.least(F.lit(last), F.floor((c - low) / wide))))
+    bounds = bounds.withColumn("_bucket", bucket(F.col("_v")).cast("long"))
+    ends = rows.sparkSession.range(last + 1).withColumnRenamed("id", "_bucket").join(bounds.groupBy("_bucket").agg(F.max(F.struct("_v", "_name")).alias("_end")), "_bucket", "left")
+    carried = ends.select("_bucket", F.last("_end", ignorenulls=True).over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))["_name"].alias("_carry"))  # a row per `per` bounds
+    row = F.struct(*rows.columns)
+    inside = rows.where(v(value) >= low).select(row.alias("_row"), v(value).alias("_v")).withColumn("_bucket", bucket(F.col("_v")).cast("long"))
+    deals = inside.groupBy("_bucket").agg(F.ceil(F.count("*") / most).cast("int").alias("_deals"))  # a row per bucket
+    asks = inside.join(deals, "_bucket").select("_row", "_v", "_bucket", F.pmod(F.xxhash64("_v", F.monotonically_increasing_id()), F.col("_deals")).cast("int").alias("_deal"), F.lit(None).cast(bounds.schema["_name"].dataType).alias("_name"))
+    given = bounds.join(deals, "_bucket").select(F.lit(None).cast(asks.schema["_row"].dataType).alias("_row"), "_v", "_bucket", F.explode(F.sequence(F.lit(0), F.col("_deals") - 1)).alias("_deal"), "_name")
+    w = Window.partitionBy("_bucket", "_deal").orderBy("_v", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = asks.unionByName(given).withColumn("_found", F.last("_name", ignorenulls=True).over(w)).where("_row is not null")
+    out = found.join(carried, "_bucket").select("_row.*", F.coalesce(F.col("_found"), F.col("_carry"))["name"].alias("name"))
+    return out.unionByName(rows.where(~F.coalesce(v(value) >= low, F.lit(False))).withColumn("name", F.lit(None).cast("string")))
+
+
 def lookup(docs: DataFrame, wanted: str, id_col: str, order: str) -> DataFrame:
     """The document with this id, else the first in order whose id holds it in any case; rows with an
     error never."""

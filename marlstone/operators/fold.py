@@ -144,6 +144,12 @@ def prefix_run(a: Column, b: Column) -> Column:
     return F.when(at > 0, at - 1).otherwise(F.size(same).cast("long"))
 
 
+def probes(df: DataFrame, tokens: str, prompt: int = 48, follow: int = 48, least: int = 400) -> DataFrame:
+    """Answers for the leak probe: of the assistant, over `least` characters, and with tokens (an array, by
+    whatever tokenizer) for the prompt and what follows it."""
+    return answers(df, least).where(F.size(tokens) >= prompt + follow)
+
+
 def leak(df: DataFrame, target: str, generated: str, window: int = 48) -> DataFrame:
     """n, exact share and mean verbatim run of continuations, and whether they may be published: a
     share of 1 % or less and a mean run of 8 or less, over one continuation at least."""

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import rules
 
 
+#: Why a file isn't scanned, see skip_reason().
+SKIPPED = ("missing", "not text", "too large")
+
+
 def forbidden_path(path, table: Sequence[tuple[str, str]] = rules.PATHS) -> Column:
     """Name of the first path rule that matches, or null."""
     return F.coalesce(*(F.when(F.rlike(path, F.lit(p)), F.lit(name)) for name, p in table))
@@ -63,6 +67,17 @@ def scan_coverage(rows: DataFrame, reason: str = "skip_reason") -> DataFrame:
     return by.join(F.broadcast(total)).select("status", "n", (100.0 * F.col("n") / F.greatest(F.lit(1), F.col("_total"))).alias("percent"))
 
 
+def written(rows: DataFrame, path: str, reason: str = "skip_reason") -> DataFrame:
+    """scan_coverage() of the rows, counted in the pass that writes those that were scanned, as Parquet."""
+    obs = Observation()
+    of = lambda s: F.count_if(F.col(reason) == s)
+    counts = [F.count_if(F.col(reason).isNull()).alias("scanned"), *(of(s).alias(s) for s in SKIPPED), F.count("*").alias("total")]
+    rows.observe(obs, *counts).where(F.col(reason).isNull()).drop(reason).write.mode("overwrite").parquet(path)
+    got = obs.get
+    found = [(s, got[s], 100.0 * got[s] / got["total"]) for s in ("scanned", *SKIPPED) if got[s]]
+    return rows.sparkSession.createDataFrame(found, "status string, n long, percent double")
+
+
 def staged(listing: Column) -> Column:
     """Paths of a NUL-separated listing."""
     return F.filter(F.split(listing, "\\x00"), lambda p: p != "")
