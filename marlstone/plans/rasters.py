@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assembly, grid, profile
+from ..operators import assembly, encode, grid, profile
 from .corpus import query, table
 
 WIDE, TILE, OVERLAP, BELOW = 64, 24, 8, 24.0
@@ -88,3 +88,14 @@ def page_traits(spark, sf_dir):
 @query(_PIXELS + f" SELECT page_id, CAST(min_by(place, (ink, place)) AS BIGINT) AS x FROM m WHERE axis = 'column' AND place >= floor(0.4::DOUBLE * {WIDE}) AND place < floor(0.6::DOUBLE * {WIDE}) GROUP BY 1")
 def page_gutters(spark, sf_dir):
     return profile.gutters(_profile(spark, sf_dir), "page_id")
+
+
+# ---- encodings -----------------------------------------------------------------------------------
+
+
+@query()
+def smallest_page_png(spark, sf_dir):
+    """Of every page's raster, reduced to an overview, the smallest of its encodings."""
+    rows = _rasters(spark, sf_dir).withColumn("image", F.substring("image", 1, (F.col("ih") * WIDE).cast("int")))
+    best = encode.smallest(encode.encodings(rows, "page_id", "image", "iw", most=128), "page_id")
+    return best.select("page_id", "mode", "w", "h", "bytes", F.crc32("png").alias("png_crc32"))
