@@ -114,10 +114,10 @@ def labels(ids: Column, trained: Column) -> Column:
 
 def page_groups(df: DataFrame, doc: str = "doc_id") -> DataFrame:
     """doc, page, group: pages in order, each to the first group whose first page has the same
-    number of columns, ink within 0.05 and a line height within 40 %. Pages are sorted within their
-    partition and folded as they pass; only the first pages of a document's groups are kept."""
+    number of columns, ink within 0.05 and a line height within 40 %. Pages of one number stand in the order of
+    ink, line height and columns. Pages are sorted within their partition and folded as they pass; only the first pages of a document's groups are kept."""
     source = df.select(doc, "page", F.col("ink").cast("double"), F.col("line_h").cast("double"), F.col("cols"))
-    ready = source.repartition(doc).sortWithinPartitions(doc, "page")
+    ready = source.repartition(doc).sortWithinPartitions(doc, "page", "ink", "line_h", "cols")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: object = object()

@@ -426,18 +426,34 @@ def gutter_column(spark, sf_dir):
 # ---- ordered folds -----------------------------------------------------------------------------
 
 
-@query()
+#: Lines with their ends, and characters before each; a chunk is carried on from the one before.
+_LINE_ENDS = r"\n\r\v\f\x1c-\x1e\x85\x{2028}\x{2029}"
+_CHUNKS = rf"""WITH RECURSIVE l AS (SELECT doc_id, regexp_extract_all(text, '[^{_LINE_ENDS}]*(?:\r\n|[{_LINE_ENDS}])|[^{_LINE_ENDS}]+') AS x FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '[^\s\x0B\x1c-\x1f\x85\xa0]')),
+t AS (SELECT doc_id, x, len(x) AS n, list_transform(range(len(x) + 1), lambda i: coalesce(list_sum(list_transform(x[1:i], lambda y: length(y))), 0)) AS total FROM l),
+c AS (SELECT doc_id, 0 AS chunk, 0 AS a, greatest(0, len(list_filter(total, lambda v: v < 4000)) - 1) AS e, n FROM t
+  UNION ALL SELECT doc_id, chunk + 1, b, greatest(e + 1, len(list_filter(total, lambda v: v < total[b + 1] + 4000)) - 1), n
+  FROM (SELECT c.doc_id, c.chunk, c.e, c.n, t.total, greatest(c.a, len(list_filter(t.total, lambda v: v <= t.total[c.e + 2] - 400)) - 1) AS b FROM c JOIN t USING (doc_id) WHERE c.e < c.n)),
+k AS (SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(a AS INTEGER) AS line_from, CAST(least(e, c.n - 1) AS INTEGER) AS line_to, array_to_string(x[a + 1:least(e, c.n - 1) + 1], '') AS text FROM c JOIN t USING (doc_id)) """
+
+
+@query(_CHUNKS + "SELECT * FROM k")
 def text_chunks(spark, sf_dir):
     return fold.chunks(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(_CHUNKS + "SELECT doc_id, count(*) AS chunks, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(max(length(text)) AS INTEGER) AS longest FROM k GROUP BY 1")
 def doc_rollup(spark, sf_dir):
     """Chunks, characters and the largest chunk of every document that has text."""
     return text_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"), F.max(F.length("text")).alias("longest"))
 
 
-@query()
+@query(r"""WITH RECURSIVE x AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, len(list_filter(string_split_regex(coalesce(text, ''), '[\s\x0B\x1c-\x1f\x85\xa0]+'), lambda w: w <> '')) + 2 AS n FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT conv_id, coalesce(min_by(n, (turn, text)) FILTER (role = 'system'), 0) AS head FROM x GROUP BY 1),
+s AS (SELECT conv_id, turn, role, head, least(n, 512 - head) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS k FROM x JOIN h USING (conv_id) WHERE role <> 'system' AND head < 512),
+w AS (SELECT conv_id, k, 0 AS win, head + size AS tokens FROM s WHERE k = 1
+  UNION ALL SELECT s.conv_id, s.k, w.win + CASE WHEN w.tokens + s.size > 512 THEN 1 ELSE 0 END, CASE WHEN w.tokens + s.size > 512 THEN s.head ELSE w.tokens END + s.size FROM w JOIN s ON s.conv_id = w.conv_id AND s.k = w.k + 1),
+g AS (SELECT conv_id, win, min_by(turn, s.k) AS first_turn, max_by(turn, s.k) AS last_turn, CAST(any_value(head) + sum(size) AS BIGINT) AS tokens, CAST(coalesce(sum(size) FILTER (role = 'assistant'), 0) AS BIGINT) AS trained FROM w JOIN s USING (conv_id, k) GROUP BY 1, 2)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY win) - 1 AS win, first_turn, last_turn, tokens, trained FROM g WHERE trained > 0""")
 def turn_windows(spark, sf_dir):
     return fold.turn_windows(table(spark, sf_dir, "conversations"), max_len=512)
 
@@ -478,7 +494,13 @@ def leak_benchmark_runs(spark, sf_dir):
     return d.join(i, "k").select("doc_id", "item_id", fold.prefix_run(F.col("a"), F.col("b")).alias("run"))
 
 
-@query()
+_RUN = "coalesce(list_position(list_transform(range(1, greatest(len(a), len(b)) + 1), lambda j: coalesce(a[j] = b[j], false)), false) - 1, greatest(len(a), len(b)))"
+
+
+@query(rf"""WITH d AS (SELECT list_filter(string_split_regex(text, '[\s\x0B]+'), lambda w: w <> '') AS w FROM documents WHERE text IS NOT NULL), i AS (SELECT list_filter(string_split_regex(text, '[\s\x0B]+'), lambda w: w <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+p AS (SELECT least(48, len(i.w) - 48) AS full_, d.w[49:96] AS a, i.w[49:96] AS b FROM d JOIN i ON d.w[1:48] = i.w[1:48] AND len(i.w) > 48), r AS (SELECT full_, {_RUN} AS run FROM p),
+s AS (SELECT count(*) AS n, count(*) FILTER (run >= full_ AND full_ > 0) AS exact, CAST(coalesce(sum(run), 0) AS BIGINT) AS runs FROM r)
+SELECT n, exact, exact / greatest(1, n)::DOUBLE AS share, runs / greatest(1, n)::DOUBLE AS mean_run, n > 0 AND exact / greatest(1, n)::DOUBLE <= 0.01 AND runs / greatest(1, n)::DOUBLE <= 8 AS ok FROM s""")
 def leak_metric(spark, sf_dir, prompt: int = 48):
     """Benchmark items that go on after a prompt, against the documents that open with the same
     prompt: the words after it, in the reference's window."""
@@ -491,7 +513,11 @@ def leak_metric(spark, sf_dir, prompt: int = 48):
     return fold.leak(rest("documents", "a").join(i, "prompt"), "b", "a")
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT l_orderkey AS doc_id, l_linenumber AS page, l_discount::DOUBLE AS ink, l_quantity::DOUBLE AS h, l_linenumber % 2 AS cols, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_discount, l_quantity) AS k FROM lineitem),
+g AS (SELECT doc_id, page, k, 0 AS grp, [{'i': ink, 'h': h, 'c': cols}] AS leads FROM p WHERE k = 1
+  UNION ALL SELECT doc_id, page, k, coalesce(hit, len(leads) + 1) - 1, CASE WHEN hit IS NULL THEN list_append(leads, {'i': ink, 'h': h, 'c': cols}) ELSE leads END
+  FROM (SELECT p.*, g.leads, list_position(list_transform(g.leads, lambda l: l.c = p.cols AND abs(l.i - p.ink) <= 0.05::DOUBLE AND abs(l.h - p.h) <= 0.4::DOUBLE * greatest(l.h, p.h, 1)), true) AS hit FROM g JOIN p ON p.doc_id = g.doc_id AND p.k = g.k + 1))
+SELECT doc_id, page, CAST(grp AS INTEGER) AS "group" FROM g""")
 def page_groups(spark, sf_dir):
     o = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"), F.col("l_discount").alias("ink"), F.col("l_quantity").alias("line_h"), (F.col("l_linenumber") % 2).alias("cols"))
     return fold.page_groups(o)
