@@ -7,6 +7,12 @@ of at least NUM / DEN, sets whose smaller has n members differ in at most (DEN -
 them, so a linked pair agrees on whole groups. Rows that agree on a whole group meet in a block
 (or, where that is less to send, with all rows that hang together by such agreements);
 pairs whose sizes lie beyond the bound never meet, because groups are drawn up per size class.
+Groups are drawn up over the rarer n-grams alone, in which linked sets differ no more: else all
+documents with one passage would agree on the groups that hold nothing but its n-grams. A set too
+few of whose n-grams are rare files groups of all its n-grams besides; of two linked sets either one
+has enough rare ones, and then they agree on a group of those, or neither has, and then they agree
+on a group of all. Which n-grams count as frequent, by a sample of sets, changes who meets, not
+what is found.
 In a block the overlap counts of all its pairs are accumulated column block by column block as
 products of incidence matrices, and pairs below ceil(NUM * (|x| + |y|) / (NUM + DEN)) are dropped.
 A block gives a spanning forest of its links, not all of them; contraction of the forests over
@@ -48,6 +54,10 @@ BLOCK, MEMBERS = 1024, 2 << 20
 PIVOTS, PIVOT_SHARE = 96, 0.1
 #: Bytes of a block after which its memory is given back.
 RELEASE = 4 << 20
+#: n-grams of the sets that tell frequent ones, occurrences among them that make one frequent, and how
+#: many are called so at most (8 bytes each in every task). RARE: the part of a set's n-grams which,
+#: if rare, are enough for groups of their own.
+SAMPLE, FREQUENT, LIST, RARE = 4_000_000, 8, 1 << 20, 0.7
 #: Rows of exact copies are joined to what was found of their set in this many shares.
 SALTS = 1024
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -88,33 +98,56 @@ def size_classes(largest: int, num: int, den: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def column_groups(end: int, num: int, den: int) -> tuple[int, int]:
+def column_groups(end: int, num: int, den: int, part: float = 1.0) -> tuple[int, int]:
     """Number of column groups of the size class that ends with end, and how many of them a set may
     leave empty and still agree on a filled one with every set it links to: about as many as sets of
-    the class leave empty by chance."""
+    the class leave empty by chance with this part of their n-grams."""
     least = (den - num) * end // num + 1
-    empty = least * float(np.exp(-end * num / den / least))
+    empty = least * float(np.exp(-part * end * num / den / least))
     spare = SPARE + int(np.ceil(empty + 2 * np.sqrt(empty)))
     return least + spare, spare
 
 
-def group_keys(gram: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Block keys of one set: for its own size class and the one below, a key per column group."""
+def group_keys(gram: np.ndarray, rare: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Block keys of one set: for its own size class and the one below, a key per filled column group of
+    its rare n-grams, and where these leave too many empty, a key per column group of all its n-grams."""
     n = len(gram)
     ends = size_classes(n, num, den)
     own = int(np.searchsorted(ends, n))
-    out = []
-    for level in {own, max(0, own - 1)}:
-        groups, spare = column_groups(int(ends[level]), num, den)
-        of = ((gram >> np.uint64(17)) % np.uint64(groups)).astype(np.int64)
+
+    def cells(of_set: np.ndarray, level: int, part: float, salt: int) -> tuple[np.ndarray, np.ndarray, bool]:
+        groups, spare = column_groups(int(ends[level]), num, den, part)
+        of = ((of_set >> np.uint64(17)) % np.uint64(groups)).astype(np.int64)
         cell = np.zeros(groups, np.uint64)
-        np.add.at(cell, of, mix(gram + _B))
+        np.add.at(cell, of, mix(of_set + _B))
         filled = np.bincount(of, minlength=groups) > 0
-        key = mix(cell + mix(np.arange(groups, dtype=np.uint64) * _A + np.uint64(level)))
-        out.append(key if groups - filled.sum() > spare else key[filled])
+        return mix(cell + mix(np.arange(groups, dtype=np.uint64) * _A + np.uint64(2 * level + salt))), filled, groups - filled.sum() <= spare
+
+    out = []
+    for level in {own, max(0, own - 1)}:
+        key, filled, enough = cells(gram[rare], level, RARE, 0)
+        out.append(key[filled])
+        if not enough:
+            key, filled, enough = cells(gram, level, 1.0, 1)
+            out.append(key[filled] if enough else key)
     return np.concatenate(out)
 
 
+def frequent(docs: DataFrame, sets: DataFrame, members: int, width: int) -> np.ndarray:
+    """The n-grams found FREQUENT times in a sample of sets with about SAMPLE members, the LIST most
+    frequent at most; sorted."""
+    some = sets.where(F.pmod(F.xxhash64("a", F.lit(5)), F.lit(max(1, -(-members // SAMPLE)))) == 0).select(F.col("rep").alias("doc_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offs in blocks(batch.column("text"), 1 << 20):
+                yield pa.RecordBatch.from_arrays([pa.array(gram_sets(data, offs, width)[0].view(np.int64))], names=["gram"])
+
+    found = docs.join(some, "doc_id", "left_semi").mapInArrow(tidy(run), "gram long")
+    many = found.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "gram").limit(LIST).select("gram").toArrow()
+    return np.sort(many.column("gram").to_numpy().view(np.uint64))
+
+
 def signatures(gram: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit sums that stand for the set of each row."""
     sums = lambda v: np.diff(np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)])[bound])
@@ -142,9 +175,10 @@ def describe(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     return _source(df, id_col, text_col).mapInArrow(tidy(run), "doc_id long, n long, a long, b long")
 
 
-def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, common: np.ndarray) -> DataFrame:
     """a, n and the block keys of every set that can link to a different one; a task files a set
-    once."""
+    once. common: frequent n-grams, sorted."""
+    common = np.append(common, ~np.uint64(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -152,13 +186,14 @@ def filings(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den
             for _, _, data, offs in blocks(batch.column("text"), 1 << 20):
                 gram, bound = gram_sets(data, offs, width)
                 n = np.diff(bound)
+                rare = common[np.searchsorted(common, gram)] != gram
                 a, _ = signatures(gram, bound)
                 some, keys = [], []
                 for i in np.flatnonzero((den - num) * n >= num):
                     if (mark := int(a[i])) not in met:
                         met.add(mark)
                         some.append(i)
-                        keys.append(group_keys(gram[bound[i] : bound[i + 1]], num, den))
+                        keys.append(group_keys(gram[bound[i] : bound[i + 1]], rare[bound[i] : bound[i + 1]], num, den))
                 if some:
                     flat = np.concatenate(keys)
                     yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(n[some]), lists(flat.view(np.int64), np.cumsum([0, *map(len, keys)]))], names=["a", "n", "keys"])
@@ -359,7 +394,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     sets = reps.where("rep is not null")
     same, members = sets.select("a", "rep"), int(sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     docs = _named(df, id_col, text_col)
-    meet = meetings(filings(df, id_col, text_col, width, num, den))
+    meet = meetings(filings(df, id_col, text_col, width, num, den, frequent(docs, sets, members, width)))
     # An id with several texts ties their sets together.
     several = told.where("n > 0").groupBy("doc_id").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("doc_id is not null and x <> y").select("doc_id")
     tied = told.where("n > 0").join(several, "doc_id", "left_semi").select("doc_id", "a").distinct().join(same, "a").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))

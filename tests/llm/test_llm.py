@@ -324,6 +324,31 @@ def test_jaccard_large_group(spark, words, monkeypatch):
     assert got == brute_classes(docs, words, 3, 80, 100)
 
 
+@pytest.mark.parametrize("num", [80, 90])
+def test_jaccard_shared_passages(spark, words, num):
+    """Passages that most documents share, beside texts of their own of any length, from nothing to much more
+    than the passage, with copies around the bound: frequent n-grams keep unrelated rows apart and link no fewer."""
+    r = np.random.default_rng(num)
+    passages = [" ".join(f"p{k}w{x}" for x in range(n)) for k, n in enumerate((30, 60, 90))]
+    docs, i = [], 0
+    for _ in range(120):
+        own = [f"o{x}" for x in r.integers(0, 100_000, int(r.integers(0, 120)))]
+        at = int(r.integers(len(own) + 1))
+        text = [*own[:at], *passages[int(r.integers(3))].split(), *own[at:]]
+        for _ in range(int(r.integers(1, 4))):
+            docs.append((i, " ".join(text)))
+            i += 1
+            for _ in range(int(r.integers(0, 3))):
+                text[int(r.integers(len(text)))] = f"n{r.integers(100_000)}"
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(jaccard.frequent(df, df.selectExpr("doc_id as a", "doc_id as rep"), 1, 3)) > 100
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.classes(df, num=num).collect()}
+    assert got == brute_classes(docs, words, 3, num, 100)
+    met = jaccard.meetings(jaccard.filings(df, "doc_id", "text", 3, num, 100, jaccard.frequent(df, df.selectExpr("doc_id as a", "doc_id as rep"), 1, 3)))
+    alone = jaccard.meetings(jaccard.filings(df, "doc_id", "text", 3, num, 100, np.zeros(0, np.uint64)))
+    assert met.agg(F.sum("size")).first()[0] < alone.agg(F.sum("size")).first()[0]
+
+
 def test_jaccard_repeated_ids(spark):
     """An id with two texts is one node; rows without an id take the class of their set."""
     a, b, c = "one two three four five six", "seven eight nine ten eleven", "q r s t u v"
