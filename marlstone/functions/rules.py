@@ -63,8 +63,8 @@ TEXT_EXTENSIONS = (".md", ".txt", ".py", ".json", ".sh", ".ps1", ".yml", ".yaml"
 MAX_SCAN = 4 << 20
 
 # Marks of executable and of routine content in PDF bytes.
-HEAVY = ("/EmbeddedFile", "/JS", "/JavaScript", "/Launch", "/RichMedia", "/XFA")
-ROUTINE = ("/AA", "/Filespec", "/Movie", "/OpenAction", "/Sound")
+HEAVY = ("/JavaScript", "/JS", "/Launch", "/EmbeddedFile", "/RichMedia", "/XFA")
+ROUTINE = ("/OpenAction", "/AA", "/Movie", "/Sound", "/Filespec")
 
 # Patterns of patent names: the number in a file name, the title after code 54 in the
 # text, a code before it, and what marks a line in capitals as an identifier.

@@ -641,4 +641,4 @@ def binary_parts(spark, sf_dir):
     return split_parts(table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.hex(F.encode("text", "UTF-8")).cast("binary").alias("content")), "content", 512).select("doc_id", "part", F.octet_length("content").cast("long").alias("bytes"))
 
 
-from . import more, rasters, reports  # noqa: E402, F401  register their queries
+from . import more, rasters, reports, scans, streams  # noqa: E402, F401  register their queries

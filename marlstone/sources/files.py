@@ -53,6 +53,34 @@ def verified_copies(spark: SparkSession, source: str, copy: str) -> DataFrame:
     return census.verify_moves(hashed(source), hashed(copy), "rel").select("rel", "status", "may_delete")
 
 
+def write_files(rows: DataFrame, root: str, path: str, content: str) -> int:
+    """A file below root for each row, with this path and these bytes or text; how many. A task that runs again
+    writes the same files; rows without a path or content write none."""
+    root = root.rstrip("/")
+
+    def run(batches):
+        import pyarrow as pa
+
+        from .stores import put
+
+        for b in batches:
+            for p, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                put(f"{root}/{p}", body.as_py())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(b)], pa.int64())})
+
+    named = rows.select(F.col(path).cast("string").alias("p"), F.col(content).cast("binary").alias("c")).where("p is not null and c is not null")
+    return named.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def chat_json(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """value: a line {"messages": [{"role", "content"}, ...]} per conversation, its turns in order. A line holds
+    its whole conversation, as its readers expect."""
+    one = F.struct(turn, F.col(role).alias("role"), F.col(text).alias("content"))
+    rows = turns.where(F.col(conv).isNotNull()).groupBy(conv).agg(F.sort_array(F.collect_list(one)).alias("m"))
+    messages = F.transform("m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return rows.select(F.to_json(F.struct(messages.alias("messages")), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def write_json(rows: DataFrame, path: str) -> None:
     """Rows as JSON lines; null fields stay, so that null isn't taken for missing."""
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from .. import shared
 from ..operators import gate
 from ..sources.tail import Tail
 
@@ -66,6 +67,20 @@ def upsert_latest(path: str, key: str, ts: str):
     return write
 
 
+def drained(stream: DataFrame, name: str) -> DataFrame:
+    """What a stream gives for all that its sources hold now, as a table in the shared folder: a batch writes
+    its own part, and the same one if it runs again."""
+    spark, out = stream.sparkSession, shared.fresh(stream.sparkSession, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    empty = spark.createDataFrame([], stream.schema)
+    empty.write.parquet(f"{out}/batch=-1")
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", shared.fresh(spark, f"{name}-state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+
+
 def tail(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
     """file, offset, line of log files as they come, whole lines only; the checkpoint remembers bytes."""
     spark.dataSource.register(Tail)
