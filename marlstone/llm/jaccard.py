@@ -60,6 +60,8 @@ RELEASE = 4 << 20
 SAMPLE, FREQUENT, LIST, RARE = 4_000_000, 8, 1 << 20, 0.7
 #: Rows of exact copies are joined to what was found of their set in this many shares.
 SALTS = 1024
+#: Hash values of documents that tell which texts may meet others, 4 bytes each.
+SLOTS = 1 << 20
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -366,7 +368,11 @@ def links(docs: DataFrame, placed: DataFrame, same: DataFrame, members: int, wid
     # At most four of them for each pass there is.
     turned = placed.join(large, "root", "left").withColumn("pass", F.pmod(F.when(F.col("large"), F.xxhash64("block")).otherwise(F.xxhash64("root")), F.lit(max(1, passes))).cast("int"))
     chosen = turned.groupBy("a", "pass").agg(F.collect_list("block").alias("blocks")).join(same, "a")
-    texts = durable(docs.withColumnRenamed("doc_id", "rep").join(chosen, "rep").select("rep", "a", "text", "blocks", "pass"), "texts", by="pass")
+    chosen = durable(chosen, "chosen")
+    # Texts that surely meet nothing stay where they are: at most SLOTS hash values say which.
+    slot = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(SLOTS)).cast("int").alias("slot")
+    near = docs.withColumnRenamed("doc_id", "rep").withColumn("slot", slot).join(F.broadcast(chosen.select(slot).distinct()), "slot", "left_semi")
+    texts = durable(near.join(chosen, "rep").select("rep", "a", "text", "blocks", "pass"), "texts", by="pass")
 
     def multiply(t: pa.Table) -> pa.Table:
         t = t.sort_by([("rep", "ascending"), ("a", "ascending")])
@@ -381,7 +387,7 @@ def links(docs: DataFrame, placed: DataFrame, same: DataFrame, members: int, wid
         return pa.table({"u": ids[link], "v": root[link]})
 
     out = [durable(sets_in_blocks(texts.where(F.col("pass") == p), width).groupBy("block").applyInArrow(multiply, "u long, v long"), "links") for p in range(passes)]
-    discard(texts)
+    discard(texts, chosen)
     return out
 
 
