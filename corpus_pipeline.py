@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import jaccard, language, packing, quality
-from marlstone.llm.common import durable, unused
+from marlstone.llm.common import durable, labelled_texts, unused
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +27,7 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     like others, empty texts get the model's score for them; without labels every score is 0.5 and
     all stay, with one label only all stay or go with it; an empty table stays empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    model = quality.train(labels.join(docs.select("doc_id", "text"), "doc_id"))
+    model = quality.train(labelled_texts(labels, docs.select("doc_id", "text"), "quality", "doc_id", quality.SAMPLE))
     scored = unused("_quality", docs.columns)
     return quality.score(docs, model, keep=tuple(docs.columns), out=scored).where(F.col(scored) >= 0.5).select(*docs.columns)
 

@@ -147,6 +147,29 @@ def labelled_sample(df: DataFrame, label: str, id_col: str, per_class: int) -> D
         bound |= {k: min(1.0, 8 * bound[k]) for k in few}
 
 
+def labelled_texts(labels: DataFrame, docs: DataFrame, label: str, id_col: str, per_class: int) -> DataFrame:
+    """Rows of docs with their label, enough for labelled_sample(per_class): only the ids that a hash picks
+    meet the texts, some 2 per_class a label, so that these needn't travel; more where too few of them have
+    a text. Null labels and ids take no part."""
+    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(id_col, label).distinct()
+    counts = {r[label]: r["_n"] for r in known.groupBy(label).agg(F.count("*").alias("_n")).collect()}  # a row per label
+    draw = F.xxhash64(id_col, F.lit(23)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    kinds = StructType([labels.select(label).schema[0], StructField("_bound", DoubleType())])
+    bound = {k: min(1.0, (2 * per_class + 50) / n) for k, n in counts.items()}
+    while True:
+        bounds = labels.sparkSession.createDataFrame(list(bound.items()), kinds)
+        some = durable(known.join(F.broadcast(bounds), label).where(draw < F.col("_bound")).select(id_col, label), "ids")
+        out = docs.join(some, id_col)
+        few = {k for k, b in bound.items() if b < 1.0}
+        if few:
+            found = {r[label]: r["_n"] for r in docs.select(id_col).join(some, id_col).distinct().groupBy(label).agg(F.count("*").alias("_n")).collect()}
+            few = {k for k in few if found.get(k, 0) < 1.5 * per_class}
+        if not few:
+            return out
+        discard(some)
+        bound |= {k: min(1.0, 8 * bound[k]) for k in few}
+
+
 # ---- words of an Arrow string column -------------------------------------------------------
 
 _LOWER = np.arange(256, dtype=np.uint8)

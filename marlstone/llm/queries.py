@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, jaccard, language, lm, negatives, packing, pieces, quality, resample, toxicity, vectors, warc
-from .common import held
+from .common import held, labelled_texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,20 +21,19 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
-def _labelled(spark: SparkSession, sf_dir: str, label: str, modulus: int, remainder: int) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", label)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return labels.join(docs, "doc_id").where(~held("doc_id", modulus, remainder))
+def _labelled(spark: SparkSession, sf_dir: str, label: str, modulus: int, remainder: int, per_class: int) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held("doc_id", modulus, remainder))
+    return labelled_texts(labels, table(spark, sf_dir, "documents").select("doc_id", "text"), label, "doc_id", per_class)
 
 
 def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.train(_labelled(spark, sf_dir, "quality", 3, 1))
+    model = quality.train(_labelled(spark, sf_dir, "quality", 3, 1, quality.SAMPLE))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held("doc_id", 3, 1).alias("held_out"))
     return quality.score(docs, model, keep=("doc_id", "held_out")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op4_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.train(_labelled(spark, sf_dir, "toxic", 4, 2))
+    model = toxicity.train(_labelled(spark, sf_dir, "toxic", 4, 2, toxicity.SAMPLE))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held("doc_id", 4, 2).alias("held_out"))
     return toxicity.score(docs, model, keep=("doc_id", "held_out")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 

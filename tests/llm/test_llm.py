@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marlstone.llm import chat, jaccard, language, lm, packing, pieces, quality, queries, toxicity, vectors
-from marlstone.llm.common import Words, labelled_sample
+from marlstone.llm.common import Words, labelled_sample, labelled_texts
 
 
 def docs_of(spark, sf_dir):
@@ -71,7 +71,16 @@ def test_toxicity_held_out(spark):
     got = toxicity.score(test, model, keep=("doc_id", "toxic")).collect()
     hit = [r.score >= 0.3 for r in got if r.toxic == 1]
     false = [r.score >= 0.3 for r in got if r.toxic == 0]
-    assert np.mean(hit) > 0.8 and np.mean(false) < 0.1
+    assert np.mean(hit) > 0.8 and np.mean(false) < 0.06
+
+
+def test_held_out_and_predicted(spark, sf_dir):
+    """Row by row, for every document."""
+    ids = {i for i, _ in docs_of(spark, sf_dir)}
+    for name, m, r, at in (("op2_quality_mil", 3, 1, 0.5), ("op4_toxicity_bigru", 4, 2, 0.3)):
+        got = queries.queries()[name](spark, sf_dir).collect()
+        assert sorted(x.doc_id for x in got) == sorted(ids)
+        assert all(x.held_out == held(x.doc_id, m, r) and x.predicted == int(x.score >= at) and 0 <= x.score <= 1 for x in got)
 
 
 def test_classifiers_on_odd_rows(spark, odd_docs):
@@ -121,7 +130,7 @@ def test_toxicity_score_of_a_text():
         assert len(w.whole) == 1
         bare = word.lower().strip(",()!.?").encode() or word.encode()[:1]
         assert len(w.slot) == max(1, sum(max(0, len(bare) - n + 1) for n in toxicity.GRAMS))
-        return m.p["E"][w.whole[0]] + np.mean([m.p["C"][s] for s in w.slot], 0)
+        return m.p["E"][w.whole[0]] + np.sum([m.p["C"][s] for s in w.slot], 0) / np.sqrt(len(w.slot))
 
     def window(xs):
         states = []
@@ -205,6 +214,23 @@ def test_labelled_sample(spark):
     assert of(one.limit(0), 5) == []
 
 
+def test_labelled_texts(spark):
+    """Few ids travel, all that are needed: labels without texts, repeated labels, repeated ids, nulls."""
+    ids = spark.range(40_000)
+    labels = ids.select(F.col("id").alias("doc_id"), (F.col("id") % 8 == 0).cast("int").alias("y")).unionByName(spark.createDataFrame([(None, 1), (5, None), (8, 1)], "doc_id long, y int"))
+    docs = ids.select((F.col("id") + 100).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    got = labelled_texts(labels, docs, "y", "doc_id", 50)
+    n = {r.y: r["count"] for r in got.groupBy("y").count().collect()}
+    assert all(75 <= n[y] <= 400 for y in (0, 1)) and got.where("cast(text as long) + 100 <> doc_id").count() == 0
+    few = labelled_texts(labels, docs.where("doc_id >= 39000"), "y", "doc_id", 50)  # nearly all labels lack a text
+    assert {r.y for r in few.groupBy("y").count().where("count >= 75").collect()} == {0, 1}
+    every = labelled_texts(labels, docs, "y", "doc_id", 10**6)
+    assert every.count() == 40_000 - 100
+    assert labelled_texts(labels.limit(0), docs, "y", "doc_id", 5).count() == 0
+    one = labelled_texts(spark.createDataFrame([(7, 1)] * 50, "doc_id long, y int"), spark.range(300).select(F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text")), "y", "doc_id", 10)
+    assert one.count() == 300 and labelled_sample(one, "y", "doc_id", 10).count() == 10
+
+
 def longest_match_phrases(sample: str, text: str) -> int:
     n = i = 0
     while i < len(text):
