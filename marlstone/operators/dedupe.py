@@ -44,3 +44,16 @@ def members(df: DataFrame, key: str, found: DataFrame) -> DataFrame:
 def totals(found: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return found.agg(F.count("*").alias("groups"), zero(F.sum(F.col("n") - 1)).alias("extra_copies"), zero(F.sum("wasted")).alias("wasted"))
+
+
+def page_signature(docs: DataFrame, rasters: DataFrame, key: str, first: int = 3) -> DataFrame:
+    """key and signature of documents (key, pages, chars: of the text layer but for blanks at its ends), from what is
+    known of these and the hashes of the rasters (key, page, image) of the first pages: documents that only
+    differ in their wrapping share it. '' where fewer than two parts are known. A page with several rasters counts
+    with the smallest hash."""
+    one = rasters.where((F.col("page") >= 1) & (F.col("page") <= first) & F.col("image").isNotNull()).groupBy(key, "page").agg(F.min(F.sha2(F.col("image").cast("binary"), 256)).alias("_h"))
+    lead = one.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("page", "_h"))).alias("_p"))  # `first` rows at most
+    shown = F.transform(F.coalesce("_p", F.array().cast(lead.schema["_p"].dataType)), lambda p: F.concat(F.lit("p"), p["page"], F.lit("="), F.substring(p["_h"], 1, 32)))
+    told = F.array_compact(F.array(F.concat(F.lit("pages="), F.col("pages").cast("string")), F.concat(F.lit("txt="), F.col("chars").cast("string"))))
+    parts = F.concat(told, shown)
+    return docs.join(lead, key, "left").select(key, F.when(F.size(parts) < 2, "").otherwise(F.sha2(F.array_join(parts, "\n"), 256)).alias("signature"))

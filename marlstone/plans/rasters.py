@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import assembly, encode, grid, profile
+from ..operators import assembly, dedupe, encode, grid, profile
 from .corpus import query, table
 
 WIDE, TILE, OVERLAP, BELOW = 64, 24, 8, 24.0
@@ -99,3 +99,20 @@ def smallest_page_png(spark, sf_dir):
     rows = _rasters(spark, sf_dir).withColumn("image", F.substring("image", 1, (F.col("ih") * WIDE).cast("int")))
     best = encode.smallest(encode.encodings(rows, "page_id", "image", "iw", most=128), "page_id")
     return best.select("page_id", "mode", "w", "h", "bytes", F.crc32("png").alias("png_crc32"))
+
+
+# ---- signatures ----------------------------------------------------------------------------------
+
+
+@query("""WITH x AS (SELECT conv_id, CAST(turn + 1 AS BIGINT) AS page, text FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT conv_id, nullif(count(*), 1) AS pages, nullif(CAST(sum(length(trim(text))) FILTER (page > 1) AS BIGINT), 0) AS chars FROM x GROUP BY 1),
+r AS (SELECT conv_id, page, min(sha256(text)) AS h FROM x WHERE page BETWEEN 1 AND 3 AND text IS NOT NULL GROUP BY 1, 2),
+p AS (SELECT conv_id, list('p' || page || '=' || left(h, 32) ORDER BY page) AS shown FROM r GROUP BY 1),
+s AS (SELECT conv_id, list_concat(list_filter(['pages=' || pages, 'txt=' || chars], lambda v: v IS NOT NULL), coalesce(shown, [])) AS parts FROM d LEFT JOIN p USING (conv_id))
+SELECT conv_id, CASE WHEN len(parts) < 2 THEN '' ELSE sha256(array_to_string(parts, chr(10))) END AS signature FROM s""")
+def page_signatures(spark, sf_dir):
+    """Signatures of dialogues taken as documents of a page a turn; a single page's number isn't known."""
+    x = table(spark, sf_dir, "conversations").where("conv_id is not null").select("conv_id", (F.col("turn") + 1).alias("page"), "text")
+    n = F.sum(F.when(F.col("page") > 1, F.length(F.trim("text"))))
+    docs = x.groupBy("conv_id").agg(F.nullif(F.count("*"), F.lit(1)).alias("pages"), F.nullif(n, F.lit(0)).alias("chars"))
+    return dedupe.page_signature(docs, x.select("conv_id", "page", F.col("text").alias("image")), "conv_id")

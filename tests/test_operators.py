@@ -1,5 +1,6 @@
 """Traced cases and edge cases of single operators."""
 
+import hashlib
 import zlib
 from datetime import datetime, timedelta
 
@@ -172,6 +173,14 @@ def test_duplicates(spark):
     assert dedupe.totals(dedupe.groups(h.limit(0), "sha", "id", "bytes")).first().wasted == 0
 
 
+def test_page_signature(spark):
+    docs = spark.createDataFrame([(1, 5, 100), (2, 5, 100), (3, 5, None), (4, None, None), (5, None, 7), (6, 5, 100)], "doc long, pages int, chars int")
+    rasters = spark.createDataFrame([(1, 1, b"a"), (1, 2, b"b"), (1, 9, b"x"), (2, 1, b"a"), (2, 2, b"b"), (2, 9, b"other"), (4, 2, b"b"), (5, 3, b"c"), (6, 1, b"a"), (6, 2, None)], "doc long, page int, image binary")
+    got = {r.doc: r.signature for r in dedupe.page_signature(docs, rasters, "doc").collect()}
+    assert got[1] == got[2] != got[6] and got[3] == got[4] == "" and len(got[5]) == 64
+    assert got[1] == hashlib.sha256("\n".join(["pages=5", "txt=100", *(f"p{i}=" + hashlib.sha256(x).hexdigest()[:32] for i, x in ((1, b"a"), (2, b"b")))]).encode()).hexdigest()
+
+
 def test_gate(spark):
     paths = {"a/chatlog/x.md": "chat transcript", "x.jsonl": "profile transcript", ".env": "environment file", "k/id_rsa": "private key", "docs/a.md": None, "inbox/note.md": None, "a.pem": "key container"}
     for p, want in paths.items():
