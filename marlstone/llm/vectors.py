@@ -5,8 +5,9 @@ blocks; a block returns each query's best rows, never its pairs.
 Defined results, both: vectors that are null, empty or hold null or non-finite components (and, for
 the nearest neighbours, zero vectors), and rows without an id, take no part; vectors of another
 length than the query's are no candidates; equal scores go to the smaller id; a query with fewer candidates than k gets them
-all, and none without candidates. Ids are taken to be unique; rows that repeat an id are
-candidates of their own.
+all, and none without candidates. Ids are taken to be unique; of rows that repeat an id none is a
+candidate of that id's own searches, nearest() gives the id once, with the distance of one of its rows, and
+top_products() gives each of them.
 """
 
 from __future__ import annotations
