@@ -114,3 +114,50 @@ def run_progress(spark, sf_dir):
     """Seconds a step, seconds left and percent done of runs (a conversation each)."""
     p = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("total"), F.count_if(F.col("role") == "assistant").alias("step"), F.sum(F.length("text")).alias("seconds"))
     return p.select("conv_id", *(c.alias(k) for k, c in census.progress(F.col("step"), F.col("total"), F.col("seconds").cast("double")).items()))
+
+
+# ---- plans over whole tables: zones, renames and decisions from real columns -------------------------
+
+_DECIDED = f"CASE WHEN toxic = 1 THEN '{rules.CLOSED}' WHEN quality = 1 THEN '{rules.PUBLIC}' ELSE '{rules.DISPUTED}' END"
+
+
+@query(
+    _CLASSIFIED
+    + f""", m AS (SELECT CASE WHEN d.lang = 'en' THEN 'old/' ELSE '' END || d.source || '/' || d.doc_id AS path, {_DECIDED} AS verdict FROM labels l JOIN documents d USING (doc_id)),
+p AS (SELECT r.doc_id, r.verdict, r.source || '/' || r.doc_id AS path, CASE WHEN d.lang = 'en' THEN 'old/' || r.source || '/' || r.doc_id END AS former FROM rows_ r JOIN documents d USING (doc_id))
+SELECT p.doc_id, coalesce(a.verdict, b.verdict, p.verdict) AS verdict, CASE WHEN a.path IS NOT NULL THEN 'manual' WHEN b.path IS NOT NULL THEN 'alias' ELSE 'rules' END AS decided_by FROM p LEFT JOIN m a ON a.path = p.path LEFT JOIN m b ON b.path = p.former"""
+)
+def decisions_over_rules(spark, sf_dir):
+    """All labels as decisions, those of English documents under the names they had before."""
+    docs = table(spark, sf_dir, "documents")
+    path, old = F.concat("source", F.lit("/"), "doc_id"), F.concat(F.lit("old/"), "source", F.lit("/"), "doc_id")
+    verdict = F.when(F.col("toxic") == 1, rules.CLOSED).when(F.col("quality") == 1, rules.PUBLIC).otherwise(rules.DISPUTED)
+    manual = table(spark, sf_dir, "labels").join(docs, "doc_id").select(F.when(F.col("lang") == "en", old).otherwise(path).alias("path"), verdict.alias("verdict"))
+    renamed = docs.where("lang = 'en'").select(path.alias("current"), old.alias("original"))
+    return classify.override(_classified(spark, sf_dir).select("doc_id", "verdict", path.alias("path")), manual, renamed).select("doc_id", "verdict", "decided_by")
+
+
+@query(_CLASSIFIED + f""", z AS (SELECT doc_id, CASE quality WHEN 1 THEN 'public' ELSE 'private' END AS zone FROM labels)
+SELECT doc_id, verdict, zone, CASE WHEN verdict = '{rules.PUBLIC}' THEN 'public' ELSE 'private' END AS zone_wanted FROM rows_ JOIN z USING (doc_id) WHERE (zone = 'public') <> (verdict = '{rules.PUBLIC}')""")
+def misplaced_by_label(spark, sf_dir):
+    """Documents in another zone than their verdict asks for, in zones by the quality label; those without a label
+    are nowhere."""
+    zone = F.when(F.col("quality") == 1, "public").otherwise("private")
+    located = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels").select("doc_id", zone.alias("zone")), "doc_id", "left")
+    return census.misplaced(_classified(spark, sf_dir).select("doc_id", "verdict"), located, ["doc_id"]).select("doc_id", "verdict", "zone", "zone_wanted")
+
+
+@query(
+    _CLASSIFIED
+    + f"""SELECT r.source || '/' || r.doc_id AS path, CASE WHEN d.lang = 'de' THEN 'new/' || r.doc_id ELSE r.source || '/' || r.doc_id END AS now, CAST(strlen(r.text) AS BIGINT) AS bytes, sha256(r.text) AS sha256
+FROM rows_ r JOIN documents d USING (doc_id) WHERE r.verdict <> '{rules.UNKNOWN}'"""
+)
+def pointers_of_determined(spark, sf_dir):
+    """Pointers for all documents with a verdict, the German ones under new names."""
+    docs = table(spark, sf_dir, "documents")
+    path, new = F.concat("source", F.lit("/"), "doc_id"), F.concat(F.lit("new/"), "doc_id")
+    rights = _classified(spark, sf_dir).where(F.col("verdict") != rules.UNKNOWN).select(path.alias("path"))
+    renames = docs.where("lang = 'de'").select(path.alias("original"), new.alias("current"))
+    existing = docs.select(F.when(F.col("lang") == "de", new).otherwise(path).alias("path"))
+    known = docs.select(path.alias("path"), F.octet_length("text").cast("long").alias("bytes"), F.sha2("text", 256).alias("sha256"))
+    return census.pointers(rights, renames, existing, known).select("path", "now", "bytes", "sha256")
