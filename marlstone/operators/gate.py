@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,19 +11,38 @@ from pyspark.sql import functions as F
 from ..functions import rules
 
 
+#: A boundary, if it can be with the word it stands before, or before a group of words.
+_EDGE = re.compile(r"\\b(?:(?P<word>\w+)(?![*+?{])|(?P<group>(?=\((?:\w[^|()]*\|)*\w[^|()]*\))))|\\b")
+
+
+def _edge(m: re.Match) -> str:
+    """The same places by ASCII; after a word, where it costs least."""
+    if m["word"]:
+        return rf"{m['word']}(?<!\w{m['word']})"
+    return r"(?<!\w)" if m["group"] is not None else r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
+
+
+def _pattern(p: str) -> str:
+    """A rule's pattern with the same meaning in Java: words, blanks and lines by ASCII alone (Java takes letters of all
+    alphabets as words next to \\b, and more than line feeds as ends of lines), case by Unicode."""
+    p = _EDGE.sub(_edge, p.replace("(?i)", "(?iu)").replace("(?m)", "(?dm)"))
+    blanks = re.sub(r"(\[\^?(?:[^\]\\]|\\[^s])*)\\s", r"\1\\t\\n\\f\\r ", p)
+    return re.sub(r"\$(?=$|[|)])", r"\\z", blanks.replace(r"\s", r"[\t\n\f\r ]"))
+
+
 #: Why a file isn't scanned, see skip_reason().
 SKIPPED = ("missing", "not text", "too large")
 
 
 def forbidden_path(path, table: Sequence[tuple[str, str]] = rules.PATHS) -> Column:
     """Name of the first path rule that matches, or null."""
-    return F.coalesce(*(F.when(F.rlike(path, F.lit(p)), F.lit(name)) for name, p in table))
+    return F.coalesce(*(F.when(F.rlike(path, F.lit(_pattern(p))), F.lit(name)) for name, p in table))
 
 
 def forbidden_content(text, own_file: Column | None = None, table: Sequence[tuple[str, str, bool]] = rules.CONTENT) -> Column:
     """Names of all content rules that match; transcript markup is no violation in own files."""
     own = F.lit(False) if own_file is None else own_file
-    return F.array_compact(F.array(*(F.when(F.rlike(text, F.lit(p)) & (~own if markup else F.lit(True)), F.lit(name)) for name, p, markup in table)))
+    return F.array_compact(F.array(*(F.when(F.rlike(text, F.lit(_pattern(p))) & (~own if markup else F.lit(True)), F.lit(name)) for name, p, markup in table)))
 
 
 def skip_reason(path, size, text, most: int = rules.MAX_SCAN, extensions: Sequence[str] = rules.TEXT_EXTENSIONS) -> Column:

@@ -195,6 +195,15 @@ def test_gate(spark):
     assert v.count() == 3
 
 
+def test_rules_mean_the_same_everywhere(spark):
+    """Letters of other alphabets are no words next to a rule's, and only line feeds end lines."""
+    key = "AKIA" + "C3" * 8
+    texts = {"é" + key: ["cloud key"], key + "я": ["cloud key"], "e" + key: [], "漢xoxb-" + "d4" * 6: ["chat token"], "a\rUSER: hi": [], "a\x85USER: hi": [], "a\n\r USER\f: hi": ["transcript markup"], "\x0bUSER: hi": [], "ſecret = 'longenough'": ["key as value"]}
+    for t, want in texts.items():
+        assert one(spark, gate.forbidden_content(F.col("t")), t=t) == want, t
+    assert one(spark, gate.forbidden_path(F.col("p")), p="x.pem\n") is None
+
+
 # ---- census, state
 
 
