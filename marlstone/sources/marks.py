@@ -1,4 +1,4 @@
-"""Marks of executable content in PDF bytes: the raw bytes and every stream that inflates."""
+"""Marks of executable content in PDF bytes: every stream that inflates, as it inflates, and the bytes around."""
 
 from __future__ import annotations
 
@@ -12,22 +12,34 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 
-_STREAM = re.compile(rb"stream\r?\n(.{20,200000}?)endstream", re.S)
+_STREAM, _END = re.compile(rb"(?<!end)stream\r?\n"), b"endstream"
+
+
+def bodies(raw: bytes) -> Iterator[bytes]:
+    """What the streams inflate to, of any length, and what lies outside of these: deflated bytes spell marks by chance.
+    Streams that don't inflate are taken as they are."""
+    at = kept = 0
+    end = -1
+    while s := _STREAM.search(raw, at):
+        at = s.end()
+        end = raw.find(_END, at) if end < at else end
+        if end < 0:
+            break
+        try:
+            body = zlib.decompress(memoryview(raw)[at:end])
+        except zlib.error:
+            continue
+        yield raw[kept:at]
+        yield body
+        at = kept = end
+    yield raw[kept:]
 
 
 def marks(files: DataFrame, names: Sequence[str] = (*rules.HEAVY, *rules.ROUTINE), path: str = "path", content: str = "content") -> DataFrame:
-    """path, mark, n of every mark that occurs; streams that don't inflate are skipped. A longer
+    """path, mark, n of every mark that occurs, in bodies(). A longer
     name isn't a mark: /JS doesn't count in /JSx. Null content has no marks."""
     found = {m: re.compile(re.escape(m.encode()) + rb"(?![A-Za-z0-9])") for m in names}
 
-    def bodies(raw: bytes) -> Iterator[bytes]:
-        yield raw
-        for s in _STREAM.finditer(raw):
-            try:
-                yield zlib.decompress(s[1])
-            except zlib.error:
-                continue
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []

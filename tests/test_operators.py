@@ -264,6 +264,16 @@ def test_marks(spark):
     assert b["a"].bucket == "heavy" and b["a"].heavy == ["/JS", "/JavaScript", "/Launch"] and b["d"].bucket == "routine"
 
 
+def test_marks_by_chance(spark):
+    """Deflated bytes that spell a mark don't count; streams of any length inflate, those after a false start too."""
+    stored = zlib.compressobj(0)
+    chance = stored.compress(b"/AA /AA ") + stored.flush()
+    long = zlib.compress(bytes(i * i % 251 for i in range(300_000)) + b"/Launch ", 0)
+    body = b"%PDF /AA stream\n" + chance + b"endstream\nstream\n" + long + b"endstream\nstream\nstream\n" + zlib.compress(b"/XFA ") + b"endstream stream\n/Movie endstream"
+    df = spark.createDataFrame([("a", body)], "path string, content binary")
+    assert {r.mark: r.n for r in marks.marks(df).collect()} == {"/AA": 3, "/Launch": 1, "/XFA": 1, "/Movie": 1}
+
+
 def test_pages_source(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one\ftwo")
     spark.dataSource.register(pages.PagesSource)
