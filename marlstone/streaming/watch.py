@@ -34,11 +34,15 @@ def stalls(progress: DataFrame, seconds: int = 45, late: str = "0 seconds") -> D
             yield pd.DataFrame({"run": [key[0]], "last": [pd.Timestamp(last, unit="ms")], "seen": [seen]})
             return
         last, size, seen = state.get if state.exists else (0, -1, 0)
+        top = None  # the largest size of all rows, which Arrow deals in any order, and when it was reached first
         for b in batches:
-            for ts, n in sorted(zip(b["ts"], b["size"], strict=True)):
-                seen += 1
-                if n > size:
-                    last, size = max(last, int(ts.timestamp() * 1000)), int(n)
+            sizes, times = b["size"].to_numpy(), b["ts"].to_numpy()
+            seen, n = seen + len(sizes), int(sizes.max())
+            at = int(times[sizes == n].min().astype("datetime64[ms]").astype("int64"))
+            if top is None or n > top[0] or n == top[0] and at < top[1]:
+                top = n, at
+        if top is not None and top[0] > size:
+            last, size = max(last, top[1]), top[0]
         state.update((last, size, seen))
         at = last + span
         if at > state.getCurrentWatermarkMs():
@@ -47,7 +51,7 @@ def stalls(progress: DataFrame, seconds: int = 45, late: str = "0 seconds") -> D
         state.remove()
         yield pd.DataFrame({"run": [key[0]], "last": [pd.Timestamp(last, unit="ms")], "seen": [seen]})
 
-    rows = progress.select("run", "ts", F.col("size").cast("long").alias("size")).withWatermark("ts", late)
+    rows = progress.where("ts is not null and size is not null").select("run", "ts", F.col("size").cast("long").alias("size")).withWatermark("ts", late)
     return rows.groupBy("run").applyInPandasWithState(run, "run string, last timestamp, seen long", "last long, size long, seen long", "append", GroupStateTimeout.EventTimeTimeout)
 
 

@@ -325,6 +325,21 @@ def test_stalls_stream(spark, tmp_path):
     assert [r.run for r in spark.table("stalls").collect()] == ["a"]
 
 
+def test_stalls_in_small_batches(spark, tmp_path):
+    """The rows of a run may reach the function in several batches that aren't in order; milliseconds are whole."""
+    from marlstone.streaming import watch
+
+    t = datetime(2024, 1, 1)
+    rows = [("a", t + timedelta(milliseconds=60_001 - i), 100 - i % 50) for i in range(50)] + [("a", t + timedelta(milliseconds=1001 + i), 100) for i in range(20)] + [("a", None, 5), ("z", t + timedelta(seconds=300), 1)]
+    df = spark.createDataFrame(rows, "run string, ts timestamp, size long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = watch.drained(watch.stalls(_stream(spark, tmp_path, df, [df])), "stalls").select("run", F.unix_millis("last").alias("last"), "seen").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert list(map(tuple, got)) == [("a", 1_704_067_201_001, 70)]
+
+
 def test_upsert(spark, tmp_path):
     from marlstone.streaming import watch
 
