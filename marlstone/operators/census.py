@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import rules, text
 
 
 def under(path, prefixes) -> Column:
@@ -61,7 +61,7 @@ def moved_total(by_zone: DataFrame) -> DataFrame:
 def plan(rights: DataFrame, group: str = "repo", size: str = "bytes", verdict: str = "verdict") -> DataFrame:
     """Files and MiB that aren't public, per group."""
     held = rights.where(F.col(verdict) != rules.PUBLIC)
-    return held.groupBy(group).agg(F.count("*").alias("files"), F.sum(size).alias("_bytes")).select(group, "files", F.round(F.col("_bytes") / 1048576.0, 2).alias("mib"))
+    return held.groupBy(group).agg(F.count("*").alias("files"), F.sum(size).alias("_bytes")).select(group, "files", text.rounded(F.col("_bytes") / 1048576.0, 2).alias("mib"))
 
 
 def fetch_once(rows: DataFrame, key: str, source: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def steps(n: Column, batch: int, accum: int, epochs: int) -> Column:
 
 def hours(steps_: Column, per_step: Column) -> Column:
     """Hours that so many steps take at this many seconds each, two decimals."""
-    return F.round(steps_ * per_step / 3600.0, 2)
+    return text.rounded(steps_ * per_step / 3600.0, 2)
 
 
 def progress(step: Column, total: Column, seconds: Column) -> dict[str, Column]:

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -171,7 +173,7 @@ def kit_area(tiles: DataFrame, kept: DataFrame, doc: str) -> DataFrame:
 
 def shown_share(areas: DataFrame) -> DataFrame:
     """Documents and the mean of their shares, each rounded to a decimal before, as they are reported."""
-    return areas.agg(F.count("*").alias("documents"), F.round(F.avg(F.round("percent", 1)), 3).alias("mean_percent"))
+    return areas.agg(F.count("*").alias("documents"), text.rounded(F.avg(text.rounded(F.col("percent"), 1)), 3).alias("mean_percent"))
 
 
 def image_grid(lines: DataFrame, line: str, doc: str) -> DataFrame:

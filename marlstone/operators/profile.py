@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from . import grid
 
 
@@ -40,7 +41,7 @@ def traits(profile: DataFrame, page: str) -> DataFrame:
     gaps = gaps.join(whole.select(page, "w"), page).groupBy(page).agg(F.count_if(F.col("length") > F.col("w") * 0.04).alias("gaps"), F.count_if(F.col("length") > F.col("w") * 0.06).alias("_wide"))
     out = whole.join(lines, page, "left").join(gaps, page, "left")
     none = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return out.select(page, "w", "h", F.round("density", 4).alias("density"), none("lines"), F.coalesce("line_height", F.lit(0.0)).alias("line_height"), none("gaps"), (1 + F.coalesce("_wide", F.lit(0).cast("long"))).alias("columns"))
+    return out.select(page, "w", "h", text.rounded(F.col("density"), 4).alias("density"), none("lines"), F.coalesce("line_height", F.lit(0.0)).alias("line_height"), none("gaps"), (1 + F.coalesce("_wide", F.lit(0).cast("long"))).alias("columns"))
 
 
 def gutters(profile: DataFrame, page: str) -> DataFrame:

@@ -65,3 +65,11 @@ def test_traits(spark, monkeypatch):
         gutter = {r.page: r.x for r in profile.gutters(means, "page").collect()}
         got = {r.page: (r.w, r.h, r.density, r.lines, r.line_height, r.gaps, r.columns, gutter.get(r.page)) for r in profile.traits(means, "page").collect()}
         assert got == {i: looked_at(a) for i, a in images.items()}
+
+
+def test_density_is_rounded_as_the_double_it_is(spark):
+    """226 of 1600 pixels are 0.14125, as a double a little less."""
+    image = bytes([0] * 226 + [255] * 1374)
+    df = spark.createDataFrame([(1, image, 64)], "page int, image binary, width int")
+    means = profile.means(profile.pixels(df, "page", "image", "width"), "page")
+    assert profile.traits(means, "page").first().density == 0.1412
