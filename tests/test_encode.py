@@ -93,3 +93,12 @@ def test_query(spark, sf_dir):
         made = [(len(f(a)), k, zlib.crc32(f(a))) for k, f in enumerate((encode.full, encode.p16, encode.one))]
         size, k, crc = min(made)
         assert (r.mode, r.w, r.h, r.bytes, r.png_crc32) == (encode.MODES[k], a.shape[1], a.shape[0], size, crc)
+
+
+def test_few_encodings_are_held_at_once():
+    """However many images Arrow brings in a batch."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(1000)), "_image": pa.array([bytes(range(64))] * 1000, pa.binary()), "_w": pa.array([8] * 1000)})
+    got = [len(b) for b in encode.encoded([batch], "id", 1, None, encode.MODES)]
+    assert sum(got) == 3000 and max(got) <= 3 * encode.SOME
