@@ -117,8 +117,7 @@ def moved_files(spark, sf_dir):
     log = shared.fresh(spark, "moves")
     done = moves.copy(plan, log)
     gone = moves.delete_sources(spark, log)
-    left = files.scan(spark, to).select(F.concat(F.lit(f"{to}/"), "rel").alias("dst")) if gone else None
-    kept = done if left is None else done.where("status = 'copied'")
+    kept = done.where("status = 'copied'") if gone else done
     return kept.select(F.substring_index("dst", f"{to}/", -1).alias("rel"), "bytes", "sha256", "status")
 
 

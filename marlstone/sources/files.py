@@ -3,19 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .stores import is_folder
+
+
+def _listing(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
+    """rel, length of the files below a folder, level by level: tasks list the folders of a level, and no file is
+    opened."""
+    from .. import shared
+
+    def run(batches):
+        import pyarrow as pa
+
+        from .stores import listed
+
+        for b in batches:
+            for below in b.column("rel").to_pylist():
+                got = listed(root, below)
+                for at in range(0, len(got), 10_000):
+                    some = got[at : at + 10_000]
+                    yield pa.RecordBatch.from_pydict({"rel": pa.array([r for r, _ in some], pa.string()), "length": pa.array([n for _, n in some], pa.int64())})
+
+    schema = "rel string, length long"
+    level, levels = spark.createDataFrame([("",)], "rel string"), []
+    while True:
+        found = shared.kept(level.mapInArrow(run, schema), "listing")
+        levels.append(found.where("length is not null"))
+        n = found.where("length is null").count() if recursive else 0
+        if not n:
+            break
+        level = found.where("length is null").select("rel").repartition(min(n, 4 * spark.sparkContext.defaultParallelism))
+    return reduce(DataFrame.unionByName, levels)
+
 
 def scan(spark: SparkSession, root: str, extensions: Sequence[str] = (), content: bool = False, recursive: bool = True) -> DataFrame:
     """path, rel, bytes, ext (and content) of the files below root, without version-control
     folders. Content isn't read unless asked for; extensions (without dot) compare in any case."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(root)
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not content and is_folder(root):
+        whole = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+        files = _listing(spark, root, recursive).withColumn("path", F.concat(F.lit(f"{whole}/"), "rel"))
+    else:  # bytes, a pattern or a file, or a store that only Spark opens
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(root)
     ext = F.lower(F.regexp_extract("path", r"[^/]\.([^./]+)$", 1))
-    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/")
+    base = at.toUri().getPath().rstrip("/")
     rel = F.regexp_replace(F.substring_index("path", base + "/", -1), "^/+", "")
     out = files.select("path", rel.alias("rel"), F.col("length").alias("bytes"), ext.alias("ext"), *(["content"] if content else []))
     out = out.where(~F.rlike("rel", F.lit(r"(^|/)\.git(/|$)")))
@@ -63,9 +100,10 @@ def write_files(rows: DataFrame, root: str, path: str, content: str) -> int:
 
         from .stores import put
 
+        made: set[str] = set()
         for b in batches:
             for p, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                put(f"{root}/{p}", body.as_py())
+                put(f"{root}/{p}", body.as_py(), made)
             yield pa.RecordBatch.from_pydict({"n": pa.array([len(b)], pa.int64())})
 
     named = rows.select(F.col(path).cast("string").alias("p"), F.col(content).cast("binary").alias("c")).where("p is not null and c is not null")

@@ -33,7 +33,7 @@ class Logged(WriterCommitMessage):
     counts: dict[str, int]
 
 
-def copied(src: str, dst: str, known: str | None) -> tuple[int | None, str | None, str]:
+def copied(src: str, dst: str, known: str | None, made: set[str] | None = None) -> tuple[int | None, str | None, str]:
     """Copy a file and read both again. bytes, hash and status: copied; already (the source is gone, the copy is
     there and has the known hash, if one is known); missing; mismatch (the hashes of source, copy and plan differ;
     the copy is removed)."""
@@ -45,7 +45,11 @@ def copied(src: str, dst: str, known: str | None) -> tuple[int | None, str | Non
         found = sha256(dst)
         return m, found, "already" if known in (None, found) else "mismatch"
     (from_fs, from_), (to_fs, to) = store(src), store(dst)
-    to_fs.create_dir(to.rpartition("/")[0], recursive=True)
+    above = to.rpartition("/")[0]
+    if made is None or above not in made:
+        to_fs.create_dir(above, recursive=True)
+        if made is not None:
+            made.add(above)
     half = f"{to}.{uuid.uuid4().hex}.part"
     try:
         with from_fs.open_input_stream(from_) as f, to_fs.open_output_stream(half) as g:
@@ -71,9 +75,10 @@ class CopyWriter(DataSourceWriter):
         name, counts = f"{uuid.uuid4().hex}.jsonl", dict.fromkeys(STATUSES, 0)
         fs, path = store(f"{self.log}/{name}")
         fs.create_dir(path.rpartition("/")[0], recursive=True)
+        made: set[str] = set()
         with fs.open_output_stream(path) as f:
             for r in iterator:
-                n, found, status = copied(r["src"], r["dst"], r["sha256"])
+                n, found, status = copied(r["src"], r["dst"], r["sha256"], made)
                 counts[status] += 1
                 f.write((json.dumps({"src": r["src"], "dst": r["dst"], "bytes": n, "sha256": found, "status": status}) + "\n").encode())
         return Logged(name, counts)

@@ -249,6 +249,21 @@ def test_scan(spark, tmp_path):
     assert sorted(r.zone for r in both.collect()) == ["u", "v", "v"]
 
 
+def test_scan_opens_no_file(spark, tmp_path):
+    """Names and sizes come from listings; odd names, hidden folders and a pattern as a root too."""
+    for p in ("a/b c/ü%20.pdf", "a/k=1/_x=1.pdf", "_no/x.pdf", "a/.hid/x.pdf", "a/_x.pdf", "x.pdf"):
+        (tmp_path / p).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / p).write_bytes(b"12")
+    want = {(r.path, r.rel, r.bytes) for r in files.scan(spark, str(tmp_path), ["pdf"], content=True).collect()}
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        got = files.scan(spark, root, ["pdf"])
+        assert "binaryFile" not in got._jdf.queryExecution().toString()
+        assert {r.rel for r in got.collect()} == {"a/b c/ü%20.pdf", "a/k=1/_x=1.pdf", "x.pdf"}
+        assert {(r.path, r.rel, r.bytes) for r in got.collect()} == want
+    assert [r.bytes for r in files.scan(spark, f"{tmp_path}/*.pdf").collect()] == [2]
+    assert [r.rel for r in files.scan(spark, str(tmp_path), recursive=False).collect()] == ["x.pdf"]
+
+
 def test_json(spark, tmp_path):
     (tmp_path / "c.jsonl").write_text('{"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}\nbroken\n')
     assert [(r.turn, r.role, r.text) for r in files.chat_lines(spark, str(tmp_path / "c.jsonl")).orderBy("turn").collect()] == [(0, "user", "q"), (1, "assistant", "a")]
