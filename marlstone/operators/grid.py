@@ -185,10 +185,11 @@ def image_grid(lines: DataFrame, line: str, doc: str) -> DataFrame:
     return rows.groupBy(doc, "page").agg(F.max("w").alias("w"), F.max("h").alias("h"))
 
 
-def best_neighbours(edges: DataFrame, kit_col: str, id_col: str, out_edge: str, in_edge: str, block: int = 512) -> DataFrame:
+def best_neighbours(edges: DataFrame, kit_col: str, id_col: str, out_edge: str, in_edge: str, block: int = 2048) -> DataFrame:
     """kit, id, match, cost: for every tile the tile of its kit, not itself, whose in_edge lies
     nearest to its out_edge by mean absolute difference; ties to the smaller id. Edges of another
-    length are no candidates. Tiles meet in blocks: a block returns one best row per tile."""
+    length are no candidates. Tiles meet in blocks, dealt over a number of tasks of their own (their bytes are few, their
+    pairs many): a block returns one best row per tile. Costs add up in the order of the edge."""
     import numpy as np
     import pyarrow as pa
 
@@ -207,20 +208,31 @@ def best_neighbours(edges: DataFrame, kit_col: str, id_col: str, out_edge: str,
             if edge[i]:
                 by.setdefault(len(edge[i]), []).append(i)
         tables = {n: (ids[np.array(v)], np.array([edge[i] for i in v])) for n, v in by.items()}
+        asking: dict[int, list[int]] = {}
         for i in np.flatnonzero(asks_):
-            if not edge[i] or len(edge[i]) not in tables:
-                continue
-            other, x = tables[len(edge[i])]
-            cost = np.abs(x - np.array(edge[i])).mean(1)
-            cost[other == ids[i]] = np.inf
-            m = cost.min()
-            if np.isfinite(m):
-                out.append((int(ids[i]), int(other[cost == m].min()), float(m)))
+            if edge[i] and len(edge[i]) in tables:
+                asking.setdefault(len(edge[i]), []).append(i)
+        for n, places in asking.items():
+            order = np.argsort(tables[n][0], kind="stable")  # of equal costs the first is the smallest id
+            other, x = tables[n][0][order], np.ascontiguousarray(tables[n][1][order].T)
+            for at in range(0, len(places), 128):
+                some = places[at : at + 128]
+                e = np.array([edge[i] for i in some]).T
+                cost = np.zeros((len(some), len(other)))
+                for d in range(n):
+                    cost += np.abs(x[d] - e[d][:, None])
+                cost /= n
+                cost[other == ids[some][:, None]] = np.inf
+                best = cost.argmin(1)
+                least = cost[np.arange(len(some)), best]
+                out += [(int(ids[i]), int(other[k]), float(m)) for i, k, m in zip(some, best.tolist(), least.tolist(), strict=True) if np.isfinite(m)]
         cols = list(zip(*out, strict=True)) or [(), (), ()]
         return pa.table({kit_col: pa.array([key[0].as_py()] * len(out), t.schema.field(kit_col).type), "id": pa.array(cols[0], pa.int64()), "match": pa.array(cols[1], pa.int64()), "cost": pa.array(cols[2], pa.float64())})
 
     kind = edges.schema[kit_col].dataType.simpleString()
-    found = asks.unionByName(given).groupBy(kit_col, "i", "j").applyInArrow(nearest, f"{kit_col} {kind}, id long, match long, cost double")
+    spark = edges.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = asks.unionByName(given).repartition(tasks, kit_col, "i", "j").groupBy(kit_col, "i", "j").applyInArrow(nearest, f"{kit_col} {kind}, id long, match long, cost double")
     return found.groupBy(kit_col, "id").agg(F.min(F.struct("cost", "match")).alias("b")).select(kit_col, "id", F.col("b.match").alias("match"), F.col("b.cost").alias("cost"))
 
 

@@ -140,6 +140,20 @@ def test_names(spark):
     assert one(spark, text.patent_name("a", "b"), a="none", b="") is None
 
 
+def test_neighbours_in_many_tasks(spark):
+    """Blocks aren't gathered in one task because their bytes are few; costs and ties are those of a plain loop."""
+    import random
+
+    r = random.Random(5)
+    edge = lambda: [float(r.randint(0, 3)) for _ in range(8)]
+    rows = [("k", i, edge(), edge()) for i in range(200)] + [("k", 200, [1.0], []), ("l", 1, edge(), edge())]
+    df = spark.createDataFrame(rows, "kit string, id long, out array<double>, `in` array<double>")
+    found = grid.best_neighbours(df, "kit", "id", "out", "in", block=40)
+    want = {i: min((sum(abs(a - b) for a, b in zip(out, into, strict=True)) / 8, j) for _, j, _, into in rows[:200] if j != i) for _, i, out, _ in rows[:200]}
+    assert {x.id: (x.cost, x.match) for x in found.collect()} == want
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+
+
 # ---- rights, duplicates, gate
 
 
