@@ -78,14 +78,17 @@ def _cells(rows: DataFrame, threshold: float) -> DataFrame:
 
 def _nearest(asks: DataFrame, given: DataFrame, threshold: float) -> DataFrame:
     """kit, axis, id, match, cost, compared: of each asking strip the best of those below the threshold in its
-    own and the neighbouring cells, and how many were compared pixel by pixel."""
+    own and the neighbouring cells, and how many were compared pixel by pixel. Where all that a kit gives of a shape
+    fits in a block, it is one cell: nine copies of a strip and cells of a few would cost more than they spare."""
     import numpy as np
     import pyarrow as pa
 
     key = ["kit", "axis", "shape", "c1", "c2"]
-    given = _cells(given, threshold)
-    near = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
-    asks = _cells(asks, threshold).select("kit", "axis", "shape", "id", "strip", near("c1"), "c2").select("kit", "axis", "shape", "id", "strip", "c1", near("c2"))
+    few = given.groupBy(*key[:3]).agg((F.count("*") <= BLOCK).alias("_few"))
+    zero = F.lit(0)
+    given = _cells(given, threshold).join(few, key[:3]).withColumns({c: F.when(F.col("_few"), zero).otherwise(F.col(c)) for c in key[3:]}).drop("_few")
+    near = lambda c: F.explode(F.when(F.col("_few"), F.array(zero)).otherwise(F.sequence(F.col(c) - 1, F.col(c) + 1))).alias(c)
+    asks = _cells(asks, threshold).join(few, key[:3]).select("_few", "kit", "axis", "shape", "id", "strip", near("c1"), "c2").select("kit", "axis", "shape", "id", "strip", "c1", near("c2"))
     sizes = given.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_j"))
     many = asks.join(sizes, key).groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_i"), F.max("_j").alias("_j"))
     part = lambda n: F.pmod(F.xxhash64("strip", "id"), F.col(n)).cast("int")

@@ -54,3 +54,19 @@ def test_odd_tiles(spark):
     assert got["k", "right", 0] == 1 and got["k", "down", 1] == 0 and got["k", "right", 39] == 0
     assert got["l", "right", 1] is None and got[None, "down", 9] is None and len(got) == 2 * 42
     assert assembly.joints(df.limit(0)).count() == 0
+
+
+def test_small_kits_are_one_cell(spark, monkeypatch):
+    """One group a kit, axis and shape, where it fits in a block; results as by cells."""
+    rng = np.random.default_rng(3)
+    tiles = [(kit, i, rng.integers(0, 255, (9, 9)).astype(np.uint8)) for kit in "ab" for i in range(12)]
+    key = lambda rows: {(r.kit, r.axis, r.id): (r.match, r.cost) for r in rows}
+    one = key(assembly.joints(frame(spark, tiles), overlap=4, threshold=60.0).collect())
+    assert {k: v if v[0] is not None else None for k, v in one.items()} == brute(tiles, 4, 60.0)
+    asks = assembly.strips(frame(spark, tiles), "kit", "id", "rows", 4).where("leads")
+    given = assembly._given(assembly.strips(frame(spark, tiles), "kit", "id", "rows", 4))
+    near = assembly._nearest(asks.select("kit", "axis", "shape", "id", "strip"), given, 60.0)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "_few" in plan
+    monkeypatch.setattr(assembly, "BLOCK", 5)
+    assert key(assembly.joints(frame(spark, tiles), overlap=4, threshold=60.0).collect()) == one
