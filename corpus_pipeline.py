@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from marlstone.llm import jaccard, language, packing, quality
 from marlstone.llm.common import durable, labelled_texts, unused
 
+#: Hash values of ids that tell which texts may have to go, at most so many in every task.
+SLOTS = 1 << 22
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go: null, empty and blank texts and those without a
@@ -39,10 +42,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     an id stay once for each text; they are never anyone's smallest document. An empty table stays
     empty."""
     found = jaccard.classes(docs, width=5, num=80, den=100)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    kept = durable(kept, "kept")
-    once = docs.join(kept.where("_rows = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    more = docs.join(kept.where("_rows > 1").select("doc_id"), "doc_id", "left_semi")
+    rows = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("_stays"))
+    # All other ids have one row, which stays: most texts needn't travel, as a bounded number of hash values tells.
+    care = durable(rows.where("not _stays or _rows > 1"), "care")
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(9)), F.lit(SLOTS)).cast("int")
+    name = unused("_slot", docs.columns)
+    slots = F.broadcast(care.select(slot.alias(name)).distinct())
+    named = docs.where("doc_id is not null").withColumn(name, slot)
+    sure = named.join(slots, name, "left_anti").select(*docs.columns)
+    other = named.join(slots, name, "left_semi").select(*docs.columns)
+    once = sure.unionByName(other.join(care.select("doc_id"), "doc_id", "left_anti").select(*docs.columns))
+    more = other.join(care.where("_stays and _rows > 1").select("doc_id"), "doc_id", "left_semi")
     more = more.groupBy(F.col("doc_id").alias("_id")).agg(F.min_by(F.struct(*docs.columns), F.struct(F.col("text").isNull(), "text")).alias("_row")).select("_row.*")
     nameless = docs.where("doc_id is null").dropDuplicates(["text"])
     return once.unionByName(more).unionByName(nameless)

@@ -135,6 +135,11 @@ def group_keys(gram: np.ndarray, rare: np.ndarray, num: int, den: int) -> np.nda
     return np.concatenate(out)
 
 
+def _slot(of: str):
+    """One of SLOTS hash values of a document."""
+    return F.pmod(F.xxhash64(of, F.lit(9)), F.lit(SLOTS)).cast("int").alias("slot")
+
+
 def frequent(docs: DataFrame, sets: DataFrame, members: int, width: int) -> np.ndarray:
     """The n-grams found FREQUENT times in a sample of sets with about SAMPLE members, the LIST most
     frequent at most; sorted."""
@@ -145,7 +150,9 @@ def frequent(docs: DataFrame, sets: DataFrame, members: int, width: int) -> np.n
             for _, _, data, offs in blocks(batch.column("text"), 1 << 20):
                 yield pa.RecordBatch.from_arrays([pa.array(gram_sets(data, offs, width)[0].view(np.int64))], names=["gram"])
 
-    found = docs.join(some, "doc_id", "left_semi").mapInArrow(tidy(run), "gram long")
+    # Texts that surely are no part of the sample stay where they are.
+    near = docs.withColumn("slot", _slot("doc_id")).join(F.broadcast(some.select(_slot("doc_id")).distinct()), "slot", "left_semi")
+    found = near.join(some, "doc_id", "left_semi").select("text").mapInArrow(tidy(run), "gram long")
     many = found.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "gram").limit(LIST).select("gram").toArrow()
     return np.sort(many.column("gram").to_numpy().view(np.uint64))
 
@@ -370,8 +377,7 @@ def links(docs: DataFrame, placed: DataFrame, same: DataFrame, members: int, wid
     chosen = turned.groupBy("a", "pass").agg(F.collect_list("block").alias("blocks")).join(same, "a")
     chosen = durable(chosen, "chosen")
     # Texts that surely meet nothing stay where they are: at most SLOTS hash values say which.
-    slot = F.pmod(F.xxhash64("rep", F.lit(9)), F.lit(SLOTS)).cast("int").alias("slot")
-    near = docs.withColumnRenamed("doc_id", "rep").withColumn("slot", slot).join(F.broadcast(chosen.select(slot).distinct()), "slot", "left_semi")
+    near = docs.withColumnRenamed("doc_id", "rep").withColumn("slot", _slot("rep")).join(F.broadcast(chosen.select(_slot("rep")).distinct()), "slot", "left_semi")
     texts = durable(near.join(chosen, "rep").select("rep", "a", "text", "blocks", "pass"), "texts", by="pass")
 
     def multiply(t: pa.Table) -> pa.Table:
