@@ -23,10 +23,13 @@ encode() is the text, but that U+2581 comes back as a blank; repeated ids are ro
 
 from __future__ import annotations
 
+import contextlib
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -75,9 +78,10 @@ def read_model(path: str, kind: str = "bpe") -> Model:
     return Model(pieces, kind, spelled, sp.piece_to_id("<0x00>"), longest)
 
 
-def merges(unit: str, m: Model) -> list[str]:
+def merges(unit: str, m: Model, log: list | None = None) -> list[str]:
     """The parts that a BPE model's merges leave of a unit, the best pair first, leftmost on ties; a
-    heap of pairs over a chain of parts, so that a unit of n characters takes n log n steps."""
+    heap of pairs over a chain of parts, so that a unit of n characters takes n log n steps. log: gets both
+    parts of every merge."""
     parts, n, get = list(unit), len(unit), m.pieces.get
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(-s[1], i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if (s := get(a + b))]
@@ -93,6 +97,8 @@ def merges(unit: str, m: Model) -> list[str]:
         if j >= n or parts[i] != a or parts[j] != b:  # one of the two has been merged meanwhile
             continue
         parts[i], parts[j], after[i] = a + b, "", after[j]
+        if log is not None:
+            log.append((a, b))
         if after[j] < n:
             before[after[j]] = i
         offer(before[i], i)
@@ -100,6 +106,44 @@ def merges(unit: str, m: Model) -> list[str]:
     return [x for x in parts if x]
 
 
+def turns(m: Model) -> dict[str, tuple[int, int, int, int]]:
+    """Of every longer piece that a BPE model's merges can make: the length of its left part at the last merge, and
+    its turn among all merges of a unit, as rank, offset and order. While a piece's characters meet only each other,
+    as they must until it is made, they merge as they do alone: so the parts are the same in every unit, and a piece
+    that doesn't come about alone never does. A piece with a worse score than its parts waits for its rank (offset
+    and order 0). Any other is the best pair as soon as its later part is there, so its turn is right after that:
+    rank and place (offset) of what set this off, and the order of what may follow there. That holds in units
+    without tied() pieces."""
+    rank = {p: r for r, (p, _) in enumerate(sorted(m.pieces.items(), key=lambda x: -x[1][1]))}
+    out: dict[str, tuple[int, int, int, int]] = {}
+    after: dict[int, list[tuple[int, int, str]]] = {}
+    for p in sorted(m.pieces, key=len):
+        log: list[tuple[str, str]] = []
+        if len(p) == 1 or merges(p, m, log) != [p]:
+            continue
+        x, y = log[-1]
+        last = max((out[part][1], at + out[part][2], out[part][3]) for part, at in ((x, 0), (y, len(x))) if part in out) if x in out or y in out else (-1, 0, 0)
+        if rank[p] > last[0]:
+            out[p] = (len(x), rank[p], 0, 0)
+        else:  # the order is the number of steps since, for now
+            out[p] = (len(x), last[0], last[1], last[2] + 1)
+            after.setdefault(last[0], []).append((last[2] + 1, rank[p], p))
+    for following in after.values():
+        for k, (_, _, p) in enumerate(sorted(following)):
+            out[p] = (*out[p][:3], k + 1)
+    return out
+
+
+def tied(m: Model) -> list[str]:
+    """The longer pieces that share their score with another, less those that hold another one of these."""
+    scores = Counter(s for p, (_, s) in m.pieces.items() if len(p) > 1)
+    out: list[str] = []
+    for p in sorted((p for p, (_, s) in m.pieces.items() if len(p) > 1 and scores[s] > 1), key=len):
+        if len(out) <= 8 and not any(x in p for x in out):
+            out.append(p)
+    return out
+
+
 def fold(unit: str, m: Model) -> list[int]:
     """Ids of one unit, by the rules of the lattice's fold."""
     if unit in m.pieces and m.kind == "bpe" and len(unit) == 1:
@@ -140,19 +184,31 @@ def units(text: str) -> list[str]:
     return [u for u in (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n ")).split(" ") if u]
 
 
-def lattice(words: DataFrame, m: Model, spark: SparkSession) -> DataFrame:
-    """word, any further columns, and ids of every word (distinct, of at most LONGEST characters)."""
+def _edges(words: DataFrame, table: DataFrame, m: Model) -> DataFrame:
+    """Substrings of bounded length as edges; a lone character is an edge with or without a piece."""
+    starts = words.select("*", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
+    spans = starts.select("*", F.explode(F.expr(f"sequence(s + 1, least(s + {m.longest}, length(word)))")).alias("e"))
+    # The piece table is bounded by the model: tens of thousands of short strings.
+    edges = spans.withColumn("piece", F.expr("substring(word, s + 1, e - s)")).join(F.broadcast(table), "piece", "left")
+    return edges.where("id is not null or e = s + 1").withColumn("id", F.coalesce("id", F.lit(NO_PIECE)))
+
+
+def lattice(words: DataFrame, m: Model, spark: SparkSession, folded: bool = False) -> DataFrame:
+    """word, any further columns, and ids of every word (distinct, of at most LONGEST characters). folded: by
+    the fold that looks for the best pair at each step, in any case."""
     more = [c for c in words.columns if c != "word"]
     if len(m.spelled) > NO_PIECE:
         raise ValueError(f"{len(m.spelled)} pieces, {NO_PIECE} at most")
     ranks = {s: r for r, s in enumerate(sorted({s for _, s in m.pieces.values()}, reverse=True))}
+    if m.kind == "bpe" and m.longest < 32 and len(m.spelled) < 0xFFFF and len(alike := tied(m)) <= 8 and not folded:
+        # Words without pieces of equal scores (of public models: runs of blanks) take one pass.
+        odd = reduce(lambda a, b: a | b, (F.contains("word", F.lit(x)) for x in alike), F.lit(False))
+        turn = {p: t for p, t in turns(m).items() if not any(x in p for x in alike)}
+        if max((t[3] for t in turn.values()), default=0) < 256:
+            some = _ordered_fold(words.where(~odd), turn, m, spark)
+            return some.unionByName(lattice(words.where(odd), m, spark, folded=True)) if alike else some
     table = spark.createDataFrame([(p, i, s, ranks[s]) for p, (i, s) in m.pieces.items()], "piece string, id int, score double, rank long")
-    # Substrings of bounded length as edges; a lone character is an edge with or without a piece.
-    starts = words.select("word", *more, F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
-    spans = starts.select("*", F.explode(F.expr(f"sequence(s + 1, least(s + {m.longest}, length(word)))")).alias("e"))
-    # The piece table is bounded by the model: tens of thousands of short strings.
-    edges = spans.withColumn("piece", F.expr("substring(word, s + 1, e - s)")).join(F.broadcast(table), "piece", "left")
-    edges = edges.where("id is not null or e = s + 1").withColumn("id", F.coalesce("id", F.lit(NO_PIECE)))
+    edges = _edges(words, table, m)
     size, one = F.length("word"), F.lit(1).cast("long")
     bit = lambda i: F.call_function("shiftleft", one, i)
     # Bit i of a mask is a cut before character i: an edge has two at its ends, others inside.
@@ -181,11 +237,44 @@ def lattice(words: DataFrame, m: Model, spark: SparkSession) -> DataFrame:
         cut = F.aggregate(F.sequence(F.lit(1), size), none, lambda a, _: F.when(a["at"] > 0, F.struct(F.get("state", a["at"])["back"].alias("at"), a["mask"].bitwiseOR(bit(F.get("state", a["at"])["back"])).alias("mask"))).otherwise(a))["mask"]
     path = F.filter("edges", lambda e: (F.col("cut").bitwiseAND(e.ends) == e.ends) & (F.col("cut").bitwiseAND(e.inner) == 0))
     path = F.sort_array(F.transform(path, lambda e: F.struct(e.s, e.id)))
-    spell = lambda c: F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda i: F.conv(F.substring(F.hex(F.encode(c, "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + m.bytes_at)
-    ids = F.flatten(F.transform("path", lambda e: F.when(e.id == NO_PIECE, spell(F.substring("word", e.s + 1, F.lit(1)))).otherwise(F.array(e.id))))
+    ids = F.flatten(F.transform("path", lambda e: F.when(e.id == NO_PIECE, _spell(F.substring("word", e.s + 1, F.lit(1)), m)).otherwise(F.array(e.id))))
     return grouped.withColumn("cut", cut).withColumn("path", path).select("word", *more, ids.alias("ids"))
 
 
+def _spell(c, m: Model):
+    """Byte pieces of a character."""
+    return F.transform(F.sequence(F.lit(1), F.octet_length(c)), lambda i: F.conv(F.substring(F.hex(F.encode(c, "UTF-8")), 2 * i - 1, F.lit(2)), 16, 10).cast("int") + m.bytes_at)
+
+
+def _ordered_fold(words: DataFrame, turn: dict[str, tuple[int, int, int, int]], m: Model, spark: SparkSession) -> DataFrame:
+    """lattice() by one pass over a word's edges in the order of their turns(); a piece without one is no edge."""
+    more = [c for c in words.columns if c != "word"]
+    of = [(p, i, *turn.get(p, (0, 0, 0, 0))) for p, (i, _) in m.pieces.items() if len(p) == 1 or p in turn]
+    edges = _edges(words, spark.createDataFrame(of, "piece string, id int, left int, turn long, offset int, nth int"), m)
+    none = 0xFFFF
+    one = F.lit(1).cast("long")
+    up = lambda x, n: F.call_function("shiftleft", x, n)
+    down = lambda x, n: F.call_function("shiftright", x, n)
+    # An edge is one long: its turn (16 bits, 6 for the place, 8), start (6), length, length of the left part (5 each), id (16).
+    fields = [("coalesce(turn, 0)", 46), ("s + coalesce(offset, 0)", 40), ("coalesce(nth, 0)", 32), ("s", 26), ("e - s", 21), ("coalesce(left, 0)", 16), (f"id & {none}", 0)]
+    code = F.expr(" | ".join(f"shiftleft(bigint({x}), {at})" for x, at in fields))
+    grouped = edges.groupBy("word", *more).agg(F.sort_array(F.collect_list(code)).alias("codes"))
+    field = lambda c, at, most: down(c, F.lit(at)).bitwiseAND(F.lit(most)).cast("int")
+    start, length, left = (lambda c: field(c, 26, 63)), (lambda c: field(c, 21, 31)), (lambda c: field(c, 16, 31))
+    # Bit i of the state is a cut before character i, all at first; an edge's part of it, from its start on.
+    part = lambda mask, c: down(mask, start(c)).bitwiseAND(up(one, length(c) + 1) - 1)
+    merge = lambda mask, c: F.when(part(mask, c) == up(one, length(c)).bitwiseOR(up(one, left(c))).bitwiseOR(one), mask.bitwiseXOR(up(one, start(c) + left(c)))).otherwise(mask)
+    # What the last state leaves is found as the fold ends: a column of its own might be worked out for every edge.
+    kept = lambda mask: F.filter("codes", lambda c: part(mask, c) == up(one, length(c)).bitwiseOR(one))
+    path = lambda mask: F.sort_array(F.transform(kept(mask), lambda c: start(c) * (none + 1) + c.bitwiseAND(F.lit(none)).cast("int")))
+    path = F.aggregate(F.filter("codes", lambda c: left(c) > 0), F.expr("shiftleft(1L, length(word) + 1) - 1"), merge, path)
+    plain = F.transform("path", lambda x: x.bitwiseAND(F.lit(none)))
+    letter = lambda x: F.substring("word", F.shiftright(x, 16) + 1, F.lit(1))
+    spelled = F.flatten(F.transform("path", lambda x: F.when(x.bitwiseAND(F.lit(none)) == none, _spell(letter(x), m)).otherwise(F.array(x.bitwiseAND(F.lit(none))))))
+    ids = F.when(F.exists("path", lambda x: x.bitwiseAND(F.lit(none)) == none), spelled).otherwise(plain)
+    return grouped.withColumn("path", path).select("word", *more, ids.alias("ids"))
+
+
 def units_of(text):
     """units() of a text column, as a column; an empty text has one blank unit here."""
     return F.regexp_extract_all(F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK))), F.lit(UNIT.pattern), F.lit(0))
@@ -205,11 +294,24 @@ def spellings(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY) ->
     frequent = F.lit(False) if least is None else F.col("n") >= least
     # Dealt out by word before the substrings are exploded, so that edges meet without a shuffle.
     dealt = counts.select("word", frequent.alias("frequent")).repartition(sum(r["words"] for r in ladder) // FOLDED + 8, "word")
-    out = durable(lattice(dealt, m, df.sparkSession), "spellings")
+    with _by_hash(df.sparkSession):
+        out = durable(lattice(dealt, m, df.sparkSession), "spellings")
     discard(counts)
     return out
 
 
+@contextlib.contextmanager
+def _by_hash(spark: SparkSession):
+    """While it is entered, edges are grouped by a hash table for all words of a task, and not sorted."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(2 * FOLDED))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 class Speller:
     """Ids of units: the broadcast ones, those that came with the rows, and long units."""
 
@@ -221,20 +323,23 @@ class Speller:
         self.index = {w: i for i, w in enumerate(words.column("word").to_pylist())}
         self.known = len(self.index)
 
-    def block(self, texts: list[str], joined: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the texts and the n + 1 bounds."""
+    def block(self, texts: list[str], rare: list[list[list[int]] | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the texts and the n + 1 bounds. rare: for each text the ids of its units that are neither
+        broadcast nor long, in the order of these."""
         index, new, extra = self.index, {}, []
         every = [units(t) for t in texts]
         places = []
-        for us in every:
-            for u in us:
-                i = index.get(u)
-                if i is None:
-                    i = new.get(u)
-                    if i is None:
-                        i = new[u] = self.known + len(extra)
-                        extra.append(joined[u] if len(u) <= LONGEST else fold(u, self.m))
-                places.append(i)
+        for us, came in zip(every, rare, strict=True):
+            others = set(us).difference(index)
+            for u, ids in zip(sorted(u for u in others if len(u) <= LONGEST), came or (), strict=True):
+                if u not in new:
+                    new[u] = self.known + len(extra)
+                    extra.append(ids)
+            for u in others:
+                if u not in new:
+                    new[u] = self.known + len(extra)
+                    extra.append(fold(u, self.m))
+            places += [index[u] if u in index else new[u] for u in us]
         at = np.array(places, np.int64)
         flat = np.concatenate([self.flat, np.array([x for e in extra for x in e], np.int32)])
         ends = np.concatenate([self.ends, len(self.flat) + np.cumsum([len(e) for e in extra], dtype=np.int64)])
@@ -249,17 +354,21 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
     m = read_model(model, kind)
     body = text_col if text_col in keep else unused("_text", keep)  # a text travels once
     own = [*keep] if text_col in keep else [*keep, F.col(text_col).alias(body)]
-    row, rare = unused("_row", (*keep, body)), unused("_rare", (*keep, body))
-    # Written, so that a row keeps its number if executors are lost.
-    source = durable(df.select(*own, F.monotonically_increasing_id().alias(row)), "texts")
+    key, other, rare = (unused(x, (*keep, body)) for x in ("_key", "_other", "_rare"))
+    # A row is known by two hashes of its columns, so that texts needn't be written again to number them.
+    plain = df.select(*own)
+    of = [f.name for f in plain.schema if "map<" not in f.dataType.simpleString()]
+    source = plain.select("*", F.xxhash64(*of).alias(key), F.xxhash64(F.lit(1), *of).alias(other))
     spelled = spellings(source, m, body, most)
     often = spelled.where("frequent").select("word", "ids")
     shared = df.sparkSession.sparkContext.broadcast((m, often.toArrow()))  # at most `most` rows
-    met = source.select(row, F.explode(F.array_distinct(units_of(F.col(body)))).alias("word")).where(F.length("word") <= LONGEST)
+    met = source.where(F.col(body) != "").select(key, other, F.explode(F.array_distinct(units_of(F.col(body)))).alias("word")).where(F.length("word") <= LONGEST)
     met = met.join(F.broadcast(often.select("word")), "word", "left_anti")
     met = met.join(spelled.where("not frequent").select("word", "ids"), "word")
-    # Written, so that the shuffle files of units are gone when the texts are shuffled.
-    met = durable(met.groupBy(row).agg(F.collect_list(F.struct("word", "ids")).alias(rare)), "rare")
+    # A row's ids by the order of its words, which it knows itself. Written, so that the shuffle files of units are
+    # gone when the texts are shuffled.
+    ids = F.transform(F.sort_array(F.collect_set(F.struct("word", "ids"))), lambda x: x["ids"])
+    met = durable(met.groupBy(key, other).agg(ids.alias(rare)), "rare")
     discard(spelled)
     made: dict = {}
 
@@ -269,12 +378,10 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
         for b in batches:
             for lo, hi, _, _ in blocks(b.column(body), 1 << 20):
                 part = b.slice(lo, hi - lo)
-                came = part.column(rare).flatten()
-                joined = dict(zip(came.field("word").to_pylist(), came.field("ids").to_pylist(), strict=True))
-                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()], joined)
+                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()], part.column(rare).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
 
-    return source.join(met, row, "left").drop(row).mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))
+    return source.join(met, [key, other], "left").drop(key, other).mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decoded(ids: str, model: str):
