@@ -29,15 +29,16 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import blocks, discard, durable, lists, unused
+from .common import blocks, discard, durable, lists, mix, tidy, unused
 
 BLANK = "▁"
 #: Units whose ids are broadcast, at most, and characters of a unit in the lattice.
@@ -46,6 +47,9 @@ DICTIONARY, LONGEST = 300_000, 60
 NO_PIECE = (1 << 20) - 1
 #: Distinct units that one task of the lattice folds, about.
 FOLDED = 20_000
+#: Bytes of texts that are cut at once, about, and kinds of characters of a Cutter, of which the last is all others.
+BLOCK, KINDS = 2 << 20, 4000
+_zstd = pa.Codec("zstd", compression_level=1)
 UNIT = re.compile(f"\n|{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+")
 
 
@@ -184,6 +188,74 @@ def units(text: str) -> list[str]:
     return [u for u in (BLANK + text.replace(" ", " " + BLANK).replace("\n", " \n ")).split(" ") if u]
 
 
+@dataclass
+class Parts:
+    """Parts of some texts: their bounds by text, and of each its place among the different ones (words, and their
+    lengths)."""
+
+    bounds: np.ndarray
+    which: np.ndarray
+    words: list[str]
+    size: np.ndarray
+
+    def known(self, index: dict[str, int]) -> np.ndarray:
+        """Of every word its place in index, or -1."""
+        return np.fromiter((index.get(w, -1) for w in self.words), np.int64, len(self.words))
+
+    def rare(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text and place in words of the parts of at most LONGEST characters that aren't known, each once a text, as
+        they come in it."""
+        at = np.flatnonzero(((known < 0) & (self.size <= LONGEST))[self.which])
+        text = np.searchsorted(self.bounds, at, "right") - 1
+        once = np.sort(np.unique(text * len(self.words) + self.which[at], return_index=True)[1])
+        return text[once], self.which[at[once]]
+
+
+class Cutter:
+    """Cuts texts into parts. For a BPE model two characters stay together if any piece holds them side by side:
+    no merge crosses another cut, so parts have the ids that they have in their unit, and there are fewer and shorter
+    ones than units. For a unigram model parts are units."""
+
+    def __init__(self, m: Model):
+        self.kind = np.zeros(0x110000, np.uint16)  # 0: never with others
+        if m.kind == "bpe":
+            pairs = {p[i : i + 2] for p in m.pieces for i in range(len(p) - 1)}
+            for k, (c, _) in enumerate(Counter(c for p in pairs for c in p).most_common()):
+                self.kind[ord(c)] = min(k + 1, KINDS)
+            together = {(int(self.kind[ord(a)]), int(self.kind[ord(b)])) for a, b in pairs}
+        else:
+            self.kind[:] = 2
+            self.kind[ord("\n")], self.kind[ord(BLANK)] = 0, 1
+            together = {(1, 1), (1, 2), (2, 2)}
+        self.kinds = int(self.kind.max()) + 1
+        self.together = np.zeros(self.kinds * self.kinds, bool)
+        for a, b in together:
+            self.together[a * self.kinds + b] = True
+
+    def cut(self, texts: list[str | None]) -> Parts:
+        """Parts are told apart by 64-bit hashes, among the texts of one call."""
+        s = "".join([BLANK + t for t in texts if t]).replace(" ", BLANK)
+        points = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+        n = len(points)
+        ends = np.cumsum([0] + [len(t) + 1 if t else 0 for t in texts])
+        kind = self.kind[points].astype(np.int64)
+        first = np.ones(n, bool)
+        first[1:] = ~self.together[kind[:-1] * self.kinds + kind[1:]]
+        first[ends[ends < n]] = True
+        start = np.flatnonzero(first)
+        end = np.append(start[1:], n)[: len(start)]
+        place = np.arange(1, n + 1) - np.repeat(start, end - start)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mix(points + (place.astype(np.uint64) << np.uint64(32))), out=sums[1:])
+        hashed = mix(sums[end] - sums[start])
+        told = pa.array(hashed).dictionary_encode()
+        which = told.indices.to_numpy().astype(np.int64)
+        one = np.empty(len(told.dictionary), np.int64)
+        one[which] = np.arange(len(which))  # any of the equal ones
+        words = [s[a:b] for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
+        return Parts(np.searchsorted(start, ends), which, words, (end - start)[one])
+
+
 def _edges(words: DataFrame, table: DataFrame, m: Model) -> DataFrame:
     """Substrings of bounded length as edges; a lone character is an edge with or without a piece."""
     starts = words.select("*", F.explode(F.expr("sequence(0, length(word) - 1)")).alias("s"))
@@ -280,11 +352,23 @@ def units_of(text):
     return F.regexp_extract_all(F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK))), F.lit(UNIT.pattern), F.lit(0))
 
 
-def spellings(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY) -> DataFrame:
-    """word, frequent, ids of all distinct units of at most LONGEST characters; frequent are the
-    units, most at most, that occur at least as often as any of them."""
-    seen = df.select(F.explode(units_of(F.col(text_col))).alias("word")).where(F.length("word") <= LONGEST)
-    counts = durable(seen.groupBy("word").agg(F.count("*").alias("n")), "units")
+def spellings(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY, cutter: Cutter | None = None) -> DataFrame:
+    """word, frequent, ids of all distinct units (or parts, by a cutter) of at most LONGEST characters; frequent are
+    those, most at most, that occur at least as often as any of them."""
+    if cutter is None:
+        seen = df.select(F.explode(units_of(F.col(text_col))).alias("word"), F.lit(1).alias("n")).where(F.length("word") <= LONGEST)
+    else:
+        shared = df.sparkSession.sparkContext.broadcast(cutter)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for lo, hi, _, _ in blocks(b.column(0), BLOCK):
+                    parts = shared.value.cut(b.column(0).slice(lo, hi - lo).to_pylist())
+                    found = pa.RecordBatch.from_arrays([pa.array(parts.words, pa.string()), pa.array(np.bincount(parts.which, minlength=len(parts.words)))], names=["word", "n"])
+                    yield found.filter(pa.array(parts.size <= LONGEST))
+
+        seen = df.select(text_col).mapInArrow(tidy(count), "word string, n long")
+    counts = durable(seen.groupBy("word").agg(F.sum("n").alias("n")), "units")
     ladder = counts.groupBy(F.least("n", F.lit(5000)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
     total, least = 0, None
     for r in ladder:
@@ -313,45 +397,65 @@ def _by_hash(spark: SparkSession):
 
 
 class Speller:
-    """Ids of units: the broadcast ones, those that came with the rows, and long units."""
+    """Ids of parts: the broadcast ones, those that came with the rows, and long parts."""
 
-    def __init__(self, m: Model, words: pa.Table):
-        self.m = m
+    def __init__(self, m: Model, cutter: Cutter, words: pa.Table):
+        self.m, self.cutter, self.words = m, cutter, words
+
+    def __reduce__(self):  # the dictionary is made once in a worker, where the broadcast is read
+        return Speller, (self.m, self.cutter, self.words)
+
+    @cached_property
+    def index(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.words.column("word").to_pylist())}
+
+    @cached_property
+    def dictionary(self) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the broadcast words, and the bounds of each."""
+        words = self.words
         col = words.column("ids").combine_chunks()
-        self.flat = col.flatten().to_numpy().astype(np.int32) if len(words) else np.zeros(0, np.int32)
-        self.ends = (col.offsets.to_numpy() - col.offsets[0].as_py()).astype(np.int64) if len(words) else np.zeros(1, np.int64)
-        self.index = {w: i for i, w in enumerate(words.column("word").to_pylist())}
-        self.known = len(self.index)
-
-    def block(self, texts: list[str], rare: list[list[list[int]] | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of the texts and the n + 1 bounds. rare: for each text the ids of its units that are neither
-        broadcast nor long, in the order of these."""
-        index, new, extra = self.index, {}, []
-        every = [units(t) for t in texts]
-        places = []
-        for us, came in zip(every, rare, strict=True):
-            others = set(us).difference(index)
-            for u, ids in zip(sorted(u for u in others if len(u) <= LONGEST), came or (), strict=True):
-                if u not in new:
-                    new[u] = self.known + len(extra)
-                    extra.append(ids)
-            for u in others:
-                if u not in new:
-                    new[u] = self.known + len(extra)
-                    extra.append(fold(u, self.m))
-            places += [index[u] if u in index else new[u] for u in us]
-        at = np.array(places, np.int64)
-        flat = np.concatenate([self.flat, np.array([x for e in extra for x in e], np.int32)])
-        ends = np.concatenate([self.ends, len(self.flat) + np.cumsum([len(e) for e in extra], dtype=np.int64)])
-        size = ends[at + 1] - ends[at]
-        first = np.concatenate([[0], np.cumsum(size)])
-        out = flat[np.repeat(ends[at] - first[:-1], size) + np.arange(first[-1])]
-        return out, first[np.concatenate([[0], np.cumsum([len(u) for u in every])]).astype(np.int64)]
+        flat = col.flatten().to_numpy().astype(np.int32) if len(words) else np.zeros(0, np.int32)
+        return flat, (col.offsets.to_numpy() - col.offsets[0].as_py()).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+
+    def block(self, texts: list[str | None], came: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the texts and the n + 1 bounds. came: for each text the ids of its rare() parts in their order."""
+        parts = self.cutter.cut(texts)
+        known = parts.known(self.index)
+        text, rare = parts.rare(known)
+        if not np.array_equal(np.bincount(text, minlength=len(texts)), pc.fill_null(pc.list_value_length(came), 0).to_numpy(zero_copy_only=False)):
+            raise ValueError("the input gave other rows when it was read again")
+        each = came.flatten()
+        own, bounds = self.dictionary
+        size = np.where(known < 0, 0, bounds[known + 1] - bounds[known])
+        first = np.where(known < 0, 0, bounds[known])
+        size[rare] = pc.list_value_length(each).to_numpy(zero_copy_only=False)
+        first[rare] = len(own) + np.cumsum(size[rare]) - size[rare]
+        flat = [own, each.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]
+        at = sum(map(len, flat))
+        for i in np.flatnonzero(size == 0).tolist():
+            flat.append(np.array(fold(parts.words[i], self.m), np.int32))
+            first[i], size[i] = at, len(flat[-1])
+            at += len(flat[-1])
+        size, first = size[parts.which], first[parts.which]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return np.concatenate(flat)[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])], ends[parts.bounds]
+
+
+def _pack(raw: bytes | None) -> bytes | None:
+    """A text for a shuffle, compressed."""
+    if raw is None:
+        return None
+    return len(raw).to_bytes(4, "little") + _zstd.compress(raw, asbytes=True)
+
+
+def _unpack(b: bytes | None) -> str | None:
+    return None if b is None else _zstd.decompress(b[4:], int.from_bytes(b[:4], "little"), asbytes=True).decode()
 
 
 def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text"), most: int = DICTIONARY) -> DataFrame:
     """The columns in keep and ids, the piece ids of every row's whole text."""
     m = read_model(model, kind)
+    cutter = Cutter(m)
     body = text_col if text_col in keep else unused("_text", keep)  # a text travels once
     own = [*keep] if text_col in keep else [*keep, F.col(text_col).alias(body)]
     key, other, rare = (unused(x, (*keep, body)) for x in ("_key", "_other", "_rare"))
@@ -359,35 +463,59 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
     plain = df.select(*own)
     of = [f.name for f in plain.schema if "map<" not in f.dataType.simpleString()]
     source = plain.select("*", F.xxhash64(*of).alias(key), F.xxhash64(F.lit(1), *of).alias(other))
-    spelled = spellings(source, m, body, most)
+    spelled = spellings(source, m, body, most, cutter)
     often = spelled.where("frequent").select("word", "ids")
-    shared = df.sparkSession.sparkContext.broadcast((m, often.toArrow()))  # at most `most` rows
-    met = source.where(F.col(body) != "").select(key, other, F.explode(F.array_distinct(units_of(F.col(body)))).alias("word")).where(F.length("word") <= LONGEST)
-    met = met.join(F.broadcast(often.select("word")), "word", "left_anti")
+    shared = df.sparkSession.sparkContext.broadcast(Speller(m, cutter, often.toArrow()))  # at most `most` rows
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = shared.value
+        for b in batches:
+            for lo, hi, _, _ in blocks(b.column(2), BLOCK):
+                parts = speller.cutter.cut(b.column(2).slice(lo, hi - lo).to_pylist())
+                row, at = parts.rare(parts.known(speller.index))
+                nth = np.arange(len(row)) - np.searchsorted(row, row)
+                words = pa.array([parts.words[i] for i in at.tolist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(row + lo)) for i in (0, 1)), pa.array(nth.astype(np.int32)), words], names=["key", "other", "nth", "word"])
+
+    met = source.where(F.col(body) != "").select(key, other, body).mapInArrow(tidy(meet), "key long, other long, nth int, word string")
     met = met.join(spelled.where("not frequent").select("word", "ids"), "word")
-    # A row's ids by the order of its words, which it knows itself. Written, so that the shuffle files of units are
-    # gone when the texts are shuffled.
-    ids = F.transform(F.sort_array(F.collect_set(F.struct("word", "ids"))), lambda x: x["ids"])
-    met = durable(met.groupBy(key, other).agg(ids.alias(rare)), "rare")
+    # Rare parts are known by their place in the row. Written, so that the shuffle files of parts are gone when the
+    # texts are shuffled.
+    ids = F.transform(F.sort_array(F.collect_set(F.struct("nth", "ids"))), lambda x: x["ids"])
+    met = durable(met.groupBy(F.col("key").alias(key), F.col("other").alias(other)).agg(ids.alias(rare)), "rare")
     discard(spelled)
-    made: dict = {}
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(body)
+            yield b.set_column(at, body, pa.array([_pack(t) for t in b.column(at).cast(pa.binary()).to_pylist()], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = made.setdefault("speller", None) or Speller(*shared.value)
-        made["speller"] = speller
         for b in batches:
-            for lo, hi, _, _ in blocks(b.column(body), 1 << 20):
+            for lo, hi, _, _ in blocks(b.column(body), BLOCK // 2):
                 part = b.slice(lo, hi - lo)
-                flat, bound = speller.block([t or "" for t in part.column(body).to_pylist()], part.column(rare).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
+                texts = [_unpack(t) for t in part.column(body).to_pylist()]
+                flat, bound = shared.value.block(texts, part.column(rare))
+                yield pa.RecordBatch.from_arrays([*(pa.array(texts, pa.string()) if c == body else part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
 
-    return source.join(met, [key, other], "left").drop(key, other).mapInArrow(run, StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))]))
+    packed = source.mapInArrow(tidy(pack), StructType([StructField(f.name, BinaryType()) if f.name == body else f for f in source.schema]))
+    out = StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))])
+    return packed.join(met, [key, other], "left").drop(key, other).mapInArrow(tidy(run), out)
 
 
 def decoded(ids: str, model: str):
     """The text of a column of piece ids, as a column."""
     m = read_model(model)
-    spelled = F.split(F.lit(",".join(m.spelled)), ",")
-    joined = F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: F.get(spelled, i)), "")), "UTF-8")
-    spaced = F.replace(joined, F.lit(BLANK), F.lit(" "))
-    return F.when(F.startswith(spaced, F.lit(" ")), F.substring(spaced, F.lit(2), F.length(spaced))).otherwise(spaced)
+    whole = [bytes.fromhex(x).decode(errors="ignore").replace(BLANK, " ") for x in m.spelled]
+    private = (chr(c) for c in range(0xE000, 0xF8FF))
+    taken = set("".join(whole))
+    between, half = (next(c for c in private if c not in taken) for _ in range(2))
+    for i in range(m.bytes_at + 128, m.bytes_at + 256):  # bytes that are no character alone
+        whole[i] = half
+    # Of pieces that are whole characters the text is there at once; others go by their bytes.
+    as_list = lambda texts, sep: F.split(F.lit(sep.join(texts)), sep)
+    join = lambda texts, sep: F.array_join(F.transform(ids, lambda i: F.get(as_list(texts, sep), i)), "")
+    by_bytes = F.replace(F.decode(F.unhex(join(m.spelled, ",")), "UTF-8"), F.lit(BLANK), F.lit(" "))
+    once = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  # f of x, which is worked out once
+    spaced = once(join(whole, between), lambda x: F.when(F.contains(x, F.lit(half)), by_bytes).otherwise(x))
+    return once(spaced, lambda x: F.when(F.startswith(x, F.lit(" ")), F.substring(x, F.lit(2), F.length(x))).otherwise(x))

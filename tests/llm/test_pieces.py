@@ -62,3 +62,30 @@ def test_texts_are_not_written_again(spark, monkeypatch):
     m = pieces.read_model(file)
     assert got == sorted((str(i), str(t), [x for u in pieces.units(t or "") for x in pieces.fold(u, m)]) for i, t in rows)
     assert written and not any("text" in columns for _, columns in written)
+
+
+def test_parts_have_the_ids_of_their_units():
+    draw = random.Random(6)
+    many = ["".join(p) for n in (1, 2, 3, 4) for p in itertools.product("abc▁", repeat=n)]
+    for n in range(8):
+        m = model([*draw.sample([p for p in many if pieces.BLANK not in p.lstrip(pieces.BLANK)], 30), "a", "b", "c", "é"])
+        m.kind = "unigram" if n == 7 else "bpe"
+        texts = [None, "", *("".join(draw.choices("aabc é\n漢▁", k=draw.randint(1, 90))) for _ in range(300))]
+        got = pieces.Cutter(m).cut(texts)
+        assert len(set(got.words)) == len(got.words) and got.size.tolist() == [len(w) for w in got.words]
+        for i, t in enumerate(texts):
+            own = [got.words[k] for k in got.which[got.bounds[i] : got.bounds[i + 1]]]
+            assert "".join(own) == "".join(pieces.units(t or ""))
+            assert [x for w in own for x in pieces.fold(w, m)] == [x for u in pieces.units(t or "") for x in pieces.fold(u, m)]
+        text, word = got.rare(got.known({got.words[0]: 0}))
+        for i, t in enumerate(texts):
+            own = [got.words[k] for k in got.which[got.bounds[i] : got.bounds[i + 1]]]
+            assert [got.words[k] for k in word[text == i]] == [w for w in dict.fromkeys(own) if w != got.words[0] and len(w) <= pieces.LONGEST]
+
+
+def test_decoded_by_characters_and_by_bytes(spark):
+    file = tokenizer_file("piece_bpe_32k.model")
+    texts = ["plain text", " lead", "line\nbreak", "漢字 \ue000 \ue001", "\U0001d4b3 é", "", "a, b,c", "\x00\x7f\x80"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = pieces.encode(df, file, keep=("text",)).withColumn("back", pieces.decoded("ids", file)).collect()
+    assert sorted((r.text, r.back) for r in got) == sorted((t, t) for t in texts)
