@@ -2,10 +2,10 @@
 
 Text becomes units: a dummy blank goes before it, blanks become U+2581, and a unit runs from a run
 of those to the next; line feeds stand alone (no piece holds one, nor a U+2581 after another
-character, which read_model checks, so units are encoded independently). Every distinct unit of at
-most LONGEST characters is a word of the lattice: its substrings of bounded length are exploded and
-equi-joined to the piece table, the edges are grouped by word, and a Spark higher-order aggregate
-folds them:
+character, which read_model checks, so units are encoded independently). A Cutter cuts units further, into
+parts, where no piece crosses. Every distinct part of at most LONGEST characters is a word of the lattice: its
+substrings of bounded length are exploded and equi-joined to the piece table, the edges are grouped by word, and
+a Spark higher-order aggregate folds them:
 
 * unigram models: Viterbi, the segmentation with the highest sum of scores;
 * BPE models: the merges of the model, at each step the adjacent pair whose piece has the best
@@ -13,8 +13,8 @@ folds them:
   SentencePiece's segmentation; this does.
 
 Characters without a piece are spelled as byte pieces. Ids go back to the texts on two ways: those
-of the DICTIONARY most frequent units as a broadcast, those of all others by a join of the units of
-each row. Units of over LONGEST characters, which no mask of a long holds, are folded by the same
+of the DICTIONARY most frequent parts as a broadcast, those of all others by a join of the parts of
+each row. Parts of over LONGEST characters, which no mask of a long holds, are folded by the same
 rules in the task that meets them.
 
 Defined results: null or empty text has no pieces; equal texts have equal ids; decode() of
@@ -41,11 +41,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from .common import blocks, discard, durable, lists, mix, tidy, unused
 
 BLANK = "▁"
-#: Units whose ids are broadcast, at most, and characters of a unit in the lattice.
+#: Parts whose ids are broadcast, at most, and characters of a part in the lattice.
 DICTIONARY, LONGEST = 300_000, 60
 #: Stands for the id of a character without a piece; ids are smaller.
 NO_PIECE = (1 << 20) - 1
-#: Distinct units that one task of the lattice folds, about.
+#: Distinct parts that one task of the lattice folds, about.
 FOLDED = 20_000
 #: Bytes of texts that are cut at once, about, and kinds of characters of a Cutter, of which the last is all others.
 BLOCK, KINDS = 2 << 20, 4000
