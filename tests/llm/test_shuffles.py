@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marlstone.llm import jaccard
+from marlstone.llm import jaccard, pieces
+from marlstone.llm.queries import tokenizer_file
 
 
 @pytest.fixture
@@ -51,3 +52,17 @@ def test_texts_outside_the_sample_are_not_shuffled(spark, sent, texts, monkeypat
     found = jaccard.frequent(docs, sets, 200 * len(texts), 3)
     assert sent() - mark < 0.5 * sum(map(len, texts))
     assert len(found) == 2  # "in all of", "all of them"
+
+
+def test_pieces_shuffle_less_than_the_texts(spark, sent):
+    draw = random.Random(8)
+    syllables = "ti on the er in an sh wh ing con ver ble ly de un".split()
+    marks = ["", ",", ".", "$$$", "###", "***"]
+    word = lambda: "".join(draw.choices(syllables, k=draw.randint(1, 4)))
+    common = [word() for _ in range(500)]
+    rows = [(i, " ".join((draw.choice(common) if draw.random() < 0.9 else word()) + draw.choice(marks) for _ in range(2000))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    mark = sent()
+    assert pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), most=2000).select("doc_id", "ids").count() == len(rows)
+    bound = sum(len(t) for _, t in rows)
+    assert sent() - mark < bound
