@@ -36,9 +36,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, StructField, StructType
 
-from .common import blocks, discard, durable, lists, mix, tidy, unused
+from .common import blocks, discard, durable, lists, tidy, unused
 
 BLANK = "▁"
 #: Parts whose ids are broadcast, at most, and characters of a part in the lattice.
@@ -190,24 +190,28 @@ def units(text: str) -> list[str]:
 
 @dataclass
 class Parts:
-    """Parts of some texts: their bounds by text, and of each its place among the different ones (words, and their
+    """Parts of some texts: their bounds by text, and of each its place among the different ones (told, and their
     lengths)."""
 
     bounds: np.ndarray
     which: np.ndarray
-    words: list[str]
+    told: pa.StringArray
     size: np.ndarray
 
+    @cached_property
+    def words(self) -> list[str]:
+        return self.told.to_numpy(zero_copy_only=False).tolist()
+
     def known(self, index: dict[str, int]) -> np.ndarray:
         """Of every word its place in index, or -1."""
-        return np.fromiter((index.get(w, -1) for w in self.words), np.int64, len(self.words))
+        return np.fromiter((index.get(w, -1) for w in self.words), np.int64, len(self.told))
 
     def rare(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Text and place in words of the parts of at most LONGEST characters that aren't known, each once a text, as
         they come in it."""
         at = np.flatnonzero(((known < 0) & (self.size <= LONGEST))[self.which])
         text = np.searchsorted(self.bounds, at, "right") - 1
-        once = np.sort(np.unique(text * len(self.words) + self.which[at], return_index=True)[1])
+        once = np.sort(np.unique(text * len(self.told) + self.which[at], return_index=True)[1])
         return text[once], self.which[at[once]]
 
 
@@ -231,29 +235,31 @@ class Cutter:
         self.together = np.zeros(self.kinds * self.kinds, bool)
         for a, b in together:
             self.together[a * self.kinds + b] = True
+        self.kind[ord(" ")] = self.kind[ord(BLANK)]  # blanks are replaced in the different parts alone
+        low = self.kind[:256].astype(np.int64)
+        self.apart = ~self.together[low[:, None] * self.kinds + low].ravel()  # of two characters below 256
 
     def cut(self, texts: list[str | None]) -> Parts:
-        """Parts are told apart by 64-bit hashes, among the texts of one call."""
-        s = "".join([BLANK + t for t in texts if t]).replace(" ", BLANK)
-        points = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-        n = len(points)
+        s = "".join([" " + t for t in texts if t])
+        if BLANK in s:
+            s = s.replace(BLANK, " ")
+        raw, n = s.encode(), len(s)
         ends = np.cumsum([0] + [len(t) + 1 if t else 0 for t in texts])
-        kind = self.kind[points].astype(np.int64)
         first = np.ones(n, bool)
-        first[1:] = ~self.together[kind[:-1] * self.kinds + kind[1:]]
+        try:
+            points = np.frombuffer(raw if len(raw) == n else s.encode("latin-1"), np.uint8)
+            first[1:] = self.apart[points[:-1].astype(np.uint16) << np.uint16(8) | points[1:]]
+        except UnicodeEncodeError:
+            kind = self.kind[np.frombuffer(s.encode("utf-32-le"), np.uint32)].astype(np.int32)
+            first[1:] = ~self.together[kind[:-1] * self.kinds + kind[1:]]
         first[ends[ends < n]] = True
         start = np.flatnonzero(first)
-        end = np.append(start[1:], n)[: len(start)]
-        place = np.arange(1, n + 1) - np.repeat(start, end - start)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix(points + (place.astype(np.uint64) << np.uint64(32))), out=sums[1:])
-        hashed = mix(sums[end] - sums[start])
-        told = pa.array(hashed).dictionary_encode()
-        which = told.indices.to_numpy().astype(np.int64)
-        one = np.empty(len(told.dictionary), np.int64)
-        one[which] = np.arange(len(which))  # any of the equal ones
-        words = [s[a:b] for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
-        return Parts(np.searchsorted(start, ends), which, words, (end - start)[one])
+        at = start if len(raw) == n else np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)[start]
+        # Cut in place, in the bytes of all texts.
+        every = pa.StringArray.from_buffers(len(start), pa.py_buffer(np.append(at, len(raw)).astype(np.int32)), pa.py_buffer(raw))
+        every = every.dictionary_encode()
+        told = pc.replace_substring(every.dictionary, " ", BLANK)
+        return Parts(np.searchsorted(start, ends), every.indices.to_numpy(), told, pc.utf8_length(told).to_numpy())
 
 
 def _edges(words: DataFrame, table: DataFrame, m: Model) -> DataFrame:
@@ -364,7 +370,7 @@ def spellings(df: DataFrame, m: Model, text_col: str, most: int = DICTIONARY, cu
             for b in batches:
                 for lo, hi, _, _ in blocks(b.column(0), BLOCK):
                     parts = shared.value.cut(b.column(0).slice(lo, hi - lo).to_pylist())
-                    found = pa.RecordBatch.from_arrays([pa.array(parts.words, pa.string()), pa.array(np.bincount(parts.which, minlength=len(parts.words)))], names=["word", "n"])
+                    found = pa.RecordBatch.from_arrays([parts.told, pa.array(np.bincount(parts.which, minlength=len(parts.told)))], names=["word", "n"])
                     yield found.filter(pa.array(parts.size <= LONGEST))
 
         seen = df.select(text_col).mapInArrow(tidy(count), "word string, n long")
@@ -407,7 +413,7 @@ class Speller:
 
     @cached_property
     def index(self) -> dict[str, int]:
-        return {w: i for i, w in enumerate(self.words.column("word").to_pylist())}
+        return {w: i for i, w in enumerate(self.words.column("word").to_numpy().tolist())}
 
     @cached_property
     def dictionary(self) -> tuple[np.ndarray, np.ndarray]:
@@ -441,6 +447,26 @@ class Speller:
         return np.concatenate(flat)[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])], ends[parts.bounds]
 
 
+class Decoder:
+    """Texts of ids that encode() gave, by a model that has the blank as a piece: the bytes of their pieces, taken one
+    after another."""
+
+    def __init__(self, m: Model):
+        whole = [bytes.fromhex(x).replace(BLANK.encode(), b" ") for x in m.spelled]
+        # A second time without a leading blank, for the first piece of a text.
+        self.bytes, self.head = pa.array([*whole, *(x.removeprefix(b" ") for x in whole)], pa.binary()), len(whole)
+
+    def texts(self, flat: np.ndarray, bounds: np.ndarray) -> pa.StringArray:
+        if not len(flat):
+            return pa.array([""] * (len(bounds) - 1), pa.string())
+        ids = flat.astype(np.int32)
+        ids[bounds[:-1][bounds[:-1] < bounds[1:]]] += self.head
+        spelled = self.bytes.take(pa.array(ids))
+        _, at, data = spelled.buffers()
+        at = np.frombuffer(at, np.int32)[: len(ids) + 1]
+        return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(at[bounds]), data)
+
+
 def _pack(raw: bytes | None) -> bytes | None:
     """A text for a shuffle, compressed."""
     if raw is None:
@@ -452,9 +478,21 @@ def _unpack(b: bytes | None) -> str | None:
     return None if b is None else _zstd.decompress(b[4:], int.from_bytes(b[:4], "little"), asbytes=True).decode()
 
 
-def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text"), most: int = DICTIONARY) -> DataFrame:
-    """The columns in keep and ids, the piece ids of every row's whole text."""
+def _spans(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """First and last row of runs of rows of about most bytes; a longer row is a run of its own."""
+    ends = np.cumsum([0, *sizes])
+    a = 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + most, "right")) - 1)
+        yield a, b
+        a = b
+
+
+def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text"), most: int = DICTIONARY, back: str | None = None) -> DataFrame:
+    """The columns in keep and ids, the piece ids of every row's whole text. back: a further column, the text that these
+    ids give, as by decoded()."""
     m = read_model(model, kind)
+    decoder = Decoder(m) if back and BLANK in m.pieces else None  # else blanks may come as bytes, which decoded() puts together
     cutter = Cutter(m)
     body = text_col if text_col in keep else unused("_text", keep)  # a text travels once
     own = [*keep] if text_col in keep else [*keep, F.col(text_col).alias(body)]
@@ -474,8 +512,7 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
                 parts = speller.cutter.cut(b.column(2).slice(lo, hi - lo).to_pylist())
                 row, at = parts.rare(parts.known(speller.index))
                 nth = np.arange(len(row)) - np.searchsorted(row, row)
-                words = pa.array([parts.words[i] for i in at.tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(row + lo)) for i in (0, 1)), pa.array(nth.astype(np.int32)), words], names=["key", "other", "nth", "word"])
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(row + lo)) for i in (0, 1)), pa.array(nth.astype(np.int32)), parts.told.take(pa.array(at))], names=["key", "other", "nth", "word"])
 
     met = source.where(F.col(body) != "").select(key, other, body).mapInArrow(tidy(meet), "key long, other long, nth int, word string")
     met = met.join(spelled.where("not frequent").select("word", "ids"), "word")
@@ -492,15 +529,18 @@ def encode(df: DataFrame, model: str, kind: str = "bpe", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, _, _ in blocks(b.column(body), BLOCK // 2):
+            sizes = [0 if t is None else int.from_bytes(t[:4], "little") for t in b.column(body).to_pylist()]
+            for lo, hi in _spans(sizes, BLOCK):
                 part = b.slice(lo, hi - lo)
                 texts = [_unpack(t) for t in part.column(body).to_pylist()]
                 flat, bound = shared.value.block(texts, part.column(rare))
-                yield pa.RecordBatch.from_arrays([*(pa.array(texts, pa.string()) if c == body else part.column(c) for c in keep), lists(flat, bound)], names=[*keep, "ids"])
+                given = [*(pa.array(texts, pa.string()) if c == body else part.column(c) for c in keep), lists(flat, bound)]
+                yield pa.RecordBatch.from_arrays([*given, decoder.texts(flat, bound)] if decoder else given, names=out.names)
 
     packed = source.mapInArrow(tidy(pack), StructType([StructField(f.name, BinaryType()) if f.name == body else f for f in source.schema]))
-    out = StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType()))])
-    return packed.join(met, [key, other], "left").drop(key, other).mapInArrow(tidy(run), out)
+    out = StructType([*(source.schema[c] for c in keep), StructField("ids", ArrayType(IntegerType())), *([StructField(back, StringType())] if decoder else [])])
+    done = packed.join(met, [key, other], "left").drop(key, other).mapInArrow(tidy(run), out)
+    return done.withColumn(back, decoded("ids", model)) if back and not decoder else done
 
 
 def decoded(ids: str, model: str):

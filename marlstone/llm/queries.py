@@ -66,9 +66,8 @@ def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number of pieces, crc32 of the ids as text, and whether decoding gives the text."""
     file = tokenizer_file("piece_bpe_32k.model")
-    done = pieces.encode(table(spark, sf_dir, "documents"), file)
-    back = pieces.decoded("ids", file)
-    return done.select("doc_id", F.size("ids").alias("n_pieces"), F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), (back == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    done = pieces.encode(table(spark, sf_dir, "documents"), file, back="back")
+    return done.select("doc_id", F.size("ids").alias("n_pieces"), F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), (F.col("back") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
 def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 
-from marlstone.llm import common, pieces
+from marlstone.llm import common, pieces, queries
 from marlstone.llm.queries import tokenizer_file
 
 
@@ -89,3 +89,35 @@ def test_decoded_by_characters_and_by_bytes(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = pieces.encode(df, file, keep=("text",)).withColumn("back", pieces.decoded("ids", file)).collect()
     assert sorted((r.text, r.back) for r in got) == sorted((t, t) for t in texts)
+
+
+def test_texts_come_back_in_the_pass_that_spells_them(spark, sf_dir):
+    """The query decodes no ids one by one in expressions; texts that come back are those of decoded()."""
+    file = tokenizer_file("piece_bpe_32k.model")
+    texts = ["plain text", " lead", "  two", "line\nbreak", "漢字  ", "\U0001d4b3 é", "", None, " ", "\n", "a▁b ▁", "\x00\x7f\x80 ÿ", "q" * 70 + " é", "one " * 3000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for most in (1, pieces.DICTIONARY):
+        got = pieces.encode(df, file, keep=("text",), most=most, back="back").withColumn("decoded", pieces.decoded("ids", file)).collect()
+        assert len(got) == len(texts) and all(r.back == r.decoded == (r.text or "").replace(pieces.BLANK, " ") for r in got)
+    empty = pieces.encode(df.where("text is null or text = ''"), file, keep=("text",), back="back").collect()
+    assert [(r.ids, r.back) for r in empty] == [([], "")] * 2
+    plan = queries.op8_sentencepiece(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "transform(" not in plan
+
+
+def test_parts_are_cut_in_the_bytes_of_the_texts():
+    """No word becomes a Python string until it is asked for; ASCII, Latin-1 and wider texts are cut alike."""
+    m = pieces.read_model(tokenizer_file("piece_bpe_32k.model"))
+    cutter = pieces.Cutter(m)
+    kinds = (["", "plain the words"], ["née à l'été", None, "the ÿ"], ["漢字 \U0001d4b3", "the é"], ["▁ a▁▁b", "  "], [None, ""])
+    for texts in [*kinds, [t for k in kinds for t in k]]:
+        got = cutter.cut(texts)
+        assert "words" not in vars(got)
+        own = ["".join(got.words[k] for k in got.which[a:b]) for a, b in itertools.pairwise(got.bounds)]
+        assert own == ["".join(pieces.units(t or "")) for t in texts]
+        assert len(set(got.words)) == len(got.words) and got.told.to_pylist() == got.words
+
+
+def test_blocks_are_of_texts_not_of_compressed_ones():
+    assert list(pieces._spans([3, 3, 3, 50, 0, 2], 7)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(pieces._spans([], 7)) == []
