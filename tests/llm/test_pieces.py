@@ -121,3 +121,18 @@ def test_parts_are_cut_in_the_bytes_of_the_texts():
 def test_blocks_are_of_texts_not_of_compressed_ones():
     assert list(pieces._spans([3, 3, 3, 50, 0, 2], 7)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
     assert list(pieces._spans([], 7)) == []
+
+
+def test_blanks_without_a_piece_come_back(spark, monkeypatch):
+    """A model that spells a lone blank as bytes gives the texts back, too."""
+    file, read = tokenizer_file("piece_bpe_32k.model"), pieces.read_model
+
+    def without(*args):
+        m = read(*args)
+        m.pieces = {p: x for p, x in m.pieces.items() if p.strip(pieces.BLANK)}
+        return m
+
+    monkeypatch.setattr(pieces, "read_model", without)
+    texts = ["plain text", " 漢 \x00", " ", "a  b "]
+    got = pieces.encode(spark.createDataFrame([(t,) for t in texts], "text string"), file, keep=("text",), back="back").collect()
+    assert sorted((r.text, r.back) for r in got) == sorted((t, t) for t in texts)
