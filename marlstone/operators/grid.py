@@ -28,18 +28,27 @@ def clean_starts(total, tile: int) -> Column:
     return F.when(total > 0, F.sequence(F.lit(0).cast("long"), total - 1, F.lit(tile).cast("long"))).otherwise(F.array().cast("array<long>"))
 
 
-def _grid(df: DataFrame, width: str, height: str, xs: Column, ys: Column, tile: int) -> DataFrame:
-    rows = df.withColumn("_nx", F.size(xs)).select("*", F.posexplode(ys).alias("row", "y"))
+def _grid(df: DataFrame, width: str, height: str, xs: Column, ys: Column, tile: int, image: str | None = None) -> DataFrame:
+    rows = df.withColumn("_nx", F.size(xs))
+    if image is None:
+        rows = rows.select("*", F.posexplode(ys).alias("row", "y"))
+    else:  # bound by a lambda, the image is read once, and no row of the explode holds a copy of it
+        line = F.col(width).cast("long")
+        lines = lambda px, y: F.substring(px, (y * line + 1).cast("int"), (F.least(F.lit(tile).cast("long"), F.col(height).cast("long") - y) * line).cast("int"))
+        parts = F.transform(F.array(image), lambda px: F.transform(ys, lambda y: F.struct(y.alias("y"), lines(px, y).alias("lines"))))[0]
+        rows = rows.select(*(c for c in rows.columns if c != image), F.posexplode(parts).alias("row", "_part")).select("*", "_part.y", "_part.lines").drop("_part")
     rows = rows.select("*", F.posexplode(xs).alias("col", "x"))
     size = lambda at, total: F.least(F.lit(tile).cast("long"), F.col(total).cast("long") - at)
     return rows.withColumns({"w": size(F.col("x"), width), "h": size(F.col("y"), height), "tile": F.col("row") * F.col("_nx") + F.col("col")})
 
 
-def overlap_grid(df: DataFrame, width: str, height: str, tile: int = 1024, overlap: int = 128) -> DataFrame:
+def overlap_grid(df: DataFrame, width: str, height: str, tile: int = 1024, overlap: int = 128, image: str | None = None) -> DataFrame:
     """df with a row per tile: row, col, x, y, w, h, tile (row-major), the numbers of its four
-    neighbours (null at the border), and the nominal overlap on each side (0 at the page's edge)."""
+    neighbours (null at the border), and the nominal overlap on each side (0 at the page's edge). image, a column of
+    binaries of a byte a pixel, is replaced by lines, those that the tile lies in: with the whole of it in each row a page
+    would take the square of its length."""
     xs, ys = overlap_starts(width, tile, overlap), overlap_starts(height, tile, overlap)
-    out = _grid(df.withColumn("_ny", F.size(ys)), width, height, xs, ys, tile)
+    out = _grid(df.withColumn("_ny", F.size(ys)), width, height, xs, ys, tile, image)
     first_row, last_row = F.col("row") == 0, F.col("row") == F.col("_ny") - 1
     first_col, last_col = F.col("col") == 0, F.col("col") == F.col("_nx") - 1
     near = lambda edge, by: F.when(~edge, F.col("tile") + by)

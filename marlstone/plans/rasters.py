@@ -30,16 +30,22 @@ def _rasters(spark, sf_dir):
     return pages.where(F.octet_length("image") >= WIDE).withColumn("ih", F.expr(f"octet_length(image) div {WIDE}")).withColumn("iw", F.lit(WIDE).cast("long"))
 
 
-def _tiles(spark, sf_dir):
-    tiles = grid.overlap_grid(_rasters(spark, sf_dir), "iw", "ih", TILE, OVERLAP)
-    return tiles.select("page_id", "tile", "x", "y", assembly.cut(F.col("image"), F.col("iw"), F.col("x"), F.col("y"), F.col("w"), F.col("h")).alias("rows"))
+def _grid(spark, sf_dir, image=None):
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pages = _rasters(spark, sf_dir).repartition(tasks, "page_id")  # a file of one row group is one task, however many pages it holds
+    return grid.overlap_grid(pages, "iw", "ih", TILE, OVERLAP, image)
+
+
+def _joints(spark, sf_dir):
+    tiles = _grid(spark, sf_dir, "image")
+    tiles = tiles.select("page_id", "tile", assembly.cut(F.col("lines"), F.col("iw"), F.col("x"), F.lit(0), F.col("w"), F.col("h")).alias("rows"))
+    return assembly.joints(tiles, "page_id", "tile", "rows", OVERLAP, BELOW, _grid(spark, sf_dir).select("page_id", (F.col("w") * F.col("h")).alias("bytes")))
 
 
 @query(_JOINTS + "SELECT page_id, axis, CAST(id AS BIGINT) AS id, CAST(match AS BIGINT) AS match, cost FROM j")
 def kit_joints(spark, sf_dir):
     """Of every tile of every page the tiles that continue it to the right and down, by overlap alone."""
-    found = assembly.joints(_tiles(spark, sf_dir), "page_id", "tile", "rows", OVERLAP, BELOW)
-    return found.select(F.col("kit").alias("page_id"), "axis", "id", "match", "cost")
+    return _joints(spark, sf_dir).select(F.col("kit").alias("page_id"), "axis", "id", "match", "cost")
 
 
 @query(
@@ -49,9 +55,7 @@ FROM j JOIN t a ON a.page_id = j.page_id AND a.tile = j.id LEFT JOIN t b ON b.pa
 )
 def kit_joint_quality(spark, sf_dir):
     """How many joints were found, are right by the tiles' places, and hold to the byte, on each axis."""
-    tiles = _tiles(spark, sf_dir)
-    found = assembly.joints(tiles, "page_id", "tile", "rows", OVERLAP, BELOW)
-    return assembly.joint_quality(found, tiles.select(F.col("page_id").alias("kit"), F.col("tile").cast("long").alias("id"), "x", "y"))
+    return assembly.joint_quality(_joints(spark, sf_dir), _grid(spark, sf_dir).select(F.col("page_id").alias("kit"), F.col("tile").cast("long").alias("id"), "x", "y"))
 
 
 # ---- profiles ------------------------------------------------------------------------------------
